@@ -105,9 +105,9 @@ VIEWS = {
                false as is_rollback,
                case when g = 0 or h > 5 then 'succeeded' when h < 3 then 'waiting' when h = 3 then 'running'
                     when h = 4 then 'failed' else 'aborted' end as status,
-               case when (l_suppkey + cfg_key) % 3 = 0 then 'res_'||lower(p_type)||'.r'||cast(cfg_key as varchar(20))
+               case when (l_suppkey + cast(floor(cfg_key/25) as bigint)) % 3 <> 0 then 'res_'||lower(p_type)||'.r'||cast(cfg_key as varchar(20))
                     end as resource_a,
-               case when (l_suppkey + cfg_key) % 6 = 0 then 'res_extra.x'||cast(cfg_key as varchar(20)) end as resource_b
+               case when (l_suppkey + cast(floor(cfg_key/25) as bigint)) % 6 = 1 then 'res_extra.x'||cast(cfg_key as varchar(20)) end as resource_b
         from r""",
     "vote": """
         select event_id as vote_id, ts, 'run-'||cast(user_id as varchar(20)) as execution_id,
