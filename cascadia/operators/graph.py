@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cascadia.functions.lists import PAGE_ROWS, inline_lists
-from cascadia.functions.paths import prefixes
+from cascadia.functions.paths import with_prefixes
 from cascadia.functions.text import empty_list, leaf, stable_hash, target_flags
 from cascadia.model import BLOCKING, RUN_COLUMNS
 from cascadia.operators.joins import (
@@ -16,6 +16,7 @@ from cascadia.operators.joins import (
     run_deps,
     single_commit_scope,
     stack_semi,
+    with_known_deps,
 )
 from cascadia.session import cut
 
@@ -27,7 +28,8 @@ class Stack(NamedTuple):
 
     ``runs`` has the run columns except ``cfg_deps``; ``deps`` is
     ``execution_id, dep_path``. A shared directory may have any number of dependents,
-    so the lists are only put into rows by :meth:`table`.
+    so the lists are only put into rows by :meth:`table`, and those too long for a row
+    are what :meth:`long_deps` keeps.
     """
 
     runs: DataFrame
@@ -42,6 +44,13 @@ class Stack(NamedTuple):
             "cfg_deps", F.when(F.col("n").isNull(), empty_list()).otherwise(F.col("cfg_deps"))
         ).select(RUN_COLUMNS)
 
+    def long_deps(self, limit: int = PAGE_ROWS) -> DataFrame:
+        """``execution_id, dep_path`` of the lists that :meth:`table` leaves NULL."""
+        long = self.deps.groupBy("execution_id").agg(F.count(F.lit(1)).alias("n"))
+        return self.deps.select("execution_id", "dep_path").join(
+            long.filter(F.col("n") > limit), "execution_id", "left_semi"
+        )
+
 
 def impact_closure(
     nodes: DataFrame, edges: DataFrame, seeds: DataFrame, max_rounds: int | None = None
@@ -55,22 +64,30 @@ def impact_closure(
     key = ["commit_id", "graph_id", "dir"]
     frontier = cut(seeds.select(*key).distinct())
     seen = frontier
-    up = edges.select("graph_id", F.col("dep_path").alias("dir"), "cfg_path").distinct()
+    # Whatever an edge leads to is a node, so only the seeds need the node check.
+    known = nodes.select("graph_id", F.col("cfg_path").alias("dir"))
+    result = frontier.join(known, ["graph_id", "dir"], "left_semi").select(*key)
+    up = cut(edges.select("graph_id", F.col("dep_path").alias("dir"), "cfg_path").distinct())
     rounds = 0
     while not frontier.isEmpty():
         if rounds == max_rounds:
             raise RuntimeError(f"the closure did not end within {max_rounds} rounds")
-        found = (
-            frontier.join(up, ["graph_id", "dir"])
-            .select("commit_id", "graph_id", F.col("cfg_path").alias("dir"))
-            .distinct()
+        found = frontier.join(up, ["graph_id", "dir"]).select(
+            "commit_id", "graph_id", F.col("cfg_path").alias("dir")
+        )
+        # One hash aggregate both removes repeats and drops what was seen before.
+        frontier = cut(
+            found.withColumn("_old", F.lit(False))
+            .unionByName(seen.withColumn("_old", F.lit(True)))
+            .groupBy(*key)
+            .agg(F.bool_or("_old").alias("_old"))
+            .filter(~F.col("_old"))
+            .select(*key)
         )
-        frontier = cut(found.join(seen, key, "left_anti"))
         seen = seen.unionByName(frontier)
+        result = result.unionByName(frontier)
         rounds += 1
-    return seen.withColumnRenamed("dir", "cfg_path").join(
-        nodes.select("graph_id", "cfg_path"), ["graph_id", "cfg_path"], "left_semi"
-    ).select("commit_id", "graph_id", "cfg_path")
+    return result.withColumnRenamed("dir", "cfg_path")
 
 
 def cyclic_dirs(edges: DataFrame) -> DataFrame:
@@ -97,10 +114,11 @@ def cyclic_dirs(edges: DataFrame) -> DataFrame:
 def plan_scan_diff(plan_diff: DataFrame, dim: DataFrame) -> DataFrame:
     """Changed directories as the plan flags them, without closure, below their account's path."""
     accounts = dim.select(F.col("account_name").alias("graph_id"), F.col("account_path").alias("_above"))
+    changed = plan_diff.filter(F.col("error").isNull()).select(
+        "commit_id", "graph_id", "cfg_path"
+    )
     return (
-        plan_diff.filter(F.col("error").isNull())
-        .select("commit_id", "graph_id", "cfg_path")
-        .withColumn("_above", F.explode(prefixes(F.col("cfg_path"))))
+        with_prefixes(changed, F.col("cfg_path"))
         .join(accounts, ["graph_id", "_above"], "left_semi")
         .select("commit_id", "graph_id", "cfg_path")
         .distinct()
@@ -194,16 +212,15 @@ def ready_frontier(
     """``commit_id, is_rollback, execution_id`` of the waiting runs nothing blocks.
 
     Only direct dependencies count, and only ``succeeded`` unblocks. A NULL dependency
-    list keeps its run out. ``strict`` insists on a single waiting commit.
+    list keeps its run out, unless ``deps`` (``execution_id, dep_path``) holds the list in
+    long form. ``strict`` insists on a single waiting commit.
     """
     scope = single_commit_scope(runs, strict=True) if strict else runs
-    waiting = scope.filter(
-        (F.col("status") == "waiting") & F.col("account_deps").isNotNull()
-    ).select(*_SCOPE, "execution_id", "account_deps", "cfg_deps")
-    if deps is None:
-        waiting = waiting.filter(F.col("cfg_deps").isNotNull())
+    waiting = scope.filter((F.col("status") == "waiting") & F.col("account_deps").isNotNull())
     return (
-        waiting.join(blocked_account_lists(scope), [*_SCOPE, "account_deps"], "left_anti")
+        with_known_deps(waiting, deps)
+        .select(*_SCOPE, "execution_id", "account_deps")
+        .join(blocked_account_lists(scope), [*_SCOPE, "account_deps"], "left_anti")
         .join(cfg_blocked(scope, deps), "execution_id", "left_anti")
         .select(*_SCOPE, "execution_id")
     )
@@ -219,22 +236,17 @@ def deploy_waves(
     dependencies that still block, so the work shrinks with the rounds.
     """
     columns = [*_SCOPE, "execution_id", "cfg_path", "account_name", "account_deps", "status"]
+    blocking = runs.filter(F.col("status").isin(*BLOCKING))
+    unknown = blocking.join(
+        with_known_deps(blocking, deps).select("execution_id"), "execution_id", "left_anti"
+    ).select("execution_id", F.lit(True).alias("_unknown"))
     pending = cut(
-        runs.filter(F.col("status").isin(*BLOCKING)).select(
+        blocking.join(unknown, "execution_id", "left").select(
             *columns,
-            (
-                F.col("account_deps").isNull()
-                | (F.lit(False) if deps is not None else F.col("cfg_deps").isNull())
-            ).alias("_stuck"),
+            (F.col("account_deps").isNull() | F.col("_unknown").isNotNull()).alias("_stuck"),
         )
     )
-    waits = runs.filter(F.col("status") == "waiting")
-    if deps is None:
-        edges = run_deps(waits)
-    else:
-        edges = deps.select("execution_id", "dep_path").join(
-            waits.select("execution_id", *_SCOPE), "execution_id"
-        )
+    edges = run_deps(blocking.filter(F.col("status") == "waiting"), deps)
     done = None
     wave = 0
     while True:

@@ -52,25 +52,42 @@ def stack_semi(nodes: DataFrame, edges: DataFrame, diff: DataFrame) -> StackRows
     return StackRows(rows, deps)
 
 
-def run_deps(runs: DataFrame) -> DataFrame:
-    """Directory dependencies of the runs in long form."""
-    return runs.select(
-        "execution_id", *_SCOPE, F.explode("cfg_deps").alias("dep_path")
-    ).filter(F.col("dep_path").isNotNull())
+def run_deps(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame:
+    """Directory dependencies of the runs in long form: their lists, and ``deps`` as given."""
+    found = None
+    if "cfg_deps" in runs.columns:
+        found = runs.select(
+            "execution_id", *_SCOPE, F.explode("cfg_deps").alias("dep_path")
+        ).filter(F.col("dep_path").isNotNull())
+    if deps is not None:
+        long = (
+            deps.select("execution_id", "dep_path")
+            .join(runs.select("execution_id", *_SCOPE), "execution_id")
+            .select("execution_id", *_SCOPE, "dep_path")
+        )
+        found = long if found is None else found.unionByName(long)
+    return found
+
+
+def with_known_deps(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame:
+    """Runs whose dependency list is known: not NULL, or held in ``deps``."""
+    if "cfg_deps" not in runs.columns:
+        return runs
+    known = runs.filter(F.col("cfg_deps").isNotNull())
+    if deps is None:
+        return known
+    long = runs.filter(F.col("cfg_deps").isNull()).join(
+        deps.select("execution_id").distinct(), "execution_id", "left_semi"
+    )
+    return known.unionByName(long.select(known.columns))
 
 
 def cfg_blocked(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame:
     """Waiting runs with a dependency on a directory that is still pending in their commit.
 
-    ``deps`` replaces the array column for dependency lists kept in long form.
+    ``deps`` adds dependency lists kept in long form.
     """
-    waiting = runs.filter(F.col("status") == "waiting")
-    if deps is None:
-        wanted = run_deps(waiting)
-    else:
-        wanted = deps.select("execution_id", "dep_path").join(
-            waiting.select("execution_id", *_SCOPE), "execution_id"
-        )
+    wanted = run_deps(runs.filter(F.col("status") == "waiting"), deps)
     pending = (
         runs.filter(F.col("status").isin(*BLOCKING))
         .select(*_SCOPE, F.col("cfg_path").alias("dep_path"))

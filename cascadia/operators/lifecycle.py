@@ -118,6 +118,11 @@ def merge_lock(runs: DataFrame, builds: DataFrame) -> DataFrame:
     last = builds.groupBy("repo").agg(
         F.max_by(F.struct("pr_id", "state"), F.struct("ts", "pr_id")).alias("_b")
     )
+    return lock_values(last, runs)
+
+
+def lock_values(last: DataFrame, runs: DataFrame) -> DataFrame:
+    """Locks from the last build per repository, ``repo, _b(pr_id, state)``, and the runs."""
     busy = runs.groupBy("repo").agg(
         F.bool_or(F.col("status").isin(*IN_PROGRESS)).alias("_busy")
     )

@@ -95,10 +95,10 @@ VIEWS = {
         select l_orderkey as pr_id, filename, status from {changed_file}""",
     "run_base": """
         with r as (
-          select distinct l_suppkey, cfg_key, account_key, account_name, account_path, cfg_path, p_type, provider,
+          select l_suppkey, cfg_key, account_key, account_name, account_path, cfg_path, p_type, provider,
                  (l_suppkey*31 + cfg_key*17 + 16*cast(floor(cfg_key/25) as bigint)) % 20 as h,
                  (l_suppkey + cast(floor(account_key/5) as int)) % 3 as g
-          from {lineitem} join {cfg_node} on cfg_key = l_partkey)
+          from (select distinct l_suppkey, l_partkey from {lineitem}) join {cfg_node} on cfg_key = l_partkey)
         select l_suppkey as pr_id, md5(cast(l_suppkey as varchar(20))) as commit_id, cfg_key, account_key,
                account_name, account_path, cfg_path, provider,
                'run-'||cast(l_suppkey as varchar(20))||'-'||cast(cfg_key as varchar(20)) as execution_id,
