@@ -237,14 +237,13 @@ def deploy_waves(
     """
     columns = [*_SCOPE, "execution_id", "cfg_path", "account_name", "account_deps", "status"]
     blocking = runs.filter(F.col("status").isin(*BLOCKING))
-    unknown = blocking.join(
-        with_known_deps(blocking, deps).select("execution_id"), "execution_id", "left_anti"
-    ).select("execution_id", F.lit(True).alias("_unknown"))
+    unknown = F.col("cfg_deps").isNull() if "cfg_deps" in runs.columns else F.lit(False)
+    if deps is not None:
+        held = deps.select("execution_id", F.lit(True).alias("_held")).distinct()
+        blocking = blocking.join(held, "execution_id", "left")
+        unknown = unknown & F.col("_held").isNull()
     pending = cut(
-        blocking.join(unknown, "execution_id", "left").select(
-            *columns,
-            (F.col("account_deps").isNull() | F.col("_unknown").isNotNull()).alias("_stuck"),
-        )
+        blocking.select(*columns, (F.col("account_deps").isNull() | unknown).alias("_stuck"))
     )
     edges = run_deps(blocking.filter(F.col("status") == "waiting"), deps)
     done = None

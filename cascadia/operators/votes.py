@@ -1,5 +1,7 @@
 """Votes on runs: who holds which side, which vote decides, which come too late."""
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +62,54 @@ def voter_union(runs: DataFrame, votes: DataFrame, limit: int = PAGE_ROWS) -> Da
     return result.withColumns({_LISTS[0]: approvals, _LISTS[1]: rejections}).select(runs.columns)
 
 
-def _tallies(runs: DataFrame, votes: DataFrame, hot_rows: int) -> DataFrame:
+class Tally(NamedTuple):
+    """Where counting starts, in long form, so that a run may have any number of voters."""
+
+    runs: DataFrame  # execution_id, both minima, n_approve, n_reject
+    members: DataFrame  # execution_id, voter, approve, reject: the lists a voter is on
+
+
+def tally_of(runs: DataFrame) -> Tally:
+    """The starting point that a run table's voter lists give."""
+    starts = runs.select(
+        "execution_id",
+        *_LIMITS,
+        *[
+            F.size(F.array_distinct(F.col(c))).cast("bigint").alias(n)
+            for c, n in zip(_LISTS, ("n_approve", "n_reject"), strict=True)
+        ],
+    )
+
+    def tagged(column: str, side: str):
+        return F.transform(
+            F.col(column), lambda v: F.struct(v.alias("voter"), F.lit(side).alias("side"))
+        )
+
+    # Lists of NULL are left out here; their run has a NULL count and is never decided.
+    on = runs.select(
+        "execution_id",
+        F.explode(F.flatten(F.array_compact(F.array(tagged(_LISTS[0], "approve"), tagged(_LISTS[1], "reject"))))).alias("m"),
+    )
+    members = on.groupBy("execution_id", F.col("m.voter").alias("voter")).agg(
+        F.bool_or(F.col("m.side") == "approve").alias("approve"),
+        F.bool_or(F.col("m.side") == "reject").alias("reject"),
+    )
+    return Tally(starts, members)
+
+
+def members_after(members: DataFrame, votes: DataFrame) -> DataFrame:
+    """The lists' members after the votes: each voter is on the side of their last vote."""
+    sides = vote_sides(votes).select(
+        "execution_id",
+        "voter",
+        (F.col("action") == "approve").alias("approve"),
+        (F.col("action") == "reject").alias("reject"),
+    )
+    kept = members.join(sides, ["execution_id", "voter"], "left_anti")
+    return kept.select(sides.columns).unionByName(sides)
+
+
+def _after_each(start: Tally, votes: DataFrame, hot_rows: int) -> DataFrame:
     """Votes with the sizes of both sides right after each."""
     sided = previous_value(
         votes.select("execution_id", "voter", "action", *_ORDER),
@@ -70,46 +119,39 @@ def _tallies(runs: DataFrame, votes: DataFrame, hot_rows: int) -> DataFrame:
         "_before",
         hot_rows,
     )
-    seeds = runs.select("execution_id", *_LISTS, *_LIMITS)
-    # The lists are only looked into, never carried past this projection.
-    moved = sided.join(seeds, "execution_id").select(
-        *sided.columns,
-        *_LIMITS,
-        *[
-            F.coalesce(
-                F.col("_before") == action, F.array_contains(F.col(column), F.col("voter"))
-            ).alias(f"_had_{action}")
-            for action, column in (("approve", _LISTS[0]), ("reject", _LISTS[1]))
-        ],
-        *[F.size(F.array_distinct(F.col(c))).alias(f"_start_{c}") for c in _LISTS],
-    )
+    moved = sided.join(start.members, ["execution_id", "voter"], "left")
 
     def step(action: str):
-        had = F.col(f"_had_{action}")
+        had = F.coalesce(F.col("_before") == action, F.col(action), F.lit(False))
         return (
             F.when((F.col("action") == action) & ~had, 1)
             .when((F.col("action") != action) & had, -1)
             .otherwise(0)
         )
 
-    stepped = moved.withColumns({"_up": step("approve"), "_down": step("reject")})
+    stepped = moved.select(
+        "execution_id", "action", *_ORDER, step("approve").alias("_a"), step("reject").alias("_r")
+    )
     summed = running_sums(
-        stepped, ["execution_id"], _ORDER, {"_up": "_approve", "_down": "_reject"}, hot_rows
+        stepped, ["execution_id"], _ORDER, {"_a": "_approve", "_r": "_reject"}, hot_rows
     )
-    return summed.withColumns(
-        {
-            "n_approve": (F.col("_approve") + F.col(f"_start_{_LISTS[0]}")).cast("bigint"),
-            "n_reject": (F.col("_reject") + F.col(f"_start_{_LISTS[1]}")).cast("bigint"),
-        }
+    return summed.join(start.runs, "execution_id").select(
+        "execution_id",
+        "action",
+        *_ORDER,
+        *_LIMITS,
+        (F.col("n_approve") + F.col("_approve")).alias("n_approve"),
+        (F.col("n_reject") + F.col("_reject")).alias("n_reject"),
     )
 
 
-def _decisions(runs: DataFrame, votes: DataFrame, hot_rows: int) -> DataFrame:
+def decisions(start: Tally, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """As :func:`vote_decision`, from a long-form starting point, with the vote's ``ts``."""
     met = (F.col("n_approve") == F.col("min_approval_count")) | (
         F.col("n_reject") == F.col("min_rejection_count")
     )
     return (
-        _tallies(runs, votes, hot_rows)
+        _after_each(start, votes, hot_rows)
         .filter(met)
         .groupBy("execution_id")
         .agg(
@@ -127,15 +169,18 @@ def vote_decision(runs: DataFrame, votes: DataFrame, hot_rows: int = HOT_ROWS) -
     The decision is that vote's action, whichever side met its minimum. A voter's last
     vote replaces the earlier one; the run's voter lists are where counting starts.
     """
-    return _decisions(runs, votes, hot_rows).drop("ts")
+    return decisions(tally_of(runs), votes, hot_rows).drop("ts")
 
 
-def late_votes(runs: DataFrame, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``vote_id, accepted``: votes up to the deciding one are accepted, later ones are not."""
-    decided = _decisions(runs, votes, hot_rows).select(
-        "execution_id", F.struct("ts", "vote_id").alias("_at")
-    )
-    return votes.join(decided, "execution_id", "left").select(
+def in_time(decided: DataFrame, votes: DataFrame) -> DataFrame:
+    """``vote_id, accepted`` from the result of :func:`decisions`."""
+    at = decided.select("execution_id", F.struct(*_ORDER).alias("_at"))
+    return votes.join(at, "execution_id", "left").select(
         "vote_id",
         (F.col("_at").isNull() | (F.struct(*_ORDER) <= F.col("_at"))).alias("accepted"),
     )
+
+
+def late_votes(runs: DataFrame, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``vote_id, accepted``: votes up to the deciding one are accepted, later ones are not."""
+    return in_time(decisions(tally_of(runs), votes, hot_rows), votes)

@@ -19,16 +19,17 @@ from cascadia.operators.lifecycle import (
     start_ready,
     webhook_jobs,
 )
-from cascadia.operators.votes import late_votes, vote_decision, voter_union
+from cascadia.operators.votes import Tally, decisions, in_time, members_after
 from cascadia.session import cut
 from cascadia.sources.events import run_event_scan
 from cascadia.streaming.store import BucketStore
 
-# Run-level vote state: the lists, the minima, and the vote that decided.
-VOTE_STATE = (
-    "execution_id string, approval_voters array<string>, rejection_voters array<string>, "
-    "min_approval_count int, min_rejection_count int, decided_by bigint, decision string"
+# Vote state, both by run: the minima, counts and deciding vote, and who is on which list.
+VOTE_RUNS = (
+    "execution_id string, min_approval_count int, min_rejection_count int, n_approve bigint, "
+    "n_reject bigint, decided_by bigint, decision string"
 )
+VOTE_MEMBERS = "execution_id string, voter string, approve boolean, reject boolean"
 LONG_DEPS = "execution_id string, dep_path string"
 
 
@@ -84,38 +85,53 @@ def run_event_stream(
     return events.writeStream.foreachBatch(apply)
 
 
-def vote_stream(votes: DataFrame, store: BucketStore, out: str) -> DataStreamWriter:
-    """Decide runs as votes arrive; ``store`` holds :data:`VOTE_STATE` by ``execution_id``.
+def vote_stream(
+    votes: DataFrame, run_store: BucketStore, member_store: BucketStore, out: str
+) -> DataStreamWriter:
+    """Decide runs as votes arrive; the stores hold :data:`VOTE_RUNS` and :data:`VOTE_MEMBERS`.
 
     Votes on a run decided earlier, or after the deciding vote of the same batch, come
-    out as not accepted and leave the lists alone.
+    out as not accepted and change nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         new = cut(batch)
-        runs = cut(store.read(batch_id, store.touched(new)))
-        open_runs = runs.filter(F.col("decided_by").isNull())
-        on_open = cut(
-            new.join(open_runs.select("execution_id"), "execution_id", "left_semi")
+        touched = run_store.touched(new)
+        runs = cut(run_store.read(batch_id, touched))
+        members = cut(member_store.read(batch_id, touched))
+        undecided = runs.filter(F.col("decided_by").isNull())
+        on_open = cut(new.join(undecided.select("execution_id"), "execution_id", "left_semi"))
+        found = cut(decisions(Tally(undecided, members), on_open))
+        verdict = cut(in_time(found, on_open))
+        _put(found.drop("ts"), f"{out}/decisions", batch_id)
+        _put(
+            new.join(verdict, "vote_id", "left").select(
+                "vote_id", F.coalesce("accepted", F.lit(False)).alias("accepted")
+            ),
+            f"{out}/votes",
+            batch_id,
         )
-        decided = cut(vote_decision(open_runs, on_open))
-        verdict = cut(late_votes(open_runs, on_open))
         accepted = on_open.join(verdict.filter("accepted"), "vote_id", "left_semi")
-        late = new.join(verdict, "vote_id", "left").select(
-            "vote_id", F.coalesce("accepted", F.lit(False)).alias("accepted")
-        )
-        _put(decided, f"{out}/decisions", batch_id)
-        _put(late, f"{out}/votes", batch_id)
-        side = decided.select(
-            "execution_id", F.col("vote_id").alias("_by"), F.col("action").alias("_action")
+        members = cut(members_after(members, accepted))
+        counts = members.groupBy("execution_id").agg(
+            F.count_if("approve").alias("n_approve"), F.count_if("reject").alias("n_reject")
         )
+        by = found.select("execution_id", F.col("vote_id").alias("_by"), "action")
         after = (
-            voter_union(runs, accepted)
-            .join(side, "execution_id", "left")
-            .withColumn("decided_by", F.coalesce("decided_by", "_by"))
-            .withColumn("decision", F.coalesce("decision", "_action"))
+            runs.drop("n_approve", "n_reject")
+            .join(counts, "execution_id", "left")
+            .join(by, "execution_id", "left")
+            .withColumns(
+                {
+                    "n_approve": F.coalesce("n_approve", F.lit(0)),
+                    "n_reject": F.coalesce("n_reject", F.lit(0)),
+                    "decided_by": F.coalesce("decided_by", "_by"),
+                    "decision": F.coalesce("decision", "action"),
+                }
+            )
         )
-        store.write(after, batch_id)
+        member_store.write(members, batch_id)
+        run_store.write(after, batch_id)
 
     return votes.writeStream.foreachBatch(apply)
 
