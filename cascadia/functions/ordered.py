@@ -1,9 +1,9 @@
 """Order-dependent values that survive hot groups.
 
-A window puts a whole group into one task. Here the group sizes are counted first; if
-some group is larger than ``hot_rows``, the rows are range-partitioned by
-``keys + order``, so a hot group spans many slices. Windows then run per slice and
-per-slice summaries (one row per group and slice) carry values across slices.
+A window puts a whole group into one task. Where the caller has counted a group too large
+for that, it asks for slices: the rows are range-partitioned by ``keys + order``, so a
+hot group spans many slices, windows run per slice, and per-slice summaries (one row
+per group and slice) carry values across slices. Both ways give the same values.
 """
 
 from collections.abc import Sequence
@@ -13,14 +13,10 @@ from pyspark.sql import functions as F
 
 from cascadia.session import cut
 
+# Rows of one group that a single task may still sort.
 HOT_ROWS = 2_000_000
 
 
-def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     # The slice number depends on sampled range bounds, so it is stored before it is used twice.
     ranged = df.repartitionByRange(*keys, *order)
@@ -33,11 +29,11 @@ def previous_value(
     order: Sequence[str],
     column: str,
     out: str,
-    hot_rows: int = HOT_ROWS,
+    sliced: bool = False,
 ) -> DataFrame:
     """Add ``out``: the value of ``column`` in the row before, within ``keys`` by ``order``."""
     keys, order = list(keys), list(order)
-    if _largest_group(df, keys) <= hot_rows:
+    if not sliced:
         return df.withColumn(out, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
     rows = _sliced(df, keys, order)
     last = rows.groupBy(*keys, "_slice").agg(
@@ -61,12 +57,12 @@ def running_sums(
     keys: Sequence[str],
     order: Sequence[str],
     sums: dict[str, str],
-    hot_rows: int = HOT_ROWS,
+    sliced: bool = False,
 ) -> DataFrame:
     """Add for each ``column: out`` the sum of ``column`` up to and including the row."""
     keys, order = list(keys), list(order)
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if not keys or _largest_group(df, keys) > hot_rows:
+    if sliced:
         return _running_sums_sliced(df, keys, order, sums)
     whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
     return df.withColumns({out: F.sum(c).over(whole) for c, out in sums.items()})

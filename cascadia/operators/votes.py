@@ -109,15 +109,24 @@ def members_after(members: DataFrame, votes: DataFrame) -> DataFrame:
     return kept.select(sides.columns).unionByName(sides)
 
 
+def _largest(votes: DataFrame) -> tuple[int, int]:
+    """Most votes of one voter on one run, and of one run: one pass, combined before the shuffle."""
+    pairs = votes.groupBy("execution_id", "voter").agg(F.count(F.lit(1)).alias("n"))
+    runs = pairs.groupBy("execution_id").agg(F.max("n").alias("pair"), F.sum("n").alias("run"))
+    pair, run = runs.agg(F.max("pair"), F.max("run")).first()
+    return pair or 0, run or 0
+
+
 def _after_each(start: Tally, votes: DataFrame, hot_rows: int) -> DataFrame:
     """Votes with the sizes of both sides right after each."""
+    most_of_pair, most_of_run = _largest(votes)
     sided = previous_value(
         votes.select("execution_id", "voter", "action", *_ORDER),
         ["execution_id", "voter"],
         _ORDER,
         "action",
         "_before",
-        hot_rows,
+        sliced=most_of_pair > hot_rows,
     )
     moved = sided.join(start.members, ["execution_id", "voter"], "left")
 
@@ -133,7 +142,11 @@ def _after_each(start: Tally, votes: DataFrame, hot_rows: int) -> DataFrame:
         "execution_id", "action", *_ORDER, step("approve").alias("_a"), step("reject").alias("_r")
     )
     summed = running_sums(
-        stepped, ["execution_id"], _ORDER, {"_a": "_approve", "_r": "_reject"}, hot_rows
+        stepped,
+        ["execution_id"],
+        _ORDER,
+        {"_a": "_approve", "_r": "_reject"},
+        sliced=most_of_run > hot_rows,
     )
     return summed.join(start.runs, "execution_id").select(
         "execution_id",

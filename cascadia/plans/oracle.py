@@ -353,6 +353,15 @@ _SQL = {
         'Approval submissions are not available anymore -- Execution Status: '||live_status end as message
       from {vote} v join {vote_run} r on r.execution_id = v.execution_id""",
     "fill_defaults": _DEFAULTS,
+    "fill_dim_defaults": f"""
+      select row_key, name as account_name, coalesce(given_path, name||'/'||{_hashed('k', 'path', 7)}) as account_path,
+             case when row_key % 5 = 0 then segment else '' end as account_deps,
+             coalesce(case when row_key % 7 = 0 then cast(row_key % 4 as int) end, {_one_or_two('k', 'approval')}) as min_approval_count,
+             {_one_or_two('k', 'rejection')} as min_rejection_count,
+             case when row_key % 2 = 0 then c_name||'|'||segment else '' end as voters
+      from (select c_custkey as row_key, cast(c_custkey as varchar) as k, c_name, c_mktsegment as segment,
+              case when c_custkey % 3 = 0 then c_name else 'account-'||{_hashed('cast(c_custkey as varchar)', 'name', 3)} end as name,
+              case when c_custkey % 4 = 0 then 'live/'||c_mktsegment end as given_path from {{customer}})""",
     "abort_live_match": """
       select execution_id, case when resource_a is not null then 'live:'||execution_id end as run_ref,
              resource_a is not null as found
@@ -479,7 +488,7 @@ _SQL = {
         coalesce(dep_name, '') as account_deps
       from created r left join deps d on d.execution_id = r.execution_id
       left join {{account_dep}} a on a.account_name = r.account_name""",
-    "target_resource_flags": f"select execution_id, {_FLAGS} as flags from {{run_base}}",
+    "target_flags": f"select execution_id, {_FLAGS} as flags from {{run_base}}",
     "webhook_stream": f"""
       with ok as (select * from ({_EVENT_CHECKED}) where {_EVENT_CODE} = 200 and matched)
       select distinct 'plan' as kind, event_id, number as pr_id, head_ref, b.account_name, {_CONFIG_DIR} as cfg_path

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascadia.functions.lists import inline_lists
-from cascadia.functions.text import empty_list, target_flags
+from cascadia.functions import text as X
+from cascadia.functions.text import empty_list
 from cascadia.operators import aggregates as A
 from cascadia.operators import filters as FL
 from cascadia.operators import graph as G
@@ -379,6 +380,33 @@ def fill_defaults(t):
     )
 
 
+@query
+def fill_dim_defaults(t):
+    key = F.col("c_custkey")
+
+    def given(modulus: int, value, kind: str):
+        return F.when(key % modulus == 0, value).cast(kind)
+
+    partial = t["customer"].select(
+        key.alias("row_key"),
+        given(3, F.col("c_name"), "string").alias("account_name"),
+        given(4, F.concat(F.lit("live/"), F.col("c_mktsegment")), "string").alias("account_path"),
+        F.when(key % 5 == 0, F.array("c_mktsegment")).alias("account_deps"),
+        given(7, key % 4, "int").alias("min_approval_count"),
+        F.lit(None).cast("int").alias("min_rejection_count"),
+        F.when(key % 2 == 0, F.array("c_name", "c_mktsegment")).alias("voters"),
+    )
+    return J.fill_dim_defaults(partial).select(
+        "row_key",
+        "account_name",
+        "account_path",
+        text("account_deps"),
+        "min_approval_count",
+        "min_rejection_count",
+        text("voters"),
+    )
+
+
 @query
 def abort_live_match(t):
     base = t["run_base"]
@@ -596,10 +624,10 @@ def rollback_stack(t):
 
 
 @query
-def target_resource_flags(t):
+def target_flags(t):
     return t["run_base"].select(
         "execution_id",
-        target_flags(F.array_compact(F.array("resource_a", "resource_b"))).alias("flags"),
+        X.target_flags(F.array_compact(F.array("resource_a", "resource_b"))).alias("flags"),
     )
 
 

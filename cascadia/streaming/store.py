@@ -2,7 +2,7 @@
 
 Rows live in buckets by a hash of their key. A micro-batch reads the buckets its events
 touch and writes those buckets anew under its batch id; a finished write has the usual
-success marker. A repeated batch reads what was there before it and overwrites its
+success marker. Version 0 is the first state, version ``n + 1`` what batch ``n`` wrote. A repeated batch reads what was there before it and overwrites its
 own output, so an executor or driver lost at any time changes nothing.
 """
 
@@ -29,6 +29,10 @@ class BucketStore:
         rows = events.select(self.bucket().alias("b")).distinct().collect()
         return [row.b for row in rows if row.b is not None]
 
+    def create(self, rows: DataFrame) -> None:
+        """Write the state the first batch starts from."""
+        self.write(rows, -1)
+
     def write(self, rows: DataFrame, batch_id: int) -> None:
         # Rebalancing splits a bucket with very many rows over several tasks and files.
         (
@@ -37,15 +41,15 @@ class BucketStore:
             .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .partitionBy("bucket")
-            .parquet(f"{self.path}/version={batch_id:012d}")
+            .parquet(f"{self.path}/version={batch_id + 1:012d}")
         )
 
-    def read(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        """Newest rows, of the given buckets, written by batches below ``before``."""
+    def read(self, batch_id: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Newest rows, of the given buckets, as ``batch_id`` finds them; by default all."""
         wanted = set(range(self.buckets) if buckets is None else buckets)
         paths = []
         for version in sorted(self._children(self.path, "version="), reverse=True):
-            if before is not None and int(version) >= before:
+            if batch_id is not None and int(version) > batch_id:
                 continue
             folder = f"{self.path}/version={version}"
             if not wanted:
