@@ -60,3 +60,38 @@ CONFIG_SUFFIXES = (".hcl", ".tf")
 FILE_PATH_PATTERN = r".+\.(hcl|tf)$"
 ACTIONS = ("approve", "reject")
 UNLOCKED = "none"
+
+# Texts shown to users.
+BAD_SIGNATURE_KIND = "Signature is not a valid sha256 value"
+BAD_SIGNATURE = "Header signature and expected signature do not match"
+NOT_A_PULL_REQUEST = "Event is not a pull request"
+NO_PATH_MATCH = "No diff filepath was matched within pattern: "
+REQUEST_OK = "Request was successful"
+NOT_FOUND = "Not Found"
+LOCKED_TEXT = "Locked -- In Progress PR #"
+UNLOCKED_TEXT = "Unlocked"
+VOTE_EXPIRED = "Approval submissions are not available anymore -- Execution Status: "
+MAIL_OK = "All emails were successfully sent"
+MAIL_FAILED = " emails failed to send"
+ROLLBACK_FAILED = (
+    "Rollback execution failed -- User with administrative privileges"
+    " will need to manually fix configuration"
+)
+UNKNOWN_STATUS = "status is unknown: "
+PLAN_CONTEXT = "Plan: "
+
+# Event source and detail type of finished runs.
+RUN_EVENT_SOURCE = "aws.states"
+RUN_EVENT_TYPE = "Step Functions Execution Status Change"
+
+# The states of one run, in the order in which they can be entered.
+STATES = ("Plan", "Request Approval", "Approval Results", "Apply", "Success", "Reject")
+
+# Run id prefixes and command texts.
+DEPLOY_ID = "run-"
+ROLLBACK_ID = "run-rollback-"
+WORK_DIR_FLAG = " --terragrunt-working-dir "
+ROLE_FLAG = " --terragrunt-iam-role "
+PLAN_TAIL = " -no-color"
+APPLY_TAIL = " -no-color -auto-approve"
+DESTROY_PLAN_TAIL = " -no-color -destroy"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cascadia.functions.lists import PAGE_ROWS, ordered_pages, paged_list
 from cascadia.functions.ordered import numbered
 from cascadia.functions.paths import config_dirs
-from cascadia.model import IN_PROGRESS, SCAN_STATUSES
+from cascadia.model import IN_PROGRESS, MAIL_FAILED, MAIL_OK, SCAN_STATUSES, UNKNOWN_STATUS
 
 
 def changed_dirs(files: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def status_rollup(statuses: DataFrame) -> DataFrame:
         .when(F.col("_succeeded") > 0, "succeeded")
         .alias("status"),
         F.when(
-            unknown_first, F.concat(F.lit("status is unknown: "), F.col("_unknown.status"))
+            unknown_first, F.concat(F.lit(UNKNOWN_STATUS), F.col("_unknown.status"))
         )
         .when(
             F.col("_running").isNull() & (F.col("_failed") + F.col("_succeeded") == 0),
@@ -86,9 +86,9 @@ def delivery_failures(deliveries: DataFrame) -> DataFrame:
                 F.col("failed").cast("string"),
                 F.lit("/"),
                 F.col("total").cast("string"),
-                F.lit(" emails failed to send"),
+                F.lit(MAIL_FAILED),
             ),
-        ).otherwise(F.lit("All emails were successfully sent")),
+        ).otherwise(F.lit(MAIL_OK)),
     )
 
 

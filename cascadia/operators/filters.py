@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cascadia import model as M
 from cascadia.functions.paths import config_dirs, under_accounts
 from cascadia.functions.text import hmac_sha256
 from cascadia.model import (
@@ -54,8 +55,8 @@ def webhook_route(events: DataFrame) -> DataFrame:
 
 def run_event_filter(
     events: DataFrame,
-    source: str = "aws.states",
-    detail_type: str = "Step Functions Execution Status Change",
+    source: str = M.RUN_EVENT_SOURCE,
+    detail_type: str = M.RUN_EVENT_TYPE,
 ) -> DataFrame:
     """Finished-run events of the one source; a timed-out run is not among the statuses."""
     return events.filter(
@@ -89,8 +90,8 @@ def lock_status(locks: DataFrame, prs: DataFrame) -> DataFrame:
         "repo",
         "head_ref",
         F.when(free, "success").otherwise("pending").alias("state"),
-        F.when(free, F.lit("Unlocked"))
-        .otherwise(F.concat(F.lit("Locked -- In Progress PR #"), F.col("lock_value")))
+        F.when(free, F.lit(M.UNLOCKED_TEXT))
+        .otherwise(F.concat(F.lit(M.LOCKED_TEXT), F.col("lock_value")))
         .alias("description"),
     )
 
@@ -120,8 +121,8 @@ def signature_check(events: DataFrame, secret: str) -> DataFrame:
     prefixed = header.startswith("sha256=")
     # Everything after the first "=" must be the digest.
     same = F.substring(header, 8, 2**31 - 1) == hmac_sha256(secret, F.col("body"))
-    error = F.when(~prefixed, F.lit("Signature is not a valid sha256 value")).when(
-        ~same, F.lit("Header signature and expected signature do not match")
+    error = F.when(~prefixed, F.lit(M.BAD_SIGNATURE_KIND)).when(
+        ~same, F.lit(M.BAD_SIGNATURE)
     )
     return events.withColumn("sig_error", error).withColumn("sig_ok", F.col("sig_error").isNull())
 
@@ -150,14 +151,14 @@ def webhook_outcome(
     )
     message = (
         F.when(~F.col("is_json"), F.col("parse_error"))
-        .when(F.col("route").isNull(), F.lit("Not Found"))
+        .when(F.col("route").isNull(), F.lit(M.NOT_FOUND))
         .when(~F.col("sig_ok"), F.col("sig_error"))
         .when(
             unmatched,
-            F.lit(f"No diff filepath was matched within pattern: {pattern}"),
+            F.lit(M.NO_PATH_MATCH + pattern),
         )
         .when(F.col("parse_error").isNotNull(), F.col("parse_error"))
-        .otherwise(F.lit("Request was successful"))
+        .otherwise(F.lit(M.REQUEST_OK))
     )
     return joined.select(
         *events.columns,

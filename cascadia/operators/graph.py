@@ -1,10 +1,12 @@
 """Graph operators: impact closure, deploy stacks, ready frontier, waves, rollback stacks."""
 
-from typing import NamedTuple
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cascadia import model as M
 from cascadia.functions.lists import PAGE_ROWS, inline_lists
 from cascadia.functions.paths import with_prefixes
 from cascadia.functions.text import empty_list, leaf, stable_hash, target_flags
@@ -12,6 +14,7 @@ from cascadia.model import BLOCKING, RUN_COLUMNS
 from cascadia.operators.joins import (
     blocked_account_lists,
     cfg_blocked,
+    reverse_deps,
     rollback_guard,
     run_deps,
     single_commit_scope,
@@ -23,34 +26,55 @@ from cascadia.session import cut
 _SCOPE = ["commit_id", "is_rollback"]
 
 
-class Stack(NamedTuple):
+@dataclass(frozen=True)
+class Stack:
     """New run rows, with their directory dependencies in long form.
 
-    ``runs`` has the run columns except ``cfg_deps``; ``deps`` is
-    ``execution_id, dep_path``. A shared directory may have any number of dependents,
-    so the lists are only put into rows by :meth:`table`, and those too long for a row
-    are what :meth:`long_deps` keeps.
+    ``rows`` holds one narrow row per run, ``edges`` the dependencies under the same
+    ``keys``; ``widen`` turns rows into run columns. A shared directory may have any number
+    of dependents, so lists are only put into rows by :meth:`table`, and those too long
+    for a row are what :meth:`long_deps` keeps.
     """
 
-    runs: DataFrame
-    deps: DataFrame
+    rows: DataFrame
+    edges: DataFrame
+    keys: tuple[str, ...]
+    widen: Callable[[DataFrame], DataFrame]
+
+    @property
+    def runs(self) -> DataFrame:
+        """Run columns except ``cfg_deps``."""
+        return self.widen(self.rows).select([c for c in RUN_COLUMNS if c != "cfg_deps"])
+
+    @property
+    def deps(self) -> DataFrame:
+        """All dependencies as ``execution_id, dep_path``."""
+        return self._with_ids(self.edges)
 
     def table(self, limit: int = PAGE_ROWS) -> DataFrame:
-        """Rows in table shape. A list longer than ``limit`` is NULL here and whole in ``deps``."""
-        order = "pos" if "pos" in self.deps.columns else None
-        lists = inline_lists(self.deps, ["execution_id"], "dep_path", "cfg_deps", order, limit)
-        joined = self.runs.join(lists, "execution_id", "left")
-        return joined.withColumn(
+        """Rows in table shape. A list longer than ``limit`` is NULL here, whole in long form."""
+        order = "pos" if "pos" in self.edges.columns else None
+        keys = list(self.keys)
+        lists = inline_lists(self.edges, keys, "dep_path", "cfg_deps", order, limit)
+        # The lists join the narrow rows; the long texts are made after the shuffle.
+        joined = self.rows.join(lists, keys, "left").withColumn(
             "cfg_deps", F.when(F.col("n").isNull(), empty_list()).otherwise(F.col("cfg_deps"))
-        ).select(RUN_COLUMNS)
+        )
+        return self.widen(joined).select(RUN_COLUMNS)
 
     def long_deps(self, limit: int = PAGE_ROWS) -> DataFrame:
         """``execution_id, dep_path`` of the lists that :meth:`table` leaves NULL."""
-        long = self.deps.groupBy("execution_id").agg(F.count(F.lit(1)).alias("n"))
-        return self.deps.select("execution_id", "dep_path").join(
-            long.filter(F.col("n") > limit), "execution_id", "left_semi"
+        keys = list(self.keys)
+        long = self.edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        return self._with_ids(
+            self.edges.join(long.filter(F.col("n") > limit), keys, "left_semi")
         )
 
+    def _with_ids(self, edges: DataFrame) -> DataFrame:
+        keys = list(self.keys)
+        ids = self.widen(self.rows).select(*keys, "execution_id")
+        return edges.join(ids, keys).select("execution_id", "dep_path")
+
 
 def impact_closure(
     nodes: DataFrame, edges: DataFrame, seeds: DataFrame, max_rounds: int | None = None
@@ -151,9 +175,9 @@ def _run_id(kind: str) -> Column:
 
 def _command(verb: str, role: str, tail: str, flags: Column | None = None) -> Column:
     parts = [
-        F.lit(f"terragrunt {verb} --terragrunt-working-dir "),
+        F.lit(f"terragrunt {verb}{M.WORK_DIR_FLAG}"),
         F.col("cfg_path"),
-        F.lit(" --terragrunt-iam-role "),
+        F.lit(M.ROLE_FLAG),
         F.col(role),
     ]
     return F.concat(*parts, *([] if flags is None else [flags]), F.lit(tail))
@@ -172,38 +196,36 @@ def deploy_stack(
     A graph's id is its account's name. ``commits`` is ``commit_id, pr_id, base_ref,
     head_ref``; ``providers`` is ``graph_id, cfg_path, new_providers``.
     """
-    found = stack_semi(nodes, edges, diff)
-    head = commits.select("commit_id", "pr_id", "base_ref", "head_ref")
-    rows = (
-        found.rows.join(
-            providers.select("graph_id", "cfg_path", "new_providers"),
-            ["graph_id", "cfg_path"],
-            "left",
-        )
-        .withColumnRenamed("graph_id", "account_name")
-        .join(dim, "account_name")
-        .join(head, "commit_id")
+    found = stack_semi(
+        *(df.withColumnRenamed("graph_id", "account_name") for df in (nodes, edges, diff)),
+        graph="account_name",
     )
-    runs = rows.withColumns(
-        {
-            "execution_id": _run_id("run-"),
-            "is_rollback": F.lit(False),
-            "status": F.lit("waiting"),
-            "plan_command": _command("plan", "plan_role_arn", " -no-color"),
-            "apply_command": _command("apply", "apply_role_arn", " -no-color -auto-approve"),
-            "new_providers": F.coalesce(F.col("new_providers"), empty_list()),
-            "new_resources": empty_list(),
-            "approval_voters": empty_list(),
-            "rejection_voters": empty_list(),
-        }
-    ).select([c for c in RUN_COLUMNS if c != "cfg_deps"])
-    deps = (
-        found.deps.withColumnRenamed("graph_id", "account_name")
-        .join(dim.select("account_name"), "account_name", "left_semi")
-        .join(head, "commit_id")
-        .select(_run_id("run-").alias("execution_id"), "dep_path", "pos")
+    known = providers.select(
+        F.col("graph_id").alias("account_name"), "cfg_path", "new_providers"
     )
-    return Stack(runs, deps)
+    head = commits.select("commit_id", "pr_id", "base_ref", "head_ref")
+
+    def widen(rows: DataFrame) -> DataFrame:
+        return (
+            rows.join(known, ["account_name", "cfg_path"], "left")
+            .join(dim, "account_name")
+            .join(head, "commit_id")
+            .withColumns(
+                {
+                    "execution_id": _run_id(M.DEPLOY_ID),
+                    "is_rollback": F.lit(False),
+                    "status": F.lit("waiting"),
+                    "plan_command": _command("plan", "plan_role_arn", M.PLAN_TAIL),
+                    "apply_command": _command("apply", "apply_role_arn", M.APPLY_TAIL),
+                    "new_providers": F.coalesce(F.col("new_providers"), empty_list()),
+                    "new_resources": empty_list(),
+                    "approval_voters": empty_list(),
+                    "rejection_voters": empty_list(),
+                }
+            )
+        )
+
+    return Stack(found.rows, found.deps, ("commit_id", "account_name", "cfg_path"), widen)
 
 
 def ready_frontier(
@@ -291,27 +313,24 @@ def rollback_stack(runs: DataFrame, failed_commits: DataFrame) -> Stack:
 
     Account dependencies are copied, not reversed.
     """
-    created = rollback_guard(
-        runs.join(failed_commits.select("commit_id").distinct(), "commit_id", "left_semi")
-    ).filter(F.size("new_resources") > 0)
+    failed = runs.join(failed_commits.select("commit_id").distinct(), "commit_id", "left_semi")
+    # Rows, dependents and members all come from these runs, so they are stored once.
+    created = cut(rollback_guard(failed).filter(F.size("new_resources") > 0))
     flags = target_flags(F.col("new_resources"))
-    new = created.drop("cfg_deps").withColumns(
-        {
-            "execution_id": _run_id("run-rollback-"),
-            "is_rollback": F.lit(True),
-            "status": F.lit("waiting"),
-            "plan_command": _command("plan", "plan_role_arn", " -no-color -destroy", flags),
-            "apply_command": _command(
-                "destroy", "apply_role_arn", " -no-color -auto-approve", flags
-            ),
-            "approval_voters": empty_list(),
-            "rejection_voters": empty_list(),
-        }
-    )
-    dependents = created.select(
-        "commit_id", F.explode("cfg_deps").alias("cfg_path"), F.col("cfg_path").alias("dep_path")
+
+    def widen(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(
+            {
+                "execution_id": _run_id(M.ROLLBACK_ID),
+                "is_rollback": F.lit(True),
+                "status": F.lit("waiting"),
+                "plan_command": _command("plan", "plan_role_arn", M.DESTROY_PLAN_TAIL, flags),
+                "apply_command": _command("destroy", "apply_role_arn", M.APPLY_TAIL, flags),
+                "approval_voters": empty_list(),
+                "rejection_voters": empty_list(),
+            }
+        )
+
+    return Stack(
+        created.drop("cfg_deps"), reverse_deps(created), ("commit_id", "cfg_path"), widen
     )
-    deps = dependents.join(
-        new.select("commit_id", "cfg_path", "execution_id"), ["commit_id", "cfg_path"]
-    ).select("execution_id", "dep_path")
-    return Stack(new.select([c for c in RUN_COLUMNS if c != "cfg_deps"]), deps)

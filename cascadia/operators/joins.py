@@ -14,8 +14,17 @@ from cascadia.functions.text import (
     stable_hash,
     stable_number,
 )
-from cascadia.model import ACTIONS, BLOCKING, OPEN_STATUSES, RUN_COLUMNS
+from cascadia.model import (
+    ACTIONS,
+    BLOCKING,
+    OPEN_STATUSES,
+    PLAN_CONTEXT,
+    RUN_COLUMNS,
+    VOTE_EXPIRED,
+    WORK_DIR_FLAG,
+)
 from cascadia.operators.aggregates import next_pr_id
+from cascadia.session import cut
 
 _SCOPE = ["commit_id", "is_rollback"]
 
@@ -35,19 +44,22 @@ class StackRows(NamedTuple):
     deps: DataFrame  # commit_id, graph_id, cfg_path, dep_path, pos
 
 
-def stack_semi(nodes: DataFrame, edges: DataFrame, diff: DataFrame) -> StackRows:
+def stack_semi(
+    nodes: DataFrame, edges: DataFrame, diff: DataFrame, graph: str = "graph_id"
+) -> StackRows:
     """Sub-graph of each commit's changed directories.
 
     A directory without a remaining dependency stays in ``rows``.
     """
-    rows = diff.join(nodes, ["graph_id", "cfg_path"], "left_semi").select(
-        "commit_id", "graph_id", "cfg_path"
-    )
-    changed = diff.select("commit_id", "graph_id", F.col("cfg_path").alias("dep_path"))
+    keys = ["commit_id", graph, "cfg_path"]
+    # The diff is needed several times, so it is stored instead of computed again.
+    diff = cut(diff.select(keys))
+    rows = diff.join(nodes, [graph, "cfg_path"], "left_semi").select(keys)
+    changed = diff.select("commit_id", graph, F.col("cfg_path").alias("dep_path"))
     deps = (
-        rows.join(edges, ["graph_id", "cfg_path"])
-        .join(changed, ["commit_id", "graph_id", "dep_path"], "left_semi")
-        .select("commit_id", "graph_id", "cfg_path", "dep_path", "pos")
+        rows.join(edges.select(graph, "cfg_path", "dep_path", "pos"), [graph, "cfg_path"])
+        .join(changed, ["commit_id", graph, "dep_path"], "left_semi")
+        .select(*keys, "dep_path", "pos")
     )
     return StackRows(rows, deps)
 
@@ -176,10 +188,7 @@ def vote_running_semi(votes: DataFrame, live: DataFrame) -> DataFrame:
         (F.col("_live") == "RUNNING").alias("accepted"),
         F.when(
             F.col("_live") != "RUNNING",
-            F.concat(
-                F.lit("Approval submissions are not available anymore -- Execution Status: "),
-                F.col("_live"),
-            ),
+            F.concat(F.lit(VOTE_EXPIRED), F.col("_live")),
         ).alias("message"),
     )
 
@@ -301,7 +310,7 @@ def fill_defaults(
         }
     )
     verb = F.when(F.col("is_rollback"), "destroy")
-    work_dir = F.concat(F.lit(" --terragrunt-working-dir "), F.col("cfg_path"))
+    work_dir = F.concat(F.lit(WORK_DIR_FLAG), F.col("cfg_path"))
     rows = rows.withColumns(
         {
             "status": F.coalesce(
@@ -396,7 +405,7 @@ def plan_fanout(prs: DataFrame, files: DataFrame, dim: DataFrame) -> DataFrame:
         "account_name",
         F.col("dir").alias("cfg_path"),
         F.col("plan_role_arn").alias("role_arn"),
-        F.concat(F.lit("Plan: "), F.col("dir")).alias("context"),
+        F.concat(F.lit(PLAN_CONTEXT), F.col("dir")).alias("context"),
     )
     return prs.join(jobs, "pr_id").select(
         *prs.columns, "account_name", "cfg_path", "role_arn", "context"

@@ -5,7 +5,15 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascadia.model import BROKEN, FILE_PATH_PATTERN, IN_PROGRESS, RUN_COLUMNS, UNLOCKED
+from cascadia.model import (
+    BROKEN,
+    FILE_PATH_PATTERN,
+    IN_PROGRESS,
+    ROLLBACK_FAILED,
+    RUN_COLUMNS,
+    STATES,
+    UNLOCKED,
+)
 from cascadia.operators.filters import (
     signature_check,
     webhook_outcome,
@@ -85,10 +93,7 @@ def failure_cascade(runs: DataFrame, finished: DataFrame) -> Cascade:
     errors = finished.filter(F.col("status").isin(*BROKEN) & F.col("is_rollback")).select(
         "execution_id",
         "commit_id",
-        F.lit(
-            "Rollback execution failed -- User with administrative privileges"
-            " will need to manually fix configuration"
-        ).alias("error"),
+        F.lit(ROLLBACK_FAILED).alias("error"),
     )
     return Cascade(after, errors)
 
@@ -137,10 +142,6 @@ def lock_values(last: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-# The states of one run, in the order in which they can be entered.
-STATES = ("Plan", "Request Approval", "Approval Results", "Apply", "Success", "Reject")
-
-
 def step_outcome(step_events: DataFrame) -> DataFrame:
     """``execution_id, path, status`` from a run's step events.
 

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cascadia.model import NOT_A_PULL_REQUEST
+
 _REF = "struct<sha:string,ref:string>"
 _WEBHOOK = (
     "struct<action:string,repository:struct<full_name:string>,"
@@ -44,7 +46,7 @@ def webhook_scan(raw: DataFrame) -> DataFrame:
     body_error = F.when(~F.col("is_json"), F.lit("body is not a JSON object")).when(
         missing != "", F.concat(F.lit("missing: "), missing)
     )
-    header_error = F.when(kind != "pull_request", F.lit("Event is not a pull request"))
+    header_error = F.when(kind != "pull_request", F.lit(NOT_A_PULL_REQUEST))
     return fields.withColumn("body_error", body_error).withColumn(
         "parse_error", F.coalesce(header_error, F.col("body_error"))
     )
