@@ -55,10 +55,9 @@ def webhook_scan(raw: DataFrame) -> DataFrame:
 def run_event_scan(raw: DataFrame) -> DataFrame:
     """Finished-run events: the output if there is one, else the input with the event's status."""
     has_output = F.length("output") > 0
-    parsed = raw.withColumn(
-        "_run",
-        F.when(has_output, F.from_json("output", _RUN)).otherwise(F.from_json("input", _RUN)),
-    )
+    # The text is chosen first, so each event is parsed once.
+    chosen = F.when(has_output, F.col("output")).otherwise(F.col("input"))
+    parsed = raw.withColumn("_run", F.from_json(chosen, _RUN))
     return parsed.select(
         "event_id",
         "ts",
