@@ -21,7 +21,7 @@ from cascadia.operators.joins import (
     stack_semi,
     with_known_deps,
 )
-from cascadia.session import cut
+from cascadia.session import Collected, cut
 
 _SCOPE = ["commit_id", "is_rollback"]
 
@@ -87,10 +87,11 @@ def impact_closure(
     """
     key = ["commit_id", "graph_id", "dir"]
     frontier = cut(seeds.select(*key).distinct())
-    seen = frontier
+    seen, result = Collected(), Collected()
+    seen.add(frontier)
     # Whatever an edge leads to is a node, so only the seeds need the node check.
     known = nodes.select("graph_id", F.col("cfg_path").alias("dir"))
-    result = frontier.join(known, ["graph_id", "dir"], "left_semi").select(*key)
+    result.add(frontier.join(known, ["graph_id", "dir"], "left_semi").select(*key))
     up = cut(edges.select("graph_id", F.col("dep_path").alias("dir"), "cfg_path").distinct())
     rounds = 0
     while not frontier.isEmpty():
@@ -102,16 +103,16 @@ def impact_closure(
         # One hash aggregate both removes repeats and drops what was seen before.
         frontier = cut(
             found.withColumn("_old", F.lit(False))
-            .unionByName(seen.withColumn("_old", F.lit(True)))
+            .unionByName(seen.frame.withColumn("_old", F.lit(True)))
             .groupBy(*key)
             .agg(F.bool_or("_old").alias("_old"))
             .filter(~F.col("_old"))
             .select(*key)
         )
-        seen = seen.unionByName(frontier)
-        result = result.unionByName(frontier)
+        seen.add(frontier)
+        result.add(frontier)
         rounds += 1
-    return result.withColumnRenamed("dir", "cfg_path")
+    return result.frame.withColumnRenamed("dir", "cfg_path")
 
 
 def cyclic_dirs(edges: DataFrame) -> DataFrame:
@@ -268,7 +269,7 @@ def deploy_waves(
         blocking.select(*columns, (F.col("account_deps").isNull() | unknown).alias("_stuck"))
     )
     edges = run_deps(blocking.filter(F.col("status") == "waiting"), deps)
-    done = None
+    done = Collected()
     wave = 0
     while True:
         dirs = pending.select(*_SCOPE, F.col("cfg_path").alias("dep_path")).distinct()
@@ -296,16 +297,15 @@ def deploy_waves(
             break
         if wave - 1 == max_rounds:
             raise RuntimeError(f"the waves did not end within {max_rounds} rounds")
-        started = ready.select("commit_id", "execution_id", F.lit(wave).alias("wave"))
-        done = started if done is None else done.unionByName(started)
+        done.add(ready.select("commit_id", "execution_id", F.lit(wave).alias("wave")))
         pending = marked.filter(~leaves).select(*columns, "_stuck")
         started_ids = ready.select("execution_id")
         edges = edges.join(started_ids, "execution_id", "left_anti")
     left = pending.filter(F.col("status") == "waiting").select(
         "commit_id", "execution_id", F.lit(None).cast("int").alias("wave")
     )
-    result = left if done is None else done.unionByName(left)
-    return result.withColumn("blocked", F.col("wave").isNull())
+    done.add(left)
+    return done.frame.withColumn("blocked", F.col("wave").isNull())
 
 
 def rollback_stack(runs: DataFrame, failed_commits: DataFrame) -> Stack:

@@ -21,6 +21,7 @@ from cascadia.operators.filters import (
 )
 from cascadia.operators.graph import Stack, ready_frontier, rollback_stack
 from cascadia.operators.joins import plan_fanout
+from cascadia.session import cut
 from cascadia.sources.events import webhook_scan
 from cascadia.sources.tables import keyed_update
 
@@ -191,6 +192,29 @@ def step_outcome(step_events: DataFrame) -> DataFrame:
     )
 
 
+class Advance(NamedTuple):
+    runs: DataFrame
+    inputs: DataFrame
+    errors: DataFrame
+    long_deps: DataFrame
+
+
+def advance(
+    runs: DataFrame, finished: DataFrame, known_deps: DataFrame | None = None
+) -> Advance:
+    """Everything finished runs lead to: status, abort, rollback rows, and what starts next.
+
+    ``known_deps`` holds earlier dependency lists too long for a row; ``long_deps`` of the
+    result adds those of the new rollback rows.
+    """
+    after = rollback_on_failure(run_status_apply(runs, finished), finished)
+    rows = cut(after.runs)
+    lists = cut(after.stack.long_deps())
+    deps = lists if known_deps is None else known_deps.unionByName(lists)
+    started = start_ready(rows, deps=deps)
+    return Advance(started.runs, started.inputs, after.errors, lists)
+
+
 class Started(NamedTuple):
     inputs: DataFrame
     runs: DataFrame

@@ -519,6 +519,31 @@ _SQL = {
       union all
       select {_run_id('run-rollback-', 'pr_id', 'commit_id', 'r.account_name', 'cfg_path')}, true, 'waiting', commit_id, cfg_path,
         cast(coalesce(n, 0) as int) from created r left join deps d on d.execution_id = r.execution_id""",
+    "advance_rollout": f"""
+      with applied as (
+        select r.execution_id, r.commit_id, coalesce(e.status, r.status) as status from {{run_base}} r left join (
+          select execution_id, max_by(status, (ts, encode(event_id))) as status from {{rare_failure}} group by 1) e
+          on e.execution_id = r.execution_id),
+      cascaded as (
+        select execution_id, commit_id, case when status in ('waiting','running') and commit_id in ({_RARE_BROKEN})
+          then 'aborted' else status end as status from applied),
+      deploy as (
+        select c.*, r.cfg_key, r.cfg_path, r.account_name from cascaded c join {{run_base}} r on r.execution_id = c.execution_id),
+      back as (select * from ({_CREATED}) where commit_id in ({_RARE_BROKEN}))
+      select execution_id, commit_id, false as is_rollback, case when status = 'waiting'
+        and not exists (select 1 from {{cfg_edge}} e join deploy p on p.cfg_path = e.dep_path
+          where e.cfg_key = d.cfg_key and p.commit_id = d.commit_id and p.status <> 'succeeded')
+        and not exists (select 1 from {{account_dep}} a join deploy p on p.account_name = a.dep_name
+          where a.account_name = d.account_name and p.commit_id = d.commit_id and p.status <> 'succeeded')
+        then 'running' else status end as status
+      from deploy d
+      union all
+      select {_run_id('run-rollback-', 'pr_id', 'commit_id', 'b.account_name', 'cfg_path')}, commit_id, true, case when
+        b.execution_id not in (select d.execution_id from back c join {{cfg_edge}} e on e.cfg_key = c.cfg_key
+          join back d on d.commit_id = c.commit_id and d.cfg_path = e.dep_path)
+        and (b.commit_id, b.account_name) not in (select (p.commit_id, a.account_name) from back p join {{account_dep}} a on a.dep_name = p.account_name)
+        then 'running' else 'waiting' end
+      from back b""",
     "vote_decision": f"""
       select execution_id, vote_id, action, cast(n_approve as bigint) as n_approve, cast(n_reject as bigint) as n_reject from ({_DECIDED})""",
     "late_votes": f"""

@@ -678,6 +678,12 @@ def rollback_on_failure(t):
     )
 
 
+@query
+def advance_rollout(t):
+    after = L.advance(P.runs(t), t["rare_failure"])
+    return after.runs.select("execution_id", "commit_id", "is_rollback", "status")
+
+
 @query
 def vote_decision(t):
     return V.vote_decision(P.vote_runs(t), t["vote"])

@@ -12,13 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from cascadia.model import FILE_PATH_PATTERN, RUN_COLUMNS
 from cascadia.operators.filters import run_event_filter
-from cascadia.operators.lifecycle import (
-    lock_values,
-    rollback_on_failure,
-    run_status_apply,
-    start_ready,
-    webhook_jobs,
-)
+from cascadia.operators.lifecycle import advance, lock_values, webhook_jobs
 from cascadia.operators.votes import Tally, decisions, in_time, members_after
 from cascadia.session import cut
 from cascadia.sources.events import run_event_scan
@@ -68,19 +62,16 @@ def run_event_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         finished = cut(run_event_scan(run_event_filter(batch)))
-        runs = store.read(batch_id, store.touched(finished))
-        after = rollback_on_failure(run_status_apply(runs, finished), finished)
-        rows = cut(after.runs)
-        lists = cut(after.stack.long_deps())
-        waiting = rows.filter(F.col("cfg_deps").isNull())
-        known = long_deps.read(batch_id, long_deps.touched(waiting)).unionByName(lists)
-        started = start_ready(rows, deps=known)
-        _put(started.inputs, f"{out}/inputs", batch_id)
+        runs = cut(store.read(batch_id, store.touched(finished)))
+        unlisted = runs.filter(F.col("cfg_deps").isNull())
+        known = long_deps.read(batch_id, long_deps.touched(unlisted))
+        after = advance(runs, finished, known)
+        _put(after.inputs, f"{out}/inputs", batch_id)
         _put(after.errors, f"{out}/errors", batch_id)
-        if not lists.isEmpty():
-            touched = long_deps.touched(lists)
-            long_deps.write(long_deps.read(batch_id, touched).unionByName(lists), batch_id)
-        store.write(started.runs.select(RUN_COLUMNS), batch_id)
+        if not after.long_deps.isEmpty():
+            old = long_deps.read(batch_id, long_deps.touched(after.long_deps))
+            long_deps.write(old.unionByName(after.long_deps), batch_id)
+        store.write(after.runs.select(RUN_COLUMNS), batch_id)
 
     return events.writeStream.foreachBatch(apply)
 
