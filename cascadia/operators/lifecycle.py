@@ -58,10 +58,8 @@ def webhook_jobs(
 
 def run_status_apply(runs: DataFrame, run_events: DataFrame) -> DataFrame:
     """Runs with the status of their last finished event."""
-    last = (
-        run_events.filter(F.col("execution_id").isNotNull())
-        .groupBy("execution_id")
-        .agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"))
+    last = run_events.groupBy("execution_id").agg(
+        F.max_by("status", F.struct("ts", "event_id")).alias("status")
     )
     return keyed_update(runs, last)
 
@@ -207,7 +205,11 @@ def advance(
     ``known_deps`` holds earlier dependency lists too long for a row; ``long_deps`` of the
     result adds those of the new rollback rows.
     """
-    after = rollback_on_failure(run_status_apply(runs, finished), finished)
+    # Status, cascade and rollback all read the events, so they are stored once.
+    finished = cut(
+        finished.select("event_id", "ts", "execution_id", "status", "is_rollback", "commit_id")
+    )
+    after = rollback_on_failure(cut(run_status_apply(runs, finished)), finished)
     rows = cut(after.runs)
     lists = cut(after.stack.long_deps())
     deps = lists if known_deps is None else known_deps.unionByName(lists)

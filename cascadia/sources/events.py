@@ -1,6 +1,6 @@
 """Typed reads of webhook and run-finished events."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cascadia.model import NOT_A_PULL_REQUEST
@@ -16,6 +16,15 @@ _RUN = "execution_id string, status string, is_rollback boolean, commit_id strin
 _REQUIRED = ("repo", "merged", "base_sha", "base_ref", "head_sha", "head_ref", "number", "action")
 
 
+def _parsed(raw: DataFrame, document: Column, name: str) -> DataFrame:
+    """Add a parsed document that later filters and joins cannot make Spark parse again.
+
+    A filter on a field would be pushed below a plain projection, parser included; it is
+    not pushed below the expansion of a one-element array.
+    """
+    return raw.select("*", F.explode(F.array(document)).alias(name))
+
+
 def webhook_scan(raw: DataFrame) -> DataFrame:
     """Parse ``event_id, ts, headers, body``; unknown fields are ignored, missing ones reported.
 
@@ -25,7 +34,7 @@ def webhook_scan(raw: DataFrame) -> DataFrame:
     """
     # Wrapping the text makes a malformed body come out as a NULL event.
     wrapped = F.from_json(F.concat(F.lit('{"event":'), F.col("body"), F.lit("}")), f"event {_WEBHOOK}")
-    parsed = raw.withColumn("_e", wrapped.getField("event"))
+    parsed = _parsed(raw, wrapped, "_w").withColumn("_e", F.col("_w.event"))
     request = F.col("_e.pull_request")
     fields = parsed.select(
         *raw.columns,
@@ -57,7 +66,7 @@ def run_event_scan(raw: DataFrame) -> DataFrame:
     has_output = F.length("output") > 0
     # The text is chosen first, so each event is parsed once.
     chosen = F.when(has_output, F.col("output")).otherwise(F.col("input"))
-    parsed = raw.withColumn("_run", F.from_json(chosen, _RUN))
+    parsed = _parsed(raw, F.from_json(chosen, _RUN), "_run")
     return parsed.select(
         "event_id",
         "ts",
