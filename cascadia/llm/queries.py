@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascadia.llm import bpe, compression, near_documents, packing, secret_scan, token_files
+from cascadia.llm import bpe, compression, near_documents, near_lines, packing, secret_scan, token_files
 from cascadia.llm.common import documents, shared_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,13 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_rules(documents(spark, sf_dir))
 
 
+def op4_line_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with an earlier equal line or one within a word's edit."""
+    return near_lines.near_lines(documents(spark, sf_dir)).select(
+        F.col("doc").alias("doc_id"), "line", F.col("first_doc").alias("first_doc_id"), "first_line", "n_edits"
+    )
+
+
 def op5_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_documents.near_documents(documents(spark, sf_dir), words=3, percent=85)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -57,6 +64,7 @@ def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_compression_bands": op3_compression_bands,
+    "op4_line_neighbours": op4_line_neighbours,
     "op5_minhash_hamming": op5_minhash_hamming,
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
