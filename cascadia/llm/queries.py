@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascadia.llm import bpe, compression, near_documents, near_lines, packing, secret_scan, token_files
+from cascadia.llm import bpe, compression, importance, near_documents, near_lines, packing, secret_scan, token_files
 from cascadia.llm.common import documents, shared_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,6 +61,13 @@ def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(documents(spark, sf_dir), VOCABULARY)
 
 
+def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-odds, noisy score and verdict of every document."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores = importance.quality_scores(documents(spark, sf_dir), labels)
+    return importance.gumbel_top_k(scores).select(F.col("key").alias("doc_id"), "log_odds", "gumbel", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_compression_bands": op3_compression_bands,
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_speculative_bpe": op8_speculative_bpe,
+    "op10_importance": op10_importance,
 }
 
 ORACLE_SQL: dict[str, str] = {}
