@@ -268,4 +268,4 @@ def read_token_files(spark: SparkSession, folder: str, key: str = "doc_id") -> D
                     first = last
 
     files = read_manifest(spark, folder).select("part", "file", "base")
-    return arrow_rows(files.repartition("part"), schema, rows)
+    return arrow_rows(files.repartition(max(1, files.count()), "part"), schema, rows)

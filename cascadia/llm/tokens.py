@@ -18,17 +18,21 @@ import numpy as np
 #: Chunks kept by a worker (about 200 bytes each) and the longest one that is kept.
 CACHE_CHUNKS = 1_000_000
 CACHE_CHARS = 64
+#: Unseen chunks handed to the library as one text.
+CHUNKS_AT_ONCE = 20_000
 #: Characters of text taken at once.
 GROUP_CHARS = 2_000_000
 
 EncodeMany = Callable[[list[str]], list[list[int]]]
+EncodeChunks = Callable[[list[str]], list[bytes]]
 
 
 class ChunkEncoder:
     """Encodes texts to little-endian 32-bit ids; ``encode_many`` gives exact ids of whole strings."""
 
-    def __init__(self, encode_many: EncodeMany, special: Iterable[str], limit: int = CACHE_CHUNKS):
+    def __init__(self, encode_many: EncodeMany, special: Iterable[str], limit: int = CACHE_CHUNKS, chunks: EncodeChunks | None = None):
         self.encode_many = encode_many
+        self.encode_chunks = chunks or self._whole
         self.special = tuple(special)
         self.limit = limit
         self.cache: dict[str, bytes | None] = {}
@@ -58,7 +62,7 @@ class ChunkEncoder:
         new = list(missing)
         regular = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
         cache.update(dict.fromkeys(missing))
-        cache.update(zip(regular, self._whole([" " + p for p in regular])))
+        cache.update(zip(regular, self.encode_chunks([" " + p for p in regular])))
         heads = [p[0] for p in parts]
         head_ids = self._whole(heads)
         out: list[bytes | None] = []
@@ -102,7 +106,22 @@ def library_encoder(path: str) -> ChunkEncoder:
     def many(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    return ChunkEncoder(many, special_tokens(path))
+    sizes = np.array(list(map(len, token_bytes(path))), dtype=np.int64)
+
+    def chunks(parts: list[str]) -> list[bytes]:
+        """Many chunks as one text, whose ids are dealt out again by the bytes they stand for."""
+        out: list[bytes] = []
+        for a in range(0, len(parts), CHUNKS_AT_ONCE):
+            some = parts[a : a + CHUNKS_AT_ONCE]
+            (encoded,) = tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4")
+            ends = np.cumsum([len(p.encode()) for p in some])
+            cuts = [0, *(np.searchsorted(np.cumsum(sizes[ids]), ends) + 1).tolist()]
+            raw = ids.tobytes()
+            out.extend(raw[4 * i : 4 * j] for i, j in zip(cuts, cuts[1:]))
+        return out
+
+    return ChunkEncoder(many, special_tokens(path), chunks=chunks)
 
 
 @functools.lru_cache(maxsize=4)
