@@ -8,13 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascadia.llm import bpe, compression, importance, near_documents, near_lines, packing, secret_scan, token_files
+from cascadia.llm import bpe, compression, hnsw, importance, near_documents, near_lines, packing, secret_scan, surrogates, token_files
 from cascadia.llm.common import documents, shared_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: Key of the surrogates in the registered query; a real run brings its own.
+SURROGATE_KEY = b"registered-query"
+
+
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = hnsw.near_vectors(vectors, 0.9)
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir), folder, VOCABULARY, end_id=2)
@@ -61,6 +71,12 @@ def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(documents(spark, sf_dir), VOCABULARY)
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text with its personal data replaced."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return surrogates.replace_personal_data(docs, SURROGATE_KEY, count="n_replaced")
+
+
 def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-odds, noisy score and verdict of every document."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -69,6 +85,7 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hnsw": op1_hnsw,
     "op2_token_files": op2_token_files,
     "op3_compression_bands": op3_compression_bands,
     "op4_line_neighbours": op4_line_neighbours,
@@ -76,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_speculative_bpe": op8_speculative_bpe,
+    "op9_surrogates": op9_surrogates,
     "op10_importance": op10_importance,
 }
 
