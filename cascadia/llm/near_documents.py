@@ -281,3 +281,14 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str
         .join(parts.withColumnRenamed("node", "key"), "key", "left")
         .select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id"))
     )
+
+
+def drop_near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of every component of ``near_documents``, the one of least key; same columns.
+
+    Rows that repeat key and text are one document and leave one row. Rows with a null key stay.
+    """
+    found = near_documents(docs, words, percent, key, text)
+    kept = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
+    one = docs.where(F.col(key).isNotNull()).join(kept, F.col(key).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([key, text])
+    return one.unionByName(docs.where(F.col(key).isNull()))

@@ -112,6 +112,8 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(text: str, spans: list[tuple[int, int, str]], mark: str) -> str:
+    if not spans:
+        return text
     out, at = [], 0
     for a, b, _ in spans:
         if a >= at:
@@ -123,13 +125,16 @@ def redact(text: str, spans: list[tuple[int, int, str]], mark: str) -> str:
 def redact_secrets(docs: DataFrame, path: str, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The same rows and columns with every secret replaced by ``mark``; null texts stay null.
 
-    Spans that overlap are replaced as one.
+    Spans that overlap are replaced as one. A column ``n_chars`` is set to the new length.
     """
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         encoder = rank_encoder(path)
         for batch in batches:
-            batch[text] = [t and redact(t, find_spans(t, encoder), mark) for t in batch[text]]
+            old = batch[text]
+            batch[text] = [t and redact(t, find_spans(t, encoder), mark) for t in old]
+            if "n_chars" in batch:
+                batch["n_chars"] = [n if t is s else len(t) for n, t, s in zip(batch["n_chars"], batch[text], old)]
             yield batch
 
     return arrow_rows(docs, docs.schema, rows)
