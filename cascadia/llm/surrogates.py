@@ -46,7 +46,7 @@ ALPHABETS = {
 
 _GENDER = {name.casefold(): g for (_, g), names in FIRST_NAMES.items() for name in names}
 _TITLE = {t: g for g, titles in TITLES.items() for t in titles}
-_NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω](?:[^\W\d_]+|(?=[-'’]))(?:[-'’][^\W\d_]+)*"
 
 PATTERNS = {
     "email": re.compile(r"[\w.+%-]*\w@\w[\w-]*(?:\.[\w-]*\w)+"),
@@ -143,9 +143,12 @@ def find_entities(text: str) -> list[Entity]:
                 claim(Entity(m.start(), m.end(), kind, m.group().lower()))
     names = {e.norm: e.kind for e in found if e.kind == "surname" or e.kind.startswith("first")}
     if names:
-        again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted({text[e.start : e.stop] for e in found if e.norm in names}, key=len, reverse=True))) + r")(?!\w)")
+        written = {text[e.start : e.stop] for e in found if e.norm in names}
+        forms = sorted(written | {w.upper() for w in written} | {w.title() for w in written}, key=len, reverse=True)
+        again = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, forms))})(?!\w)")
         for m in again.finditer(text):
-            claim(Entity(m.start(), m.end(), names[m.group().casefold()], m.group().casefold()))
+            if kind := names.get(m.group().casefold()):
+                claim(Entity(m.start(), m.end(), kind, m.group().casefold()))
     return sorted(found)
 
 
