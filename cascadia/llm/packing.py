@@ -11,6 +11,7 @@ padding and are tried one by one.
 
 from __future__ import annotations
 
+import functools
 import struct
 import zlib
 from collections import deque
@@ -73,6 +74,7 @@ def cut_windows(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -
     return np.array(cuts[::-1], dtype=np.int64)
 
 
+@functools.lru_cache(maxsize=4)
 def _sentence_ends(path: str) -> np.ndarray:
     """Which ids end a sentence: a full stop, exclamation or question mark, or a line's end."""
     return np.array([b"\n" in t or t.rstrip(b"\"')").endswith((b".", b"!", b"?")) for t in token_bytes(path)])

@@ -9,14 +9,16 @@ A text in which white space meets a space, or that holds a special token, is enc
 from __future__ import annotations
 
 import functools
+import itertools
 import json
+import operator
 import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
 #: Chunks kept by a worker (about 200 bytes each) and the longest one that is kept.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 1_200_000
 CACHE_CHARS = 64
 #: Unseen chunks handed to the library as one text.
 CHUNKS_AT_ONCE = 20_000
@@ -27,6 +29,11 @@ EncodeMany = Callable[[list[str]], list[list[int]]]
 EncodeChunks = Callable[[list[str]], list[bytes]]
 
 
+#: Stands for a chunk whose ids depend on its neighbours; joining it as bytes fails.
+_IRREGULAR = False
+_IS_NONE = functools.partial(operator.is_, None)
+
+
 class ChunkEncoder:
     """Encodes texts to little-endian 32-bit ids; ``encode_many`` gives exact ids of whole strings."""
 
@@ -35,7 +42,9 @@ class ChunkEncoder:
         self.encode_chunks = chunks or self._whole
         self.special = tuple(special)
         self.limit = limit
-        self.cache: dict[str, bytes | None] = {}
+        self.cache: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
+        self.heads: dict[str, bytes] = {}
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         group: list[str] = []
@@ -51,36 +60,52 @@ class ChunkEncoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in self.encode_many(texts)]
 
+    def _heads(self, heads: list[str]) -> list[bytes]:
+        """Ids of what comes before the first space; few kinds, so a plain store is enough."""
+        if len(self.heads) > self.limit // 8:
+            self.heads.clear()
+        new = list({h for h in heads if h not in self.heads})
+        found = dict(zip(new, self._whole(new)))
+        out = [self.heads.get(h) or found.get(h, b"") for h in heads]
+        self.heads.update((h, ids) for h, ids in found.items() if len(h) <= CACHE_CHARS)
+        return out
+
     def _group(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
-        if len(cache) > self.limit:
-            cache.clear()
+        if len(cache) > self.limit // 2:
+            # Chunks met again are taken over from the older half.
+            self.older, self.cache = cache, {}
+            cache = self.cache
         parts = [t.split(" ") for t in texts]
+        heads = self._heads([p[0] for p in parts])
+        known = [[*map(cache.get, p)] for p in parts]
         missing: set[str] = set()
-        for p in parts:
-            missing.update(set(p[1:]).difference(cache))
-        new = list(missing)
-        regular = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        cache.update(dict.fromkeys(missing))
-        cache.update(zip(regular, self.encode_chunks([" " + p for p in regular])))
-        heads = [p[0] for p in parts]
-        head_ids = self._whole(heads)
+        for p, ids, head in zip(parts, known, heads):
+            # The first chunk has no space before it.
+            ids[0] = head
+            if None in ids:
+                missing.update(itertools.compress(p, map(_IS_NONE, ids)))
+        new = {p: self.older[p] for p in missing if p in self.older}
+        missing.difference_update(new)
+        regular = [p for p in missing if p and not p[0].isspace() and not p[-1].isspace()]
+        new.update(dict.fromkeys(missing, _IRREGULAR))
+        new.update(zip(regular, self.encode_chunks([" " + p for p in regular])))
         out: list[bytes | None] = []
         odd = []
-        for i, (text, p, head) in enumerate(zip(texts, parts, head_ids)):
+        for i, (text, p, ids) in enumerate(zip(texts, parts, known)):
             try:
-                if (p[0] and p[0][-1].isspace()) or any(s in text for s in self.special):
+                if p[0][-1:].isspace() or any(s in text for s in self.special):
                     raise TypeError
-                out.append(head + b"".join(map(cache.__getitem__, p[1:])))
+                if None in ids:
+                    ids = [new[x] if v is None else v for x, v in zip(p, ids)]
+                out.append(b"".join(ids))
             except TypeError:  # an irregular chunk
                 out.append(None)
                 odd.append(i)
         if odd:
             for i, ids in zip(odd, self._whole([texts[i] for i in odd])):
                 out[i] = ids
-        for p in new:
-            if len(p) > CACHE_CHARS:
-                del cache[p]
+        cache.update((p, ids) for p, ids in new.items() if len(p) <= CACHE_CHARS)
         return out
 
 
