@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, components, stored
+from cascadia.llm.common import arrow_rows, components, in_filter, key_filter, stored
 
 #: Signature: with a similarity of 0.85 a position differs with a probability of 0.15, and
 #: more than 19 of 40 differ in one of 4 million pairs; the closer the pair, the rarer.
@@ -145,12 +145,18 @@ def _features(docs: DataFrame, words: int) -> DataFrame:
     return arrow_rows(docs, schema, rows)
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """Per row its key and shingle set."""
+def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """``(key, shingles)``: the shingle set of each of ``members`` (key), from the texts ``docs``.
+
+    Texts of other documents are left out at the scan by a filter of fixed size.
+    """
     schema = T.StructType([docs.schema["key"], T.StructField("shingles", T.ArrayType(T.LongType(), False))])
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(members.select(F.col("key").cast("string")), "key"))
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
+            hit = np.flatnonzero(in_filter(bits.value, [str(k).encode() for k in batch["key"]])).tolist()
+            batch = {n: [batch[n][i] for i in hit] for n in ("key", "text")}
             for a, b in _groups(batch, "text"):
                 hashes, start = shingles(batch["text"][a:b], words)
                 sets = [np.unique(x).view(np.int64) for x in np.split(hashes, start[1:])]
@@ -159,7 +165,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 arrays = pa.ListArray.from_arrays(pa.array(offsets), values).cast(pa.list_(pa.field("element", pa.int64(), False)))
                 yield {"key": batch["key"][a:b], "shingles": arrays}
 
-    return arrow_rows(docs, schema, rows)
+    return arrow_rows(docs, schema, rows).join(members, "key", "left_semi").dropDuplicates(["key"])
 
 
 def _filed(reps: DataFrame) -> DataFrame:
@@ -201,7 +207,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     """Pairs whose whole shingle sets reach the similarity."""
     pairs = stored(pairs, "near-pairs")
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = stored(_sets(texts.join(members, "key", "left_semi").dropDuplicates(["key"]), words), "near-sets")
+    sets = stored(_sets(texts, members, words), "near-sets")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("shingles_a")), "a")
@@ -216,12 +222,11 @@ def _rare_pairs(rest: DataFrame, reps: DataFrame, texts: DataFrame, words: int,
 
     Ordered by how many of these documents have them, the rarest shingles of two similar sets
     meet: of n shingles the first n - percent * n / 100 + 1 suffice. Variants of one text that
-    are similar but not enough each have rare shingles of their own and so never meet, however
-    many they are.
+    are similar but not enough each have rare shingles of their own, which come first, and so
+    seldom meet, however many they are.
     """
-    members = texts.join(rest.select(F.col("rep").alias("key")), "key", "left_semi").dropDuplicates(["key"])
     each = stored(
-        _sets(members, words).select(F.col("key").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")),
+        _sets(texts, rest.select(F.col("rep").alias("key")), words).select(F.col("key").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")),
         "near-shingles",
     )
     often = each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
@@ -230,11 +235,15 @@ def _rare_pairs(rest: DataFrame, reps: DataFrame, texts: DataFrame, words: int,
     among = each.join(often, "shingle").withColumns(
         {"rank": F.row_number().over(order), "n_common": F.count("*").over(Window.partitionBy("rep"))}
     )
-    room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("n_common"))
-    rare = among.where(F.col("rank") <= room).select("shingle", "rep").join(rest, "rep")
-    rare = stored(rare, "near-rare")
-    other = rare.select("shingle", F.col("rep").alias("b"), F.col("part").alias("part_b"))
-    return rare.withColumnRenamed("rep", "a").join(other, "shingle").where("a < b AND part <> part_b").select("a", "b").distinct()
+    place = F.col("n") - F.col("n_common") + F.col("rank")
+    rare = among.where(place <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("shingle", "rep", "n", place.alias("place"))
+    rare = stored(rare.join(rest, "rep"), "near-rare")
+    other = rare.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "place", "part")))
+    # At the first shingle they share, what is left of both must still suffice.
+    left = 1 + F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))
+    enough = (100 + percent) * left >= percent * (F.col("n") + F.col("n_b"))
+    met = rare.join(other, "shingle").where((F.col("rep") < F.col("rep_b")) & (F.col("part") != F.col("part_b")) & enough)
+    return met.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, stored
+from cascadia.llm.common import arrow_rows, in_filter, key_filter, stored
 
 #: From this length on a line may differ by one word; 8 words make that a similarity of 7/8.
 MIN_EDIT_WORDS = 8
@@ -131,7 +131,7 @@ class _Hashed:
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     """One row per line with a word: its place, a digest of its words, and its half keys
-    if it has ``min_words`` words (0: none)."""
+    if it has ``min_words`` words."""
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         import xxhash
@@ -148,31 +148,41 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                             out["line"].append(i)
                             out["h"].append(xxhash.xxh3_128_digest(b" ".join(parts)))
                             words.append(parts)
-                long = [w for w in words if len(w) >= min_words] if min_words else []
+                long = [w for w in words if len(w) >= min_words]
                 halves = iter(_Hashed(long).halves().tolist()) if long else iter(())
-                out["halves"] = [next(halves) if min_words and len(w) >= min_words else None for w in words]
+                out["halves"] = [next(halves) if len(w) >= min_words else None for w in words]
                 yield out
 
     return arrow_rows(docs, LINES, rows)
 
 
-def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(sid, text)`` of the lines at the places of ``wanted`` (doc, tie, line, sid)."""
-    schema = T.StructType([T.StructField("sid", T.LongType()), T.StructField("text", T.StringType())])
-    # A document's own lines make up the list.
-    places = wanted.groupBy(F.col("doc").alias("d"), F.col("tie").alias("t")).agg(F.collect_list(F.struct("line", "sid")).alias("places"))
-    hit = docs.join(places, docs["doc"].eqNullSafe(F.col("d")) & (docs["tie"] == F.col("t"))).dropDuplicates(["d", "t"])
+def _hits(docs: DataFrame, again: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(doc, tie, line, h, text)`` of the lines whose digest is in ``again`` or ``wanted``, and a
+    few more; with the text for those in ``wanted``.
+
+    Bitmaps of fixed size leave out nearly all other lines at the scan. The joins that follow
+    are exact, so full bitmaps would cost time but change nothing.
+    """
+    schema = T.StructType([*LINES.fields[:4], T.StructField("text", T.StringType())])
+    bits = docs.sparkSession.sparkContext.broadcast((key_filter(again, "h"), key_filter(wanted, "h")))
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
+        import xxhash
+
         for batch in batches:
-            out = {"sid": [], "text": []}
-            for text, found in zip(batch["text"], batch["places"]):
-                lines = text.split("\n")
-                out["sid"] += [p["sid"] for p in found]
-                out["text"] += [lines[p["line"]] for p in found]
-            yield out
+            for a in range(0, len(batch["doc"]), 500):
+                found = []
+                for doc, tie, text in zip(*(batch[n][a : a + 500] for n in ("doc", "tie", "text"))):
+                    for i, line in enumerate((text or "").split("\n")):
+                        if parts := line_words(line):
+                            found.append((doc, tie, i, xxhash.xxh3_128_digest(b" ".join(parts)), line))
+                in_again, in_wanted = (in_filter(b, [f[3] for f in found]) for b in bits.value)
+                some = np.flatnonzero(in_again | in_wanted).tolist()
+                out = dict(zip(schema.names, zip(*(found[i] for i in some)))) or dict.fromkeys(schema.names, ())
+                out["text"] = [t if in_wanted[i] else None for i, t in zip(some, out["text"])]
+                yield {n: list(v) for n, v in out.items()}
 
-    return arrow_rows(hit.select("text", "places"), schema, rows)
+    return arrow_rows(docs, schema, rows)
 
 
 def _variants(texts: DataFrame) -> DataFrame:
@@ -236,7 +246,11 @@ def near_lines(docs: DataFrame, min_words: int = MIN_EDIT_WORDS, key: str = "doc
     some = distinct.join(hopeful, "h", "left_semi").select("h", "doc", "tie", "line")
     some = stored(some.orderBy("doc", "tie", "line"), "lines-some").withColumn("sid", F.monotonically_increasing_id())
     some = stored(some, "lines-numbered")
-    texts = stored(_line_texts(source, some), "lines-texts")
+    again = distinct.where("NOT once").select("h", F.struct("doc", "tie", "line").alias("first"))
+    hits = stored(_hits(source, again, some), "lines-hits").withColumn("at", place)
+    wanted = some.select("h", "sid", place.alias("first"))
+    texts = hits.where("text IS NOT NULL").join(wanted, "h").where(F.col("at").eqNullSafe(F.col("first")))
+    texts = stored(texts.select("sid", "text").dropDuplicates(["sid"]), "lines-texts")
     variants = stored(_variants(texts), "lines-variants")
 
     group = variants.where("kind = 2").groupBy("key").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).where("first < last")
@@ -252,10 +266,8 @@ def near_lines(docs: DataFrame, min_words: int = MIN_EDIT_WORDS, key: str = "doc
         .join(named("first"), "first")
         .select("at_sid.*", F.col("at_first.doc").alias("first_doc"), F.col("at_first.line").alias("first_line"), F.lit(1).alias("n_edits"))
     )
-    again = distinct.where("NOT once").select("h", F.struct("doc", "tie", "line").alias("first"))
     equal = (
-        _lines(source, 0)
-        .select("h", place.alias("at"))
+        hits.select("h", "at")
         .join(again, "h")
         .where(~F.col("at").eqNullSafe(F.col("first")))
         .select("at.*", F.col("first.doc").alias("first_doc"), F.col("first.line").alias("first_line"), F.lit(0).alias("n_edits"))
