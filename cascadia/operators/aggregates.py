@@ -64,9 +64,12 @@ def run_counts(runs: DataFrame) -> DataFrame:
 
 
 def next_pr_id(runs: DataFrame, new: DataFrame, order: str) -> DataFrame:
-    """Number the rows without a PR on from the highest PR in use, in ``order``."""
+    """Number the rows without a PR on from the highest PR in use or given, in ``order``."""
     rest = [c for c in new.columns if c != "pr_id"]
-    top = runs.agg(F.coalesce(F.max("pr_id"), F.lit(0)).alias("_top"))
+    used = runs.select(F.col("pr_id").cast("bigint").alias("pr_id")).unionByName(
+        new.select(F.col("pr_id").cast("bigint").alias("pr_id"))
+    )
+    top = used.agg(F.coalesce(F.max("pr_id"), F.lit(0)).alias("_top"))
     given = new.filter(F.col("pr_id").isNotNull())
     unset = numbered(new.filter(F.col("pr_id").isNull()).select(rest), [order], "_n")
     made = unset.withColumn("pr_id", (F.col("_n") + top.scalar()).cast("int"))

@@ -159,7 +159,8 @@ def diff_paths(scan_type: str, **inputs: DataFrame) -> DataFrame:
 
 
 def _run_id(kind: str) -> Column:
-    # The suffix is a hash, so a retried task makes the same id.
+    # The suffix is a hash, so a retried task makes the same id; 48 bits keep directories with
+    # equal leaves apart.
     return F.concat(
         F.lit(kind),
         F.col("pr_id").cast("string"),
@@ -170,7 +171,7 @@ def _run_id(kind: str) -> Column:
         F.lit("-"),
         leaf(F.col("cfg_path")),
         F.lit("-"),
-        F.substring(stable_hash(F.lit(kind), F.col("commit_id"), F.col("cfg_path")), 1, 3),
+        F.substring(stable_hash(F.lit(kind), F.col("commit_id"), F.col("cfg_path")), 1, 12),
     )
 
 
@@ -308,10 +309,13 @@ def deploy_waves(
     return done.frame.withColumn("blocked", F.col("wave").isNull())
 
 
-def rollback_stack(runs: DataFrame, failed_commits: DataFrame) -> Stack:
+def rollback_stack(
+    runs: DataFrame, failed_commits: DataFrame, deps: DataFrame | None = None
+) -> Stack:
     """Rollback runs, with reversed dependencies, for the failed commits that have none yet.
 
-    Account dependencies are copied, not reversed.
+    Account dependencies are copied, not reversed. ``deps`` (``execution_id, dep_path``)
+    holds the dependency lists of ``runs`` that are too long for a row.
     """
     failed = runs.join(failed_commits.select("commit_id").distinct(), "commit_id", "left_semi")
     # Rows, dependents and members all come from these runs, so they are stored once.
@@ -332,5 +336,5 @@ def rollback_stack(runs: DataFrame, failed_commits: DataFrame) -> Stack:
         )
 
     return Stack(
-        created.drop("cfg_deps"), reverse_deps(created), ("commit_id", "cfg_path"), widen
+        created.drop("cfg_deps"), reverse_deps(created, deps), ("commit_id", "cfg_path"), widen
     )

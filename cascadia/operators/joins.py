@@ -142,16 +142,24 @@ def account_blocked(runs: DataFrame) -> DataFrame:
     )
 
 
-def reverse_deps(runs: DataFrame) -> DataFrame:
+def reverse_deps(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame:
     """``commit_id, cfg_path, dep_path``: who depends on a directory, both with new resources.
 
-    Long form: a shared directory may have any number of dependents. Rollback rows of
-    the commit are not told apart; :func:`rollback_guard` keeps them out.
+    Long form: a shared directory may have any number of dependents. ``deps``
+    (``execution_id, dep_path``) holds the lists that are too long for a row. Rollback rows
+    of the commit are not told apart; :func:`rollback_guard` keeps them out.
     """
     created = runs.filter(F.size("new_resources") > 0)
     dependents = created.select(
         "commit_id", F.explode("cfg_deps").alias("cfg_path"), F.col("cfg_path").alias("dep_path")
     )
+    if deps is not None:
+        long = created.filter(F.col("cfg_deps").isNull()).select("execution_id", "commit_id", "cfg_path")
+        dependents = dependents.unionByName(
+            deps.select("execution_id", "dep_path")
+            .join(long, "execution_id")
+            .select("commit_id", F.col("dep_path").alias("cfg_path"), F.col("cfg_path").alias("dep_path"))
+        )
     # Only membership matters on the other side, so the hot directory is on the side
     # a semi join can split.
     return dependents.join(

@@ -103,10 +103,15 @@ class Rollback(NamedTuple):
     errors: DataFrame
 
 
-def rollback_on_failure(runs: DataFrame, finished: DataFrame) -> Rollback:
-    """Cascade, then rollback rows for the failed commits; ``runs`` holds old and new rows."""
+def rollback_on_failure(
+    runs: DataFrame, finished: DataFrame, deps: DataFrame | None = None
+) -> Rollback:
+    """Cascade, then rollback rows for the failed commits; ``runs`` holds old and new rows.
+
+    ``deps`` holds the dependency lists of ``runs`` that are too long for a row.
+    """
     after = failure_cascade(runs, finished)
-    stack = rollback_stack(after.runs, failed_commits(finished))
+    stack = rollback_stack(after.runs, failed_commits(finished), deps)
     return Rollback(
         after.runs.select(RUN_COLUMNS).unionByName(stack.table()), stack, after.errors
     )
@@ -203,18 +208,25 @@ def advance(
     """Everything finished runs lead to: status, abort, rollback rows, and what starts next.
 
     ``known_deps`` holds earlier dependency lists too long for a row; ``long_deps`` of the
-    result adds those of the new rollback rows.
+    result adds those of the new rollback rows. ``errors`` holds failed rollbacks and the
+    events whose ``error`` says that they could not be read.
     """
     # Status, cascade and rollback all read the events, so they are stored once.
+    error = F.col("error") if "error" in finished.columns else F.lit(None).cast("string")
     finished = cut(
-        finished.select("event_id", "ts", "execution_id", "status", "is_rollback", "commit_id")
+        finished.select(
+            "event_id", "ts", "execution_id", "status", "is_rollback", "commit_id", error.alias("error")
+        )
     )
-    after = rollback_on_failure(cut(run_status_apply(runs, finished)), finished)
+    # An event that lacks a field may not be guessed at: it changes nothing and is reported.
+    unread = finished.filter(F.col("error").isNotNull()).select("execution_id", "commit_id", "error")
+    finished = finished.filter(F.col("error").isNull())
+    after = rollback_on_failure(cut(run_status_apply(runs, finished)), finished, known_deps)
     rows = cut(after.runs)
     lists = cut(after.stack.long_deps())
     deps = lists if known_deps is None else known_deps.unionByName(lists)
     started = start_ready(rows, deps=deps)
-    return Advance(started.runs, started.inputs, after.errors, lists)
+    return Advance(started.runs, started.inputs, after.errors.unionByName(unread), lists)
 
 
 class Started(NamedTuple):
@@ -228,9 +240,17 @@ def start_ready(runs: DataFrame, strict: bool = False, deps: DataFrame | None =
         "execution_id", F.lit("running").alias("status")
     )
     after = keyed_update(runs, ready)
+    begun = runs.drop("status").join(ready, "execution_id")
+    if deps is not None:
+        # An input is one document and holds its run's whole list.
+        long = deps.join(ready, "execution_id", "left_semi").groupBy("execution_id").agg(
+            F.array_sort(F.collect_list("dep_path")).alias("_long")
+        )
+        begun = begun.join(long, "execution_id", "left").withColumn(
+            "cfg_deps", F.coalesce("cfg_deps", "_long")
+        )
     inputs = (
-        runs.drop("status")
-        .join(ready, "execution_id")
+        begun
         .select(
             "execution_id",
             F.to_json(F.struct(*RUN_COLUMNS), {"ignoreNullFields": "false"}).alias("input_json"),

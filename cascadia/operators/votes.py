@@ -195,5 +195,14 @@ def in_time(decided: DataFrame, votes: DataFrame) -> DataFrame:
 
 
 def late_votes(runs: DataFrame, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``vote_id, accepted``: votes up to the deciding one are accepted, later ones are not."""
-    return in_time(decisions(tally_of(runs), votes, hot_rows), votes)
+    """``vote_id, accepted``: votes up to the deciding one are accepted, later ones are not.
+
+    Nor are votes on a run that ``runs`` doesn't have.
+    """
+    decided = in_time(decisions(tally_of(runs), votes, hot_rows), votes)
+    known = votes.join(runs.select("execution_id"), "execution_id", "left_semi").select(
+        "vote_id", F.lit(True).alias("_known")
+    )
+    return decided.join(known, "vote_id", "left").select(
+        "vote_id", (F.col("accepted") & F.coalesce("_known", F.lit(False))).alias("accepted")
+    )

@@ -111,7 +111,7 @@ _FLAGS = """coalesce(' -target '||resource_a, '')||coalesce(' -target '||resourc
 def _run_id(kind: str, pr: str, commit: str, account: str, path: str) -> str:
     return (
         f"'{kind}'||cast({pr} as varchar)||'-'||substr({commit},1,4)||'-'||{account}||'-'||"
-        f"regexp_replace({path}, '.*/', '')||'-'||substr(md5('{kind}|'||{commit}||'|'||{path}),1,3)"
+        f"regexp_replace({path}, '.*/', '')||'-'||substr(md5('{kind}|'||{commit}||'|'||{path}),1,12)"
     )
 
 
@@ -242,7 +242,8 @@ _SQL = {
       select event_id, ts, json_extract_string(doc, '$.execution_id') as execution_id,
              case when output is null then lower(status) else json_extract_string(doc, '$.status') end as status,
              json_extract_string(doc, '$.is_rollback') = 'true' as is_rollback,
-             json_extract_string(doc, '$.commit_id') as commit_id, json_extract_string(doc, '$.cfg_path') as cfg_path
+             json_extract_string(doc, '$.commit_id') as commit_id, json_extract_string(doc, '$.cfg_path') as cfg_path,
+             cast(null as varchar) as error
       from (select *, coalesce(output, input) as doc from {run_event_doc})""",
     "new_resources": """
       select execution_id, coalesce(string_agg(case when from_new then address end, ',' order by i), '') as new_resources
@@ -303,7 +304,7 @@ _SQL = {
       from {run_base}""",
     "abort_scope": """
       select execution_id from {run_base} where status in ('waiting','running') and commit_id in
-        (select commit_id from {run_base} where status = 'failed' and resource_b is not null)""",
+        (select commit_id from {run_base} where status = 'failed')""",
     "lock_status": f"""
       select p.repo, 'feature-'||cast(p.pr_id as varchar) as head_ref,
              case when lock_value = 'none' then 'success' else 'pending' end as state,
@@ -417,7 +418,7 @@ _SQL = {
       select repo, bool_or(status in ('waiting','running')) as in_progress from ({_REPO_RUN}) group by 1""",
     "run_counts": "select commit_id, account_name, status, count(*) as n from {run_base} group by 1, 2, 3",
     "next_pr_id": """
-      select o_orderkey, cast(coalesce(given, (select max(pr_id) from {run_base}) +
+      select o_orderkey, cast(coalesce(given, greatest((select max(pr_id) from {run_base}), max(given) over ()) +
              sum((given is null)::int) over (order by o_orderkey rows unbounded preceding)) as int) as pr_id
       from (select o_orderkey, case when o_orderstatus = 'F' then o_custkey end as given from {orders})""",
     "delivery_failures": """

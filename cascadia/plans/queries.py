@@ -217,10 +217,7 @@ def commit_state(t):
 
 @query
 def abort_scope(t):
-    broken = t["run_base"].filter(
-        (F.col("status") == "failed") & F.col("resource_b").isNotNull()
-    )
-    return FL.abort_scope(t["run_base"], broken)
+    return FL.abort_scope(t["run_base"], t["run_base"].filter(F.col("status") == "failed"))
 
 
 @query
@@ -280,7 +277,7 @@ def stack_semi(t):
     )
     keys = ["commit_id", "graph_id", "cfg_path"]
     found = J.stack_semi(P.nodes(t), P.edges(t), diff)
-    lists = inline_lists(found.deps, keys, "dep_path", "cfg_deps", order="pos")
+    lists = inline_lists(found.deps, keys, "dep_path", "cfg_deps", order="pos", limit=None)
     return found.rows.join(lists, keys, "left").select(
         *keys, F.coalesce(F.array_join("cfg_deps", "|"), F.lit("")).alias("cfg_deps")
     )

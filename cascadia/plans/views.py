@@ -113,7 +113,7 @@ VIEWS = {
         select event_id as vote_id, ts, 'run-'||cast(user_id as varchar(20)) as execution_id,
                'voter-'||cast(event_id % 7 as varchar(20)) as voter,
                case when event_type in ('click','purchase') then 'approve' else 'reject' end as action
-        from {events} where event_type <> 'view'""",
+        from {events}""",
     "vote_run": """
         select distinct 'run-'||cast(user_id as varchar(20)) as execution_id,
                cast(2 + user_id % 3 as int) as min_approval_count,

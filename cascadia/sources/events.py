@@ -8,7 +8,7 @@ from cascadia.model import NOT_A_PULL_REQUEST
 _REF = "struct<sha:string,ref:string>"
 _WEBHOOK = (
     "struct<action:string,repository:struct<full_name:string>,"
-    f"pull_request:struct<merged:string,number:string,base:{_REF},head:{_REF}>>"
+    f"pull_request:struct<merged:boolean,number:string,base:{_REF},head:{_REF}>>"
 )
 _RUN = "execution_id string, status string, is_rollback boolean, commit_id string, cfg_path string"
 
@@ -40,7 +40,8 @@ def webhook_scan(raw: DataFrame) -> DataFrame:
         *raw.columns,
         F.col("_e.repository.full_name").alias("repo"),
         F.col("_e.action").alias("action"),
-        F.lower(request.getField("merged")).try_cast("boolean").alias("merged"),
+        # Only the JSON values true and false count, no text that looks like them.
+        request.getField("merged").alias("merged"),
         request.getField("number").try_cast("bigint").alias("number"),
         request.getField("base").getField("ref").alias("base_ref"),
         request.getField("base").getField("sha").alias("base_sha"),
@@ -62,12 +63,16 @@ def webhook_scan(raw: DataFrame) -> DataFrame:
 
 
 def run_event_scan(raw: DataFrame) -> DataFrame:
-    """Finished-run events: the output if there is one, else the input with the event's status."""
+    """Finished-run events: the output if there is one, else the input with the event's status.
+
+    ``error`` is NULL for a whole event, else says which fields are missing or that the
+    document is no JSON object.
+    """
     has_output = F.length("output") > 0
     # The text is chosen first, so each event is parsed once.
     chosen = F.when(has_output, F.col("output")).otherwise(F.col("input"))
     parsed = _parsed(raw, F.from_json(chosen, _RUN), "_run")
-    return parsed.select(
+    fields = parsed.select(
         "event_id",
         "ts",
         F.col("_run.execution_id").alias("execution_id"),
@@ -76,3 +81,12 @@ def run_event_scan(raw: DataFrame) -> DataFrame:
         F.col("_run.commit_id").alias("commit_id"),
         F.col("_run.cfg_path").alias("cfg_path"),
     )
+    needed = ("execution_id", "status", "is_rollback", "commit_id")
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    empty = F.coalesce("execution_id", "commit_id", "cfg_path", F.col("is_rollback").cast("string")).isNull()
+    return fields.withColumn(
+        "error",
+        F.when(empty, F.lit("run document is not a JSON object")).when(
+            missing != "", F.concat(F.lit("missing: "), missing)
+        ),
+    )

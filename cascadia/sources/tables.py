@@ -2,11 +2,13 @@
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cascadia.functions.text import brace_list, csv_list
 from cascadia.model import DIM_COLUMNS, SCAN_STATUSES
+from cascadia.session import cut
 
 
 def account_upsert(dim: DataFrame, updates: DataFrame) -> DataFrame:
@@ -81,13 +83,23 @@ def write_stack(new_runs: DataFrame, path: str, buckets: int = 64) -> DataFrame:
 
     Files are laid out by a hash of the commit, not by the commit itself, so a commit
     with very many runs is still one directory among few and small commits share files.
-    A broken rule stops the write before any row lands.
+    A broken rule stops the write before any row lands. Runs the table has already are not
+    written again, so a repeated write adds nothing; the rows written are returned.
     """
+    # Checked, compared and written: computed once.
+    new_runs = cut(new_runs)
     broken = constraint_check(
         new_runs, "execution_id", ("min_approval_count", "min_rejection_count")
     )
     if not broken.isEmpty():
         raise ValueError("the new rows break a table rule; see constraint_check")
+    spark = new_runs.sparkSession
+    try:
+        known = spark.read.parquet(path).select("execution_id")
+    except AnalysisException:  # the first write
+        known = None
+    if known is not None:
+        new_runs = cut(new_runs.join(known, "execution_id", "left_anti"))
     (
         new_runs.withColumn("bucket", F.pmod(F.xxhash64("commit_id"), F.lit(buckets)))
         .hint("rebalance", "bucket")

@@ -1,5 +1,7 @@
 """Ready frontier, waves, rollback: fixed cases and invariants."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from cascadia.operators.graph import (
     rollback_stack,
 )
 from cascadia.operators.lifecycle import (
+    advance,
     failure_cascade,
     merge_lock,
     rollback_on_failure,
@@ -39,39 +42,42 @@ def run(execution_id, cfg_path, cfg_deps=(), status="waiting", **more):
 
 
 FRONTIER_CASES = {
-    "no deps": ([run("run-foo", "dev/foo")], ["run-foo"]),
-    "parent succeeded": (
+    "alone": ([run("quay", "port/quay"), run("lock", "port/lock")], ["lock", "quay"]),
+    "one of two parents open": (
         [
-            run("run-foo", "dev/foo", status="succeeded"),
-            run("run-bar", "dev/bar", ["dev/foo"]),
-            run("run-zoo", "dev/zoo"),
+            run("pump", "mill/pump", status="succeeded"),
+            run("sluice", "mill/sluice", status="running"),
+            run("wheel", "mill/wheel", ["mill/pump", "mill/sluice"]),
+            run("belt", "mill/belt", ["mill/pump"]),
         ],
-        ["run-bar", "run-zoo"],
+        ["belt"],
     ),
-    "parent failed": (
+    "behind a broken one": (
         [
-            run("run-foo", "dev/foo", status="failed"),
-            run("run-bar", "dev/bar", ["dev/foo"]),
-            run("run-zoo", "dev/zoo", ["dev/bar"]),
+            run("kiln", "clay/kiln", status="aborted"),
+            run("glaze", "clay/glaze", ["clay/kiln"]),
+            run("shelf", "clay/shelf", ["clay/glaze"]),
+            run("cart", "clay/cart", ["clay/none"]),
         ],
-        [],
+        ["cart"],
     ),
-    "account dep": (
+    "accounts in a row": (
         [
-            run("run-doo", "shared/doo", account_name="shared"),
-            run("run-foo", "dev/foo", account_deps=["shared"]),
+            run("well", "spring/well", account_name="spring"),
+            run("pipe", "brook/pipe", account_name="brook", account_deps=["spring"]),
+            run("tap", "river/tap", account_name="river", account_deps=["brook", "delta"]),
         ],
-        ["run-doo"],
+        ["well"],
     ),
-    "self dep": ([run("run-foo", "dev/foo", ["dev/foo"])], []),
-    "null list": ([run("run-foo", "dev/foo", None)], []),
-    "null element": ([run("run-foo", "dev/foo", [None])], ["run-foo"]),
+    "self dep": ([run("ring", "hall/ring", ["hall/ring"])], []),
+    "null list": ([run("bell", "hall/bell", None)], []),
+    "null element": ([run("rope", "hall/rope", [None])], ["rope"]),
     "other commit": (
         [
-            run("run-foo", "dev/foo", commit_id="c1", status="failed"),
-            run("run-bar", "dev/bar", ["dev/foo"], commit_id="c2"),
+            run("mast", "ship/mast", commit_id="c1", status="failed"),
+            run("sail", "ship/sail", ["ship/mast"], commit_id="c2"),
         ],
-        ["run-bar"],
+        ["sail"],
     ),
 }
 
@@ -103,6 +109,49 @@ def test_frontier_with_long_lists(spark, make_runs):
     assert waves == {"run-a": 1, "run-b": 2, "run-d": None}
 
 
+def test_rollback_order_with_long_lists(spark, make_runs):
+    """What a long list says is reversed like what a row says."""
+
+    def rows(listed):
+        deps = ["base"] if listed else None
+        return make_runs(
+            run("up", "base", status="succeeded", new_resources=["r.a"]),
+            run("top", "top", deps, status="succeeded", new_resources=["r.b"]),
+            run("bad", "bad", status="running", new_resources=["r.c"]),
+        )
+
+    finished = spark.createDataFrame(
+        [(1, 1, "bad", "failed", False, "test-commit")],
+        "event_id int, ts int, execution_id string, status string, is_rollback boolean, commit_id string",
+    )
+    known = spark.createDataFrame([("top", "base")], "execution_id string, dep_path string")
+
+    def after(runs, known=None):
+        return {r.cfg_path: r.status for r in advance(runs, finished, known).runs.filter("is_rollback").collect()}
+
+    expected = {"base": "waiting", "top": "running", "bad": "running"}
+    assert after(rows(True)) == expected
+    assert after(rows(False), known) == expected
+
+
+def test_unread_events_change_nothing(spark, make_runs):
+    runs = make_runs(run("a", "a", status="running", new_resources=["r.a"]))
+    finished = spark.createDataFrame(
+        [(1, 1, "a", "failed", None, "test-commit", "missing: is_rollback")],
+        "event_id int, ts int, execution_id string, status string, is_rollback boolean, commit_id string, error string",
+    )
+    done = advance(runs, finished)
+    assert [(r.execution_id, r.status) for r in done.runs.collect()] == [("a", "running")]
+    assert [r.error for r in done.errors.collect()] == ["missing: is_rollback"]
+
+
+def test_inputs_hold_long_lists(spark, make_runs):
+    runs = make_runs(run("a", "a", None), run("b", "b", ["x"]))
+    deps = spark.createDataFrame([("a", "z"), ("a", "y")], "execution_id string, dep_path string")
+    inputs = {r.execution_id: json.loads(r.input_json)["cfg_deps"] for r in start_ready(runs, deps=deps).inputs.collect()}
+    assert inputs == {"a": ["y", "z"], "b": ["x"]}
+
+
 def test_waves(make_runs):
     runs = make_runs(
         run("a", "a"),
@@ -221,7 +270,7 @@ def test_deploy_stack_lists_only_changed_dependencies(spark):
     assert {k: r.cfg_deps for k, r in rows.items()} == {"bar": ["baz"], "foo": ["bar"], "baz": []}
     assert rows["bar"].new_providers == ["p1"] and rows["foo"].new_providers == []
     assert rows["foo"].execution_id.startswith("run-3-comm-g-foo-")
-    assert len(rows["foo"].execution_id) == len("run-3-comm-g-foo-") + 3
+    assert len(rows["foo"].execution_id) == len("run-3-comm-g-foo-") + 12
     assert rows["foo"].plan_command == (
         "terragrunt plan --terragrunt-working-dir foo --terragrunt-iam-role pa -no-color"
     )
