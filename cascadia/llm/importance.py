@@ -37,8 +37,8 @@ LABELS = 100_000
 WEAK, STRONG = -0.7, -1.5
 #: Scale of the Gumbel noise in log-odds.
 TEMPERATURE = 0.05
-CACHE_WORDS = 1_000_000
-GROUP_CHARS = 4_000_000
+CACHE_WORDS = 400_000
+GROUP_CHARS = 1_000_000
 
 FEATURES = ("weak_mean", "weak_log", "strong_log", "word_mean", "pair_mean", "pair_weak", "n_log")
 
@@ -94,7 +94,8 @@ def _counts(docs: DataFrame, target_keys: np.ndarray) -> np.ndarray:
         return {"slice": list(total), "counts": [zlib.compress(c.tobytes(), 1) for c in total.values()]}
 
     def count(batches: Iterator[dict]) -> Iterator[dict]:
-        raw, target = np.zeros((2, width * SLICES), dtype=np.int64)
+        total = np.zeros((2, width * SLICES), dtype=np.int64)
+        raw, target = total
         seen = False
         for batch in batches:
             seen = True
@@ -107,7 +108,7 @@ def _counts(docs: DataFrame, target_keys: np.ndarray) -> np.ndarray:
                     raw += np.bincount(bucket, minlength=len(raw))
                     target += np.bincount(bucket[good[owner]], minlength=len(raw))
         if seen:
-            yield parts({i: np.stack([raw, target])[:, i * width : (i + 1) * width] for i in range(SLICES)})
+            yield parts({i: total[:, i * width : (i + 1) * width] for i in range(SLICES)})
 
     def add(batches: Iterator[dict]) -> Iterator[dict]:
         total: dict[int, np.ndarray] = {}
