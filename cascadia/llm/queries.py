@@ -97,4 +97,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_importance": op10_importance,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# SQL for the operators that it can express on the given tables. Words are split and lower-cased
+# in ASCII, as the operators do.
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+
+def _words(text: str) -> str:
+    return _WORDS.format(_LOWER.format(text))
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_hnsw": """
+      with recursive v as (
+        select vec_id, embedding::double[] as e from embeddings
+        where vec_id is not null and len(embedding) > 0
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+          and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+      p as (select a.vec_id as x, b.vec_id as y from v a join v b
+            on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.9),
+      r as (select vec_id, vec_id as c from v union select p.y, r.c from r join p on p.x = r.vec_id)
+      select vec_id, n_links, component_id, vec_id = component_id as kept from (
+        select vec_id, (select count(*) from p where x = vec_id) as n_links,
+               coalesce((select min(c) from r where r.vec_id = embeddings.vec_id), vec_id) as component_id
+        from embeddings)""",
+    "op4_line_neighbours": f"""
+      with l as (
+        select *, row_number() over (order by doc_id, line) as pos from (
+          select doc_id, cast(i - 1 as int) as line, {_words("parts[i]")} as w
+          from (select doc_id, string_split(text, chr(10)) as parts from documents), unnest(range(1, len(parts) + 1)) t(i))
+        where len(w) > 0),
+      f as (select w, min(pos) as pos from l group by w),
+      v as (select pos, len(w) as n, i, list_concat(w[:i - 1], w[i + 1:]) as x
+            from f, unnest(range(1, len(w) + 1)) t(i) where len(w) >= {near_lines.MIN_EDIT_WORDS}),
+      near as (
+        select pos, min(earlier) as earlier from (
+          select a.pos, b.pos as earlier from v a join v b on a.x = b.x and a.i = b.i and a.n = b.n and a.pos > b.pos
+          union all
+          select greatest(a.pos, b.pos), least(a.pos, b.pos) from v a join f b on a.x = b.w
+          where len(b.w) >= {near_lines.MIN_EDIT_WORDS})
+        group by pos),
+      found as (
+        select l.pos, f.pos as earlier, 0 as n_edits from l join f on l.w = f.w where l.pos <> f.pos
+        union all select pos, earlier, 1 from near)
+      select a.doc_id, a.line, b.doc_id as first_doc_id, b.line as first_line, n_edits
+      from found join l a on a.pos = found.pos join l b on b.pos = found.earlier""",
+    "op5_minhash_hamming": f"""
+      with recursive w as (select doc_id, {_words("text")} as w from documents),
+      s as (select distinct doc_id, case when len(w) >= 3 then w[i:i + 2] else w end as g
+            from w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) t(i) where len(w) > 0),
+      n as (select doc_id, count(*) as n from s group by doc_id),
+      c as (select a.doc_id as x, b.doc_id as y, count(*) as common
+            from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+      p as (select x, y from c join n a on a.doc_id = x join n b on b.doc_id = y
+            where 100 * common >= 85 * (a.n + b.n - common)),
+      r as (select doc_id, doc_id as c from documents union select p.y, r.c from r join p on p.x = r.doc_id)
+      select doc_id, n_shingles, component_id, doc_id = component_id as kept from (
+        select doc_id, coalesce((select n from n where n.doc_id = documents.doc_id), 0) as n_shingles,
+               (select min(c) from r where r.doc_id = documents.doc_id) as component_id
+        from documents)""",
+}
