@@ -70,6 +70,9 @@ REQUEST_OK = "Request was successful"
 NOT_FOUND = "Not Found"
 LOCKED_TEXT = "Locked -- In Progress PR #"
 UNLOCKED_TEXT = "Unlocked"
+VOTE_OK = "Vote was successfully submitted"
+BAD_ACTION = "action is not approve or reject"
+UNKNOWN_RUN = "run is unknown"
 VOTE_EXPIRED = "Approval submissions are not available anymore -- Execution Status: "
 MAIL_OK = "All emails were successfully sent"
 MAIL_FAILED = " emails failed to send"

@@ -1,5 +1,6 @@
 """DuckDB SQL with the result of each registered query."""
 
+from cascadia import model as M
 from cascadia.model import FILE_PATH_PATTERN
 from cascadia.plans.queries import APPROVAL_URL
 from cascadia.plans.views import SECRET, with_views
@@ -115,6 +116,16 @@ def _run_id(kind: str, pr: str, commit: str, account: str, path: str) -> str:
     )
 
 
+# One vote request per running run, voter and action; its kind says how it is tampered with.
+_REQUESTS = """select execution_id||voter||x.action as vote_id, execution_id, commit_id, voter, x.action,
+    substr(md5(execution_id||voter||x.action), 1, 1) as kind, substr(md5(execution_id), 1, 1) as run_kind
+  from {run_base} r join {account_voter} v on v.account_name = r.account_name
+  cross join (values ('approve'), ('reject')) as x(action) where status = 'running'"""
+
+_SIG_ERROR = f"""case when kind = '0' then '{M.BAD_SIGNATURE_KIND}'
+    when kind = '1' and action = 'approve' then '{M.BAD_SIGNATURE}' end"""
+
+
 # Votes with the sizes of both sides after each; seeds count as earlier votes.
 _TALLY = """select v.*, m.min_approval_count, m.min_rejection_count,
     (m.first_approval is not null)::int + sum(case when action = 'approve' and not had_a then 1
@@ -379,6 +390,20 @@ _SQL = {
       from {{run_base}} r join {{account_voter}} v on v.account_name = r.account_name
       cross join (values ('approve'), ('reject')) as x(action)
       where status = 'running'""",
+    "vote_scan": f"""
+      select vote_id, execution_id, case when kind <> '2' then voter end as voter,
+             case when kind = '1' then 'reject' else action end as action,
+             'arn:run:*~ '||execution_id as execution_arn, case when kind <> '3' then 'tok+/='||commit_id end as task_token,
+             case kind when '2' then 'recipient' when '3' then 'taskToken' end as missing, {_SIG_ERROR} as sig_error
+      from ({_REQUESTS})""",
+    "vote_outcome": f"""
+      select vote_id, status_code, status_code = 200 as accepted, case
+          when kind = '2' then 'missing: recipient' when sig_error is not null then sig_error
+          when status_code = 410 then '{M.VOTE_EXPIRED}ABORTED' when kind = '3' then 'missing: taskToken'
+          when status_code = 400 then '{M.UNKNOWN_RUN}' else '{M.VOTE_OK}' end as message
+      from (select *, cast(case when kind = '2' then 400 when sig_error is not null then 403 when run_kind = '5' then 410
+                       when kind = '3' or run_kind = '6' then 400 else 200 end as int) as status_code
+            from (select *, {_SIG_ERROR} as sig_error from ({_REQUESTS})))""",
     "plan_fanout": f"""
       select distinct pr_id, b.account_name, {_CONFIG_DIR} as cfg_path, b.plan_role_arn as role_arn,
              'Plan: '||{_CONFIG_DIR} as context

@@ -16,6 +16,7 @@ from cascadia.operators import filters as FL
 from cascadia.operators import graph as G
 from cascadia.operators import joins as J
 from cascadia.operators import lifecycle as L
+from cascadia.operators import vote_requests as R
 from cascadia.operators import votes as V
 from cascadia.plans import frames as P
 from cascadia.plans.views import SECRET, Tables
@@ -431,6 +432,45 @@ def voter_fanout(t):
     return J.voter_fanout(runs, APPROVAL_URL, SECRET)
 
 
+def _vote_requests(t):
+    """Links of running runs as requests; some are tampered with, by a digest of their vote."""
+    links = voter_fanout(t).select(
+        "execution_id", "voter", "action", F.substring_index("url", "?", -1).alias("query")
+    )
+    vote = F.concat("execution_id", "voter", "action")
+    kind = F.substring(F.md5(vote), 1, 1)
+    query = (
+        F.when(kind == "0", F.replace("query", F.lit("256=sha256"), F.lit("256=md5")))
+        .when(kind == "1", F.replace("query", F.lit("action=approve"), F.lit("action=reject")))
+        .when(kind == "2", F.regexp_replace("query", "&recipient=[^&]*", ""))
+        .when(kind == "3", F.regexp_replace("query", "&taskToken=[^&]*", ""))
+        .otherwise(F.col("query"))
+    )
+    return links.select(vote.alias("vote_id"), F.lit(0).alias("ts"), query.alias("query"))
+
+
+def _live(t):
+    kind = F.substring(F.md5("execution_id"), 1, 1)
+    return P.runs(t).filter((F.col("status") == "running") & (kind != "6")).select(
+        F.concat(F.lit("arn:run:*~ "), "execution_id").alias("execution_arn"),
+        F.when(kind == "5", "ABORTED").otherwise("RUNNING").alias("status"),
+    )
+
+
+@query
+def vote_scan(t):
+    return R.vote_scan(_vote_requests(t), SECRET).select(
+        "vote_id", "execution_id", "voter", "action", "execution_arn", "task_token", "missing", "sig_error"
+    )
+
+
+@query
+def vote_outcome(t):
+    return R.vote_outcome(R.vote_scan(_vote_requests(t), SECRET), _live(t)).select(
+        "vote_id", "status_code", "message", "accepted"
+    )
+
+
 @query
 def plan_fanout(t):
     prs = t["orders"].select(F.col("o_orderkey").alias("pr_id"), "o_orderstatus").filter(
