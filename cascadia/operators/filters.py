@@ -26,8 +26,8 @@ def config_file_filter(files: DataFrame, dim: DataFrame, statuses=SCAN_STATUSES)
 
 
 def pr_path_gate(files: DataFrame, pattern: str = FILE_PATH_PATTERN) -> DataFrame:
-    """``pr_id, matched``: whether any changed file, whatever its status, matches the pattern."""
-    return files.groupBy("pr_id").agg(F.bool_or(F.col("filename").rlike(pattern)).alias("matched"))
+    """``repo, pr_id, matched``: whether any changed file, whatever its status, matches the pattern."""
+    return files.groupBy("repo", "pr_id").agg(F.bool_or(F.col("filename").rlike(pattern)).alias("matched"))
 
 
 def status_toggle(statuses: DataFrame, config: Column, strict: bool = False) -> DataFrame:
@@ -132,14 +132,17 @@ def webhook_outcome(
 ) -> DataFrame:
     """Status code and message per event, from scanned, routed and signature-checked events.
 
-    The file table only contributes the distinct PRs with a matching file.
+    ``files`` is ``repo, pr_id, filename, …``: numbers repeat across repositories. Only the
+    files of the events' PRs are looked at, and they contribute the distinct PRs with a match.
     """
+    asked = events.select("repo", F.col("number").alias("pr_id")).distinct()
     matching = (
-        files.filter(F.col("filename").rlike(pattern))
-        .select(F.col("pr_id").alias("number"), F.lit(True).alias("_matched"))
+        files.join(asked, ["repo", "pr_id"], "left_semi")
+        .filter(F.col("filename").rlike(pattern))
+        .select("repo", F.col("pr_id").alias("number"), F.lit(True).alias("_matched"))
         .distinct()
     )
-    joined = events.join(matching, "number", "left")
+    joined = events.join(matching, ["repo", "number"], "left")
     unmatched = F.col("body_error").isNull() & F.col("_matched").isNull()
     code = (
         F.when(~F.col("is_json"), 500)

@@ -405,16 +405,22 @@ def voter_fanout(runs: DataFrame, base_url: str, secret: str) -> DataFrame:
 
 
 def plan_fanout(prs: DataFrame, files: DataFrame, dim: DataFrame) -> DataFrame:
-    """One plan job per open PR, account and added or modified configuration directory."""
+    """One plan job per open PR, account and added or modified configuration directory.
+
+    PRs and files are keyed by ``repo, pr_id``; only the files of the given PRs are cut into
+    directories.
+    """
     accounts = dim.select("account_name", "account_path", "plan_role_arn")
-    dirs = config_dirs(files, ["pr_id"], OPEN_STATUSES)
+    key = ["repo", "pr_id"]
+    own = files.join(prs.select(*key).distinct(), key, "left_semi")
+    dirs = config_dirs(own, key, OPEN_STATUSES)
     jobs = under_accounts(dirs, accounts, F.col("dir")).select(
-        "pr_id",
+        *key,
         "account_name",
         F.col("dir").alias("cfg_path"),
         F.col("plan_role_arn").alias("role_arn"),
         F.concat(F.lit(PLAN_CONTEXT), F.col("dir")).alias("context"),
     )
-    return prs.join(jobs, "pr_id").select(
+    return prs.join(jobs, key).select(
         *prs.columns, "account_name", "cfg_path", "role_arn", "context"
     )

@@ -41,17 +41,20 @@ def webhook_jobs(
 ) -> WebhookJobs:
     """Outcome of every webhook event, the plan jobs of opened PRs, the stack job of merged ones.
 
-    No step keeps state, so ``raw`` may be a stream.
+    ``raw`` is a table or one micro-batch; ``files`` is keyed by ``repo, pr_id``. The outcome
+    is stored once, as both kinds of jobs are made from it.
     """
     events = signature_check(webhook_route(webhook_scan(raw)), secret)
-    outcome = webhook_outcome(events, files, pattern)
+    outcome = cut(webhook_outcome(events, files, pattern))
     head = ["event_id", "repo", "base_ref", "head_ref", "base_sha", "head_sha"]
     accepted = outcome.filter("accepted").select(
         *head, F.col("number").alias("pr_id"), "route"
     )
-    opened = accepted.filter(F.col("route") == "open").select("event_id", "pr_id", "head_ref", "head_sha")
+    opened = accepted.filter(F.col("route") == "open").select(
+        "event_id", "repo", "pr_id", "head_ref", "head_sha"
+    )
     merged = accepted.filter(F.col("route") == "merge").select(
-        "event_id", "pr_id", "base_ref", "head_ref", "base_sha", "head_sha"
+        "event_id", "repo", "pr_id", "base_ref", "head_ref", "base_sha", "head_sha"
     )
     return WebhookJobs(outcome, plan_fanout(opened, files, dim), merged)
 

@@ -45,8 +45,9 @@ _PARSE_ERROR = """case when event_kind <> 'pull_request' then 'Event is not a pu
   when number is null then 'missing: number' end"""
 
 _EVENT_CHECKED = f"""select *, {_ROUTE} as route, {_PARSE_ERROR} as parse_error, {_SIG_ERROR} as sig_error,
-  exists (select 1 from {{pr_file}} f where f.pr_id = number and regexp_matches(f.filename, '{FILE_PATH_PATTERN}')) as matched
-  from ({_EVENT_FIELDS})"""
+  exists (select 1 from {{pr_file}} f where f.repo = e.repo and f.pr_id = e.number
+    and regexp_matches(f.filename, '{FILE_PATH_PATTERN}')) as matched
+  from ({_EVENT_FIELDS}) e"""
 
 _EVENT_CODE = """case when route is null then 404 when sig_error is not null then 403
   when number is not null and not matched then 200 when parse_error is not null then 400 else 200 end"""
@@ -122,7 +123,7 @@ _REQUESTS = """select execution_id||voter||x.action as vote_id, execution_id, co
   from {run_base} r join {account_voter} v on v.account_name = r.account_name
   cross join (values ('approve'), ('reject')) as x(action) where status = 'running'"""
 
-_SIG_ERROR = f"""case when kind = '0' then '{M.BAD_SIGNATURE_KIND}'
+_VOTE_SIG_ERROR = f"""case when kind = '0' then '{M.BAD_SIGNATURE_KIND}'
     when kind = '1' and action = 'approve' then '{M.BAD_SIGNATURE}' end"""
 
 
@@ -306,7 +307,7 @@ _SQL = {
       union all select 'glob_in_account_path', key, count(*) from a where has_star group by key""",
     "config_file_filter": f"select commit_id, graph_id as account_name, dir from ({_SEEDS})",
     "pr_path_gate": f"""
-      select pr_id, bool_or(regexp_matches(filename, '{FILE_PATH_PATTERN}')) as matched from {{pr_file}} group by pr_id""",
+      select repo, pr_id, bool_or(regexp_matches(filename, '{FILE_PATH_PATTERN}')) as matched from {{pr_file}} group by repo, pr_id""",
     "status_toggle": "select * from {commit_status} where component in ('PrPlan','Apply')",
     "webhook_route": f"select event_id, {_ROUTE} as route from ({_EVENT_FIELDS})",
     "run_event_filter": f"select event_id, status from ({_FINISHED})",
@@ -394,7 +395,7 @@ _SQL = {
       select vote_id, execution_id, case when kind <> '2' then voter end as voter,
              case when kind = '1' then 'reject' else action end as action,
              'arn:run:*~ '||execution_id as execution_arn, case when kind <> '3' then 'tok+/='||commit_id end as task_token,
-             case kind when '2' then 'recipient' when '3' then 'taskToken' end as missing, {_SIG_ERROR} as sig_error
+             case kind when '2' then 'recipient' when '3' then 'taskToken' end as missing, {_VOTE_SIG_ERROR} as sig_error
       from ({_REQUESTS})""",
     "vote_outcome": f"""
       select vote_id, status_code, status_code = 200 as accepted, case
@@ -403,9 +404,9 @@ _SQL = {
           when status_code = 400 then '{M.UNKNOWN_RUN}' else '{M.VOTE_OK}' end as message
       from (select *, cast(case when kind = '2' then 400 when sig_error is not null then 403 when run_kind = '5' then 410
                        when kind = '3' or run_kind = '6' then 400 else 200 end as int) as status_code
-            from (select *, {_SIG_ERROR} as sig_error from ({_REQUESTS})))""",
+            from (select *, {_VOTE_SIG_ERROR} as sig_error from ({_REQUESTS})))""",
     "plan_fanout": f"""
-      select distinct pr_id, b.account_name, {_CONFIG_DIR} as cfg_path, b.plan_role_arn as role_arn,
+      select distinct repo, pr_id, b.account_name, {_CONFIG_DIR} as cfg_path, b.plan_role_arn as role_arn,
              'Plan: '||{_CONFIG_DIR} as context
       from {{pr_file}} f join {{orders}} on o_orderkey = pr_id and o_orderstatus = 'O'
       join {{account_base}} b on starts_with(f.filename, b.account_path||'/')
@@ -518,7 +519,7 @@ _SQL = {
     "webhook_stream": f"""
       with ok as (select * from ({_EVENT_CHECKED}) where {_EVENT_CODE} = 200 and matched)
       select distinct 'plan' as kind, event_id, number as pr_id, head_ref, b.account_name, {_CONFIG_DIR} as cfg_path
-      from ok join {{pr_file}} f on f.pr_id = number join {{account_base}} b on starts_with(f.filename, b.account_path||'/')
+      from ok join {{pr_file}} f on f.repo = ok.repo and f.pr_id = number join {{account_base}} b on starts_with(f.filename, b.account_path||'/')
       where route = 'open' and {_IS_CONFIG} and f.status in ('added','modified')
       union all
       select 'stack', event_id, number, head_ref, null, null from ok where route = 'merge'""",

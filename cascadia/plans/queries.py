@@ -473,10 +473,11 @@ def vote_outcome(t):
 
 @query
 def plan_fanout(t):
-    prs = t["orders"].select(F.col("o_orderkey").alias("pr_id"), "o_orderstatus").filter(
-        F.col("o_orderstatus") == "O"
+    prs = t["orders"].filter(F.col("o_orderstatus") == "O").select(
+        F.concat(F.lit("org/repo-"), F.col("o_custkey").cast("string")).alias("repo"),
+        F.col("o_orderkey").alias("pr_id"),
     )
-    return J.plan_fanout(prs.select("pr_id"), t["pr_file"], P.dim(t))
+    return J.plan_fanout(prs, t["pr_file"], P.dim(t))
 
 
 # --- aggregates -----------------------------------------------------------------------

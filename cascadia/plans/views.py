@@ -90,9 +90,10 @@ VIEWS = {
                     when l_returnflag = 'A' then 'added'
                     when l_returnflag = 'N' then 'modified' else 'removed' end as status
         from {lineitem} join {cfg_node} on cfg_key = l_partkey""",
-    # The files of one order are one pull request.
+    # The files of one order are one pull request of its customer's repository.
     "pr_file": """
-        select l_orderkey as pr_id, filename, status from {changed_file}""",
+        select 'org/repo-'||cast(o_custkey as varchar(20)) as repo, l_orderkey as pr_id, filename, status
+        from {changed_file} join {orders} on o_orderkey = l_orderkey""",
     "run_base": """
         with r as (
           select l_suppkey, cfg_key, account_key, account_name, account_path, cfg_path, p_type, provider,

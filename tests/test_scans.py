@@ -114,10 +114,10 @@ def signed(body, secret=SECRET, prefix="sha256="):
     return prefix + hmac.new(secret.encode(), body.encode(), hashlib.sha256).hexdigest()
 
 
-def event(action="opened", merged=False, number=1, kind="pull_request", body=None, sig=None, **more):
+def event(action="opened", merged=False, number=1, kind="pull_request", body=None, sig=None, repo="org/repo", **more):
     doc = {
         "action": action,
-        "repository": {"full_name": "org/repo", "id": 3},
+        "repository": {"full_name": repo, "id": 3},
         "pull_request": {
             "merged": merged,
             "number": number,
@@ -137,8 +137,8 @@ def raw_events(spark, *events):
     return spark.createDataFrame([(i, i, (k, s), b) for i, (k, s, b) in enumerate(events)], RAW)
 
 
-def pr_files(spark, *rows):
-    return spark.createDataFrame(rows, "pr_id bigint, filename string, status string")
+def pr_files(spark, *rows, repo="org/repo"):
+    return spark.createDataFrame([(repo, *r) for r in rows], "repo string, pr_id bigint, filename string, status string")
 
 
 def accounts(spark, *rows):
@@ -169,6 +169,18 @@ def test_webhook_outcomes(spark):
         assert (rows[i].status_code, rows[i].message) == (code, message), i
 
 
+def test_numbers_repeat_across_repositories(spark):
+    raw = raw_events(spark, event(), event(repo="org/other"))
+    files = pr_files(spark, (1, "live/dev/a/x.tf", "added")).unionByName(
+        pr_files(spark, (1, "README.md", "added"), repo="org/other")
+    )
+    jobs = webhook_jobs(raw, files, accounts(spark, ("dev", "live/dev", "arn")), SECRET)
+    assert {r.event_id: r.accepted for r in jobs.outcome.collect()} == {0: True, 1: False}
+    assert [(r.event_id, r.repo, r.cfg_path) for r in jobs.plan_jobs.collect()] == [(0, "org/repo", "live/dev/a")]
+    gate = {(r.repo, r.pr_id): r.matched for r in FL.pr_path_gate(files).collect()}
+    assert gate == {("org/repo", 1): True, ("org/other", 1): False}
+
+
 def test_webhook_jobs(spark):
     raw = raw_events(spark, event(), event(action="closed", merged=True), event(sig="sha256=0"))
     files = pr_files(
