@@ -241,7 +241,7 @@ def vector_rows():
 
 @pytest.mark.parametrize("shard_rows", [100, hnsw.SHARD_ROWS])
 def test_near_vectors(spark, monkeypatch, shard_rows):
-    monkeypatch.setattr(hnsw.vector_links, "__defaults__", (shard_rows,))
+    monkeypatch.setattr(hnsw.vector_links, "__defaults__", (shard_rows, 150))
     rows = vector_rows()
     degree, part = brute_vectors(rows)
     # A repeated row and rows without a key change nothing.
@@ -261,6 +261,6 @@ def test_recall_on_a_large_group_of_near_copies():
     centre = rng.normal(size=64)
     vectors = hnsw.unit(np.vstack([centre + 0.1 * rng.normal(size=(800, 64)), rng.normal(size=(3000, 64))])).astype(np.float32)
     exact = vectors @ vectors.T >= 0.9
-    graph = hnsw.Graph.unpacked(hnsw.Graph.build(vectors).packed())
+    graph = hnsw.Graph.unpacked(hnsw.Graph.build(vectors).packed(), vectors)
     found = graph.neighbours(vectors, 0.9)
     assert sum(exact[i][x].sum() for i, x in enumerate(found)) >= 0.98 * exact.sum()
