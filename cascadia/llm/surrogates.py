@@ -61,8 +61,9 @@ PATTERNS = {
 #: Tried in this order; a span belongs to the first kind that claims it.
 ORDER = ("email", "iban", "ip", "ssn", "number", "phone", "phone_plus", "name")
 #: What a text must hold for any of the patterns to match, for Spark's own regular expressions.
-HINT = r"@|\d{2}|" + "|".join(sorted({*_TITLE, *(n for names in FIRST_NAMES.values() for n in names)}))
-_NAME_HINT = re.compile(rf"(?<!\w)(?:{'|'.join(sorted({*_TITLE, *(n for names in FIRST_NAMES.values() for n in names)}, key=len, reverse=True))})(?!\w)")
+_KNOWN = "|".join(sorted({*_TITLE, *(n for names in FIRST_NAMES.values() for n in names)}, key=len, reverse=True))
+HINT = rf"(?U)@|\d{{2}}|\d\.\d|\b(?:{_KNOWN})\b"
+_NAME_HINT = re.compile(rf"(?<!\w)(?:{_KNOWN})(?!\w)")
 
 #: Rounds of drawing; what still collides then gets a hash in brackets.
 MAX_ROUNDS = 12
