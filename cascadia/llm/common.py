@@ -84,6 +84,35 @@ def pa_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+# What a worker keeps between batches and tasks: one store at a time, as a worker that serves
+# several operators would else hold the stores of all.
+_STORES: dict[str, Callable[[], None]] = {}
+
+#: Words whose hash a worker keeps (about 150 bytes each).
+CACHE_WORDS = 600_000
+_WORD_HASH: dict[bytes, int] = {}
+
+
+def only_store(name: str, clear: Callable[[], None]) -> None:
+    """Announce the store in use; ``clear`` empties it when another one is announced."""
+    for other in [n for n in _STORES if n != name]:
+        _STORES.pop(other)()
+    _STORES[name] = clear
+
+
+def word_hashes(split: Sequence[list[bytes]]) -> np.ndarray:
+    """64-bit hashes of all words, one after another."""
+    import xxhash
+
+    only_store("words", _WORD_HASH.clear)
+    if len(_WORD_HASH) > CACHE_WORDS:
+        _WORD_HASH.clear()
+    for words in split:
+        for w in set(words).difference(_WORD_HASH):
+            _WORD_HASH[w] = xxhash.xxh3_64_intdigest(w)
+    return np.fromiter((_WORD_HASH[w] for words in split for w in words), dtype=np.uint64, count=sum(map(len, split)))
+
+
 #: Bits of a filter that picks rows at a scan (8 MB).
 FILTER_BITS = 1 << 26
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, stored
+from cascadia.llm.common import arrow_rows, stored, word_hashes
 
 #: Buckets of single words and of word pairs, as powers of two.
 BITS = (20, 18)
@@ -37,13 +37,11 @@ LABELS = 100_000
 WEAK, STRONG = -0.7, -1.5
 #: Scale of the Gumbel noise in log-odds.
 TEMPERATURE = 0.05
-CACHE_WORDS = 400_000
 GROUP_CHARS = 1_000_000
 
 FEATURES = ("weak_mean", "weak_log", "strong_log", "word_mean", "pair_mean", "pair_weak", "n_log")
 
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
-_WORD_HASH: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -56,17 +54,9 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
     Words are split at ASCII white space, A-Z lower-cased; a null text has none.
     """
-    import xxhash
-
-    cache = _WORD_HASH
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
     split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
-    for parts in split:
-        for w in set(parts).difference(cache):
-            cache[w] = xxhash.xxh3_64_intdigest(w)
     count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    h = np.fromiter((cache[w] for parts in split for w in parts), dtype=np.uint64, count=int(count.sum()))
+    h = word_hashes(split)
     owner = np.repeat(np.arange(len(split)), count)
     words = (_mixed(h) >> np.uint64(64 - BITS[0])).astype(np.int64)
     inner = np.flatnonzero(owner[1:] == owner[:-1])

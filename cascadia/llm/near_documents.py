@@ -22,18 +22,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, components, in_filter, key_filter, stored
+from cascadia.llm.common import arrow_rows, components, in_filter, key_filter, stored, word_hashes
 
 #: Signature: with a similarity of 0.85 a position differs with a probability of 0.15, and
 #: more than 19 of 40 differ in one of 4 million pairs; the closer the pair, the rarer.
 POSITIONS, CHUNKS, MAX_ERRORS = 40, 10, 19
 WIDTH = POSITIONS // CHUNKS
-#: Shingles hashed at once, and words whose hash a worker keeps.
-GROUP_SHINGLES = 1 << 20
-CACHE_WORDS = 1_000_000
+#: Shingles hashed at once.
+GROUP_SHINGLES = 1 << 19
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_WORD_HASH: dict[bytes, int] = {}
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,17 +52,9 @@ def shingles(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarra
     A-Z are lower-cased; shorter texts have one shingle, the whole sequence, and texts without
     a word none.
     """
-    import xxhash
-
-    cache = _WORD_HASH
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
     split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
-    for parts in split:
-        for w in set(parts).difference(cache):
-            cache[w] = xxhash.xxh3_64_intdigest(w)
     count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    hashes = np.fromiter((cache[w] for parts in split for w in parts), dtype=np.uint64, count=int(count.sum()))
+    hashes = word_hashes(split)
     begin = np.cumsum(count) - count
     size = np.where(count >= words, count - words + 1, np.minimum(count, 1))
     start = np.cumsum(size) - size

@@ -27,16 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, in_filter, key_filter, stored
+from cascadia.llm.common import arrow_rows, in_filter, key_filter, stored, word_hashes
 
 #: From this length on a line may differ by one word; 8 words make that a similarity of 7/8.
 MIN_EDIT_WORDS = 8
-CACHE_WORDS = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Inverse of the base modulo 2**64: moves words one place to the front.
 _INVERSE = np.uint64(pow(int(_MIX), -1, 1 << 64))
-_WORD_HASH: dict[bytes, int] = {}
 
 LINES = T.StructType(
     [
@@ -81,16 +79,8 @@ class _Hashed:
     """Polynomial hashes of the words of many lines, all in one array."""
 
     def __init__(self, lines: list[list[bytes]]):
-        import xxhash
-
-        cache = _WORD_HASH
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        for words in lines:
-            for w in set(words).difference(cache):
-                cache[w] = xxhash.xxh3_64_intdigest(w)
         self.n = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-        self.words = np.fromiter((cache[w] for words in lines for w in words), dtype=np.uint64, count=int(self.n.sum()))
+        self.words = word_hashes(lines)
         most = int(self.n.max()) + 2 if len(lines) else 2
         self.power, self.inverse = (np.cumprod(_ones(most, base), dtype=np.uint64) for base in (_MIX, _INVERSE))
         self.start = np.cumsum(self.n) - self.n

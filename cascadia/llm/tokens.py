@@ -17,8 +17,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
+from cascadia.llm.common import only_store
+
 #: Chunks kept by a worker (about 200 bytes each) and the longest one that is kept.
-CACHE_CHUNKS = 1_200_000
+CACHE_CHUNKS = 1_000_000
 CACHE_CHARS = 64
 #: Unseen chunks handed to the library as one text.
 CHUNKS_AT_ONCE = 20_000
@@ -46,7 +48,11 @@ class ChunkEncoder:
         self.older: dict[str, bytes | bool] = {}
         self.heads: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.cache, self.older, self.heads = {}, {}, {}
+
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        only_store(f"chunks {id(self)}", self.forget)
         group: list[str] = []
         size = 0
         for text in texts:
