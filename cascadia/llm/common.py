@@ -48,12 +48,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def arrow_rows(
     df: DataFrame, schema: T.StructType, rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]]
 ) -> DataFrame:
-    """``mapInArrow`` over plain columns: ``rows`` turns dicts of lists into dicts of lists."""
+    """``mapInArrow`` over plain columns: ``rows`` turns dicts of lists into dicts of lists.
+
+    Sets the session's Arrow batches to ``BATCH_ROWS`` rows where they are larger: rows here
+    hold whole texts, and a batch exists several times over in the executor and its worker.
+    """
     arrow = pa_schema(schema)
-    _importable(df.sparkSession)
+    spark = df.sparkSession
+    _importable(spark)
+    if int(spark.conf.get(_BATCH_SETTING)) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inputs = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns))) for b in batches)
@@ -89,7 +101,7 @@ def pa_schema(schema: T.StructType) -> pa.Schema:
 _STORES: dict[str, Callable[[], None]] = {}
 
 #: Words whose hash a worker keeps (about 150 bytes each).
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 _WORD_HASH: dict[bytes, int] = {}
 
 
