@@ -229,13 +229,13 @@ def near_lines(docs: DataFrame, min_words: int = MIN_EDIT_WORDS, key: str = "doc
         "lines",
     )
 
-    # Lines that may have a neighbour, numbered in their order.
+    # Lines that may have a neighbour, numbered in their order. The numbers are made in the tasks
+    # that sort: files that are read again come in the order of their sizes.
     filed = distinct.where("halves IS NOT NULL").select("h", F.explode("halves").alias("half"))
     shared = filed.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     hopeful = filed.join(shared, "half", "left_semi").select("h").distinct()
     some = distinct.join(hopeful, "h", "left_semi").select("h", "doc", "tie", "line")
-    some = stored(some.orderBy("doc", "tie", "line"), "lines-some").withColumn("sid", F.monotonically_increasing_id())
-    some = stored(some, "lines-numbered")
+    some = stored(some.orderBy("doc", "tie", "line").withColumn("sid", F.monotonically_increasing_id()), "lines-numbered")
     again = distinct.where("NOT once").select("h", F.struct("doc", "tie", "line").alias("first"))
     hits = stored(_hits(source, again, some), "lines-hits").withColumn("at", place)
     wanted = some.select("h", "sid", place.alias("first"))

@@ -194,6 +194,20 @@ def test_long_texts_and_hot_lines(spark, make_docs):
     assert equal == {(i, 0) for i in range(1, 300)} and not near
 
 
+def test_earlier_lines_stay_earlier_in_many_files(spark, make_docs):
+    """The sorted lines fill files of unequal size: the last ones, of many documents, are larger."""
+    lines = [prose(7000 + i, 12) for i in range(400)]
+    docs = make_docs((0, "\n".join(lines)), *((i + 1, line + " more") for i, line in enumerate(lines)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = near_lines.near_lines(docs).collect()
+        kept = near_lines.drop_near_lines(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.doc, r.line, r.first_doc, r.first_line) for r in found} == {(i + 1, 0, 0, i) for i in range(400)}
+    assert [(r.doc_id, r.text) for r in kept] == [(0, "\n".join(lines))]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=6), st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=6))
 def test_one_edit(a, b):
