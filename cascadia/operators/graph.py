@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cascadia import model as M
-from cascadia.functions.lists import PAGE_ROWS, inline_lists
+from cascadia.functions.lists import inline_lists
 from cascadia.functions.paths import with_prefixes
 from cascadia.functions.text import empty_list, leaf, stable_hash, target_flags
 from cascadia.model import BLOCKING, RUN_COLUMNS
@@ -32,8 +32,8 @@ class Stack:
 
     ``rows`` holds one narrow row per run, ``edges`` the dependencies under the same
     ``keys``; ``widen`` turns rows into run columns. A shared directory may have any number
-    of dependents, so lists are only put into rows by :meth:`table`, and those too long
-    for a row are what :meth:`long_deps` keeps.
+    of dependents, so lists are only put into rows by :meth:`table`. They are whole there; who
+    sets a limit takes the longer ones from :meth:`long_deps` with the same limit.
     """
 
     rows: DataFrame
@@ -51,8 +51,8 @@ class Stack:
         """All dependencies as ``execution_id, dep_path``."""
         return self._with_ids(self.edges)
 
-    def table(self, limit: int = PAGE_ROWS) -> DataFrame:
-        """Rows in table shape. A list longer than ``limit`` is NULL here, whole in long form."""
+    def table(self, limit: int | None = None) -> DataFrame:
+        """Rows in table shape, with whole lists. One longer than a ``limit`` is NULL here, whole in long form."""
         order = "pos" if "pos" in self.edges.columns else None
         keys = list(self.keys)
         lists = inline_lists(self.edges, keys, "dep_path", "cfg_deps", order, limit)
@@ -62,13 +62,12 @@ class Stack:
         )
         return self.widen(joined).select(RUN_COLUMNS)
 
-    def long_deps(self, limit: int = PAGE_ROWS) -> DataFrame:
+    def long_deps(self, limit: int | None = None) -> DataFrame:
         """``execution_id, dep_path`` of the lists that :meth:`table` leaves NULL."""
         keys = list(self.keys)
         long = self.edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        return self._with_ids(
-            self.edges.join(long.filter(F.col("n") > limit), keys, "left_semi")
-        )
+        over = F.lit(False) if limit is None else F.col("n") > limit
+        return self._with_ids(self.edges.join(long.filter(over), keys, "left_semi"))
 
     def _with_ids(self, edges: DataFrame) -> DataFrame:
         keys = list(self.keys)

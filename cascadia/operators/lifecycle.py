@@ -5,6 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cascadia.functions.lists import PAGE_ROWS
 from cascadia.model import (
     BROKEN,
     FILE_PATH_PATTERN,
@@ -107,16 +108,17 @@ class Rollback(NamedTuple):
 
 
 def rollback_on_failure(
-    runs: DataFrame, finished: DataFrame, deps: DataFrame | None = None
+    runs: DataFrame, finished: DataFrame, deps: DataFrame | None = None, limit: int | None = None
 ) -> Rollback:
     """Cascade, then rollback rows for the failed commits; ``runs`` holds old and new rows.
 
-    ``deps`` holds the dependency lists of ``runs`` that are too long for a row.
+    ``deps`` holds the dependency lists of ``runs`` that are too long for a row. New rows have
+    whole lists; with a ``limit``, longer ones are NULL and whole in ``stack.long_deps(limit)``.
     """
     after = failure_cascade(runs, finished)
     stack = rollback_stack(after.runs, failed_commits(finished), deps)
     return Rollback(
-        after.runs.select(RUN_COLUMNS).unionByName(stack.table()), stack, after.errors
+        after.runs.select(RUN_COLUMNS).unionByName(stack.table(limit)), stack, after.errors
     )
 
 
@@ -224,9 +226,9 @@ def advance(
     # An event that lacks a field may not be guessed at: it changes nothing and is reported.
     unread = finished.filter(F.col("error").isNotNull()).select("execution_id", "commit_id", "error")
     finished = finished.filter(F.col("error").isNull())
-    after = rollback_on_failure(cut(run_status_apply(runs, finished)), finished, known_deps)
+    after = rollback_on_failure(cut(run_status_apply(runs, finished)), finished, known_deps, PAGE_ROWS)
     rows = cut(after.runs)
-    lists = cut(after.stack.long_deps())
+    lists = cut(after.stack.long_deps(PAGE_ROWS))
     deps = lists if known_deps is None else known_deps.unionByName(lists)
     started = start_ready(rows, deps=deps)
     return Advance(started.runs, started.inputs, after.errors.unionByName(unread), lists)

@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascadia.functions.lists import PAGE_ROWS, inline_lists
+from cascadia.functions.lists import inline_lists
 from cascadia.functions.ordered import HOT_ROWS, previous_value, running_sums
 
 _LISTS = ["approval_voters", "rejection_voters"]
@@ -20,12 +20,12 @@ def vote_sides(votes: DataFrame) -> DataFrame:
     )
 
 
-def voter_union(runs: DataFrame, votes: DataFrame, limit: int = PAGE_ROWS) -> DataFrame:
+def voter_union(runs: DataFrame, votes: DataFrame, limit: int | None = None) -> DataFrame:
     """Runs with both voter lists after the votes, sorted and distinct on the side that grew.
 
     A voter joins the list of their last action and leaves the other. The voter need not
-    be among the run's ``voters``. More than ``limit`` voters of one run on one side give a
-    NULL list; :func:`vote_sides` holds them in long form.
+    be among the run's ``voters``. Lists are whole whatever their size; with a ``limit``, more
+    voters of one run on one side give a NULL list, and :func:`vote_sides` holds them in long form.
     """
     sides = vote_sides(votes)
     result = runs

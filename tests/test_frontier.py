@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from cascadia.functions.lists import PAGE_ROWS
 from cascadia.operators.graph import (
     cyclic_dirs,
     deploy_stack,
@@ -378,3 +379,32 @@ def test_lock(spark, state, statuses, lock):
     )
     runs = spark.createDataFrame([("r", s) for s in statuses], "repo string, status string")
     assert [r.lock_value for r in merge_lock(runs, builds).collect()] == [lock]
+
+
+def test_any_number_of_dependents(spark, make_runs):
+    n = PAGE_ROWS + 1
+    dependents = [run(f"run-{i}", f"d{i:05d}", ["base"], "failed" if i == 0 else "succeeded", new_resources=["a.x"]) for i in range(n)]
+    runs = make_runs(run("run-base", "base", [], "succeeded", new_resources=["b.y"]), *dependents)
+    paths = [f"d{i:05d}" for i in range(n)]
+    row = rollback_stack(runs, runs.filter("status = 'failed'")).table().filter("cfg_path = 'base'").first()
+    assert sorted(row.cfg_deps) == paths
+    after = rollback_on_failure(runs, failing(spark, ("e1", 1, "run-0", "failed", False, "test-commit"))).runs
+    assert [sorted(r.cfg_deps) for r in after.filter("is_rollback AND cfg_path = 'base'").collect()] == [paths]
+
+
+def test_any_number_of_dependencies(spark):
+    n = PAGE_ROWS + 1
+    dirs = spark.range(n).selectExpr("'g' AS graph_id", "format_string('d%05d', id) AS cfg_path", "cast(id AS int) AS pos")
+    top = spark.createDataFrame([("g", "top")], "graph_id string, cfg_path string")
+    nodes = dirs.select("graph_id", "cfg_path").unionByName(top)
+    edges = dirs.selectExpr("graph_id", "'top' AS cfg_path", "cfg_path AS dep_path", "pos")
+    diff = nodes.selectExpr("'commit' AS commit_id", "graph_id", "cfg_path")
+    providers = spark.createDataFrame([], "graph_id string, cfg_path string, new_providers array<string>")
+    dim = spark.createDataFrame(
+        [("g", "live/g", [], 1, 1, ["v"], "pa", "aa")],
+        "account_name string, account_path string, account_deps array<string>, min_approval_count int,"
+        "min_rejection_count int, voters array<string>, plan_role_arn string, apply_role_arn string",
+    )
+    commits = spark.createDataFrame([("commit", 3, "trunk", "f")], "commit_id string, pr_id int, base_ref string, head_ref string")
+    rows = deploy_stack(nodes, edges, diff, providers, dim, commits).table()
+    assert rows.filter("cfg_path = 'top'").first().cfg_deps == [f"d{i:05d}" for i in range(n)]

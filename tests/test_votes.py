@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from cascadia.functions.lists import PAGE_ROWS
 from cascadia.functions.ordered import numbered, previous_value, running_sums
 from cascadia.operators.votes import late_votes, vote_decision, voter_union
 
@@ -85,6 +86,16 @@ def test_null_list_counts_as_empty_when_joined(spark):
     assert voter_union(runs, votes).collect()[0].approval_voters == ["a"]
 
 
+def test_any_number_of_voters(spark):
+    n = PAGE_ROWS + 1
+    runs = spark.createDataFrame([("r", ["v00000", "x"], ["y"], 1, 1), ("s", [], ["v00001"], 1, 1)], RUNS)
+    votes = spark.range(n).selectExpr("id AS vote_id", "1 AS ts", "'r' AS execution_id", "format_string('v%05d', id) AS voter", "'approve' AS action")
+    votes = votes.unionByName(votes.selectExpr("vote_id + 100000 AS vote_id", "ts", "'s' AS execution_id", "voter", "'reject' AS action"))
+    after = {r.execution_id: (r.approval_voters, r.rejection_voters) for r in voter_union(runs, votes).collect()}
+    voters = [f"v{i:05d}" for i in range(n)]
+    assert after == {"r": ([*voters, "x"], ["y"]), "s": ([], voters)}
+
+
 @pytest.mark.parametrize("sliced", [False, True])
 def test_ordered_helpers(spark, sliced):
     rng = random.Random(7)
