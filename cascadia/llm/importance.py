@@ -3,7 +3,10 @@
 Two generative models over hashed word n-grams, one of the target (labelled documents that are
 good) and one of all raw text, give every n-gram a log ratio. A document's importance comes
 from the ratios of its n-grams; a logistic fit on labelled documents that the target model
-hasn't seen turns it into log-odds. Documents are then sampled without replacement by Gumbel
+hasn't seen turns it into log-odds. A second ratio and fit tell toxic documents from the others:
+toxic words are few among ordinary ones and come with many endings and marks, so it looks at the
+beginnings of words, and its cut is chosen on labelled documents that neither has seen. A
+document's log-odds are the lower of both verdicts. Documents are then sampled without replacement by Gumbel
 top-k: each gets its log-odds plus keyed Gumbel noise, and the k highest stay, where k is the
 number of documents that are more likely good than not.
 
@@ -18,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,17 +33,25 @@ BITS = (20, 18)
 SIZE = sum(1 << b for b in BITS)
 #: Slices of the count vectors, the unit in which tasks hand on their counts.
 SLICES = 80
+#: Bytes of a word that count as its beginning, and buckets of beginnings as a power of two.
+START_BYTES, START_BITS = 5, 18
+STARTS = 1 << START_BITS
 #: Added to every count: a bucket that the target is expected to fill less often says little.
 SMOOTHING = 2.0
 #: Labelled documents used at most (those of least key hash); the rest are scored like all others.
 LABELS = 100_000
 #: Log ratios under these are evidence against a document and are summed on their own.
 WEAK, STRONG = -0.7, -1.5
+#: Log ratios of beginnings over this are evidence that a document is toxic.
+TOXIC = 1.0
+#: How much the share of other documents lost counts against the share of toxic ones found.
+LOST_WEIGHT = 4.0
 #: Scale of the Gumbel noise in log-odds.
 TEMPERATURE = 0.05
 GROUP_CHARS = 1_000_000
 
 FEATURES = ("weak_mean", "weak_log", "strong_log", "word_mean", "pair_mean", "pair_weak", "n_log")
+TOXIC_FEATURES = ("toxic_top", "toxic_log", "toxic_mean", "toxic_weak")
 
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -64,6 +76,13 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return words, owner, pairs, owner[inner]
 
 
+def starts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the beginnings of all words, and whose they are; words as in ``ngrams``."""
+    split = [[w[:START_BYTES] for w in t.encode("utf-8", "surrogatepass").lower().split()] if t else [] for t in texts]
+    owner = np.repeat(np.arange(len(split)), np.fromiter(map(len, split), dtype=np.int64, count=len(split)))
+    return (_mixed(word_hashes(split)) >> np.uint64(64 - START_BITS)).astype(np.int64), owner
+
+
 def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     first, size = 0, 0
     for i, t in enumerate(texts):
@@ -75,10 +94,14 @@ def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
-def _counts(docs: DataFrame, target_keys: np.ndarray) -> np.ndarray:
-    """Counts of all buckets in raw text (first row) and in the target's documents (second)."""
+def _counts(docs: DataFrame, target_keys: np.ndarray, toxic_keys: np.ndarray | None = None) -> np.ndarray:
+    """Counts of all buckets in raw text (first row) and in the target's documents (second).
+
+    With ``toxic_keys`` the counts of word beginnings follow; their target is the toxic documents.
+    """
     schema = T.StructType([T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-    width = -(-SIZE // SLICES)
+    size = SIZE if toxic_keys is None else SIZE + STARTS
+    width = -(-size // SLICES)
 
     def parts(total: dict[int, np.ndarray]) -> dict:
         return {"slice": list(total), "counts": [zlib.compress(c.tobytes(), 1) for c in total.values()]}
@@ -90,13 +113,19 @@ def _counts(docs: DataFrame, target_keys: np.ndarray) -> np.ndarray:
         for batch in batches:
             seen = True
             keys = np.array([-1 if k is None else k for k in batch["key"]], dtype=np.int64)
-            known = np.isin(keys, target_keys) & np.array([k is not None for k in batch["key"]], dtype=bool)
+            keyed = np.array([k is not None for k in batch["key"]], dtype=bool)
+            known = np.isin(keys, target_keys) & keyed
             for a, b in _groups(batch["text"]):
                 words, w_owner, pairs, p_owner = ngrams(batch["text"][a:b])
                 good = known[a:b]
                 for bucket, owner in ((words, w_owner), (pairs, p_owner)):
                     raw += np.bincount(bucket, minlength=len(raw))
                     target += np.bincount(bucket[good[owner]], minlength=len(raw))
+                if toxic_keys is not None:
+                    toxic = (np.isin(keys, toxic_keys) & keyed)[a:b]
+                    start, owner = starts(batch["text"][a:b])
+                    raw[SIZE:size] += np.bincount(start, minlength=STARTS)
+                    target[SIZE:size] += np.bincount(start[toxic[owner]], minlength=STARTS)
         if seen:
             yield parts({i: total[:, i * width : (i + 1) * width] for i in range(SLICES)})
 
@@ -112,7 +141,12 @@ def _counts(docs: DataFrame, target_keys: np.ndarray) -> np.ndarray:
     out = np.zeros((2, width * SLICES))
     for row in summed.toLocalIterator():
         out[:, row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.int64).reshape(2, width)
-    return out[:, :SIZE]
+    return out[:, :size]
+
+
+def _log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    expected = raw * (target.sum() / max(1.0, raw.sum()))
+    return np.log((target + SMOOTHING) / (expected + SMOOTHING))
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -122,9 +156,7 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     for bits in BITS:
         part = slice(first, first + (1 << bits))
         first += 1 << bits
-        total = max(1.0, raw[part].sum())
-        expected = raw[part] * (target[part].sum() / total)
-        out[part] = np.log((target[part] + SMOOTHING) / (expected + SMOOTHING))
+        out[part] = _log_ratio(raw[part], target[part])
     return out
 
 
@@ -153,25 +185,43 @@ def features(texts: list[str | None], ratios: np.ndarray) -> np.ndarray:
     )
 
 
-def _scored(docs: DataFrame, ratios: np.ndarray, columns: list[str]) -> DataFrame:
+def toxic_features(texts: list[str | None], ratios: np.ndarray) -> np.ndarray:
+    """One row of ``TOXIC_FEATURES`` per text; a text without words gets zeros."""
+    start, owner = starts(texts)
+    x = ratios[start].astype(np.float64)
+    n = np.maximum(1, np.bincount(owner, minlength=len(texts)))
+    top = np.zeros(len(texts))
+    np.maximum.at(top, owner, x)
+    strong = np.bincount(owner, weights=np.maximum(x - TOXIC, 0), minlength=len(texts))
+    weak = np.bincount(owner, weights=np.minimum(x, 0), minlength=len(texts))
+    return np.stack([top, np.log1p(strong), strong / n, weak / n], axis=1)
+
+
+def _scored(docs: DataFrame, ratios: np.ndarray, toxic: np.ndarray, columns: list[str]) -> DataFrame:
     """``columns`` of every row, with its features as doubles."""
-    schema = T.StructType([*(docs.schema[c] for c in columns), *(T.StructField(f, T.DoubleType()) for f in FEATURES)])
-    model = docs.sparkSession.sparkContext.broadcast(ratios)
+    names = [*FEATURES, *TOXIC_FEATURES]
+    schema = T.StructType([*(docs.schema[c] for c in columns), *(T.StructField(f, T.DoubleType()) for f in names)])
+    model = docs.sparkSession.sparkContext.broadcast((ratios, toxic))
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            blocks = [features(batch["text"][a:b], model.value) for a, b in _groups(batch["text"])]
-            values = np.concatenate(blocks) if blocks else np.zeros((0, len(FEATURES)))
-            yield {c: batch[c] for c in columns} | {f: values[:, i].tolist() for i, f in enumerate(FEATURES)}
+            texts = [batch["text"][a:b] for a, b in _groups(batch["text"])]
+            blocks = [np.hstack([features(t, model.value[0]), toxic_features(t, model.value[1])]) for t in texts]
+            values = np.concatenate(blocks) if blocks else np.zeros((0, len(names)))
+            yield {c: batch[c] for c in columns} | {f: values[:, i].tolist() for i, f in enumerate(names)}
 
     return arrow_rows(docs, schema, rows)
 
 
+def _design(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    z = np.clip((x - mean) / scale, -8, 8)
+    return np.hstack([z, z**2, np.ones((len(z), 1))])
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Means, scales and weights (features, their squares, constant) of a ridge logistic fit."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    z = np.clip((x - mean) / scale, -8, 8)
-    a = np.hstack([z, z**2, np.ones((len(z), 1))])
+    a = _design(x, mean, scale)
     w = np.zeros(a.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
@@ -182,15 +232,38 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.nda
     return mean, scale, w
 
 
-def _log_odds(mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> Column:
-    n = len(FEATURES)
+def _log_odds(mean: np.ndarray, scale: np.ndarray, w: np.ndarray, names: tuple[str, ...] = FEATURES) -> Column:
+    n = len(names)
     total = F.lit(float(w[-1]))
-    for i, f in enumerate(FEATURES):
+    for i, f in enumerate(names):
         z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (F.col(f) - float(mean[i])) / float(scale[i])))
         total = total + z * float(w[i]) + z * z * float(w[n + i])
     return total
 
 
+def fit_toxic(seen: pd.DataFrame) -> Column | None:
+    """Log-odds against toxic, from labelled documents with their features; None if a kind is missing.
+
+    Every third is scored by a fit on the others. The cut is where the share of toxic documents
+    found, less ``LOST_WEIGHT`` times the share of others lost, is highest over all three.
+    """
+    names = (*TOXIC_FEATURES, "n_log")
+    seen = seen[seen["toxic"].notna()]
+    x, y, fold = seen[list(names)].to_numpy(dtype=float), seen["toxic"].to_numpy(dtype=float), (seen["side"].to_numpy() // 2) % 3
+    if len(np.unique(y)) < 2:
+        return None
+    cut = 0.0
+    if all(len(np.unique(y[fold != f])) == 2 for f in range(3)):
+        held = np.zeros(len(y))
+        for f in range(3):
+            mean, scale, w = fit_logistic(x[fold != f], y[fold != f])
+            held[fold == f] = _design(x[fold == f], mean, scale) @ w
+        cuts = np.sort(held)
+        found, lost = (1 - np.searchsorted(np.sort(held[y == k]), cuts) / (y == k).sum() for k in (1, 0))
+        cut = float(cuts[np.argmax(found - LOST_WEIGHT * lost)])
+    return F.lit(cut) - _log_odds(*fit_logistic(x, y), names)
+
+
 def top_k_threshold(scores: DataFrame, column: str, k: int) -> float | None:
     """The k-th highest value of ``column``; found by narrowing a histogram, never by a global sort.
 
@@ -223,35 +296,44 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     """``(key, text_key, log_odds)`` for every row of ``docs``; ``text_key`` is a digest of the text.
 
     ``labels`` has the key, quality (1 good) and toxic (1 bad); a document is a good example
-    when its quality is 1 and it isn't toxic, null labels are ignored. Half the labelled
-    documents make the target model, the other half the fit. With no example of one kind
-    every document gets log-odds of 0 or, if all examples are bad, below.
+    when its quality is 1 and it isn't toxic, a toxic one a bad example also without a quality;
+    other null labels are ignored. Half the labelled documents make the target models, the other
+    half the fits. With no example of one kind every document gets log-odds of 0 or, if all
+    examples are bad, below. Log-odds against toxic count where they are lower.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"))
     # The sample for the fit, at most max_labels rows: the documents of least key hash.
     sample = (
-        labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
+        labels.where(F.col(key).isNotNull() & F.coalesce("quality", "toxic").isNotNull())
         .groupBy(F.col(key).cast("long").alias("key"))
-        .agg(F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)).cast("int")).alias("good"))
-        .select("key", "good", F.xxhash64("key", F.lit("label")).alias("side"))
+        .agg(
+            F.min(F.when(F.col("toxic") == 1, 0).otherwise((F.col("quality") == 1).cast("int"))).alias("good"),
+            F.max((F.col("toxic") == 1).cast("int")).alias("toxic"),
+        )
+        .select("key", "good", "toxic", F.xxhash64("key", F.lit("label")).alias("side"))
         .orderBy("side", "key")
         .limit(max_labels)
         .toPandas()
     )
     train = sample[sample["side"] % 2 == 0]
-    targets = np.sort(train[train["good"] == 1]["key"].to_numpy(dtype=np.int64))
-    raw, target = _counts(source.select("key", "text"), targets)
-    scored = stored(_scored(source, log_ratios(raw, target), ["key", "text_key"]), "quality-scores")
+    targets, toxics = (np.sort(train[train[n] == 1]["key"].to_numpy(dtype=np.int64)) for n in ("good", "toxic"))
+    raw, target = _counts(source.select("key", "text"), targets, toxics)
+    ratios = log_ratios(raw[:SIZE], target[:SIZE]), _log_ratio(raw[SIZE:], target[SIZE:]).astype(np.float32)
+    scored = stored(_scored(source, *ratios, ["key", "text_key"]), "quality-scores")
 
     rest = sample[sample["side"] % 2 != 0]
-    labelled = spark.createDataFrame(rest[["key", "good"]], "key long, good int")
-    seen = scored.join(labelled, "key").dropDuplicates(["key"]).toPandas()
+    # A label of -1 is none.
+    labelled = spark.createDataFrame(rest[["key", "side", "good", "toxic"]].fillna(-1).astype("int64"), "key long, side long, good long, toxic long")
+    found = scored.join(labelled, "key").dropDuplicates(["key"]).toPandas().replace({"good": -1, "toxic": -1}, np.nan)
+    seen = found[found["good"].notna()]
     odds = F.lit(0.0)
     if len(seen) and seen["good"].nunique() == 2:
         odds = _log_odds(*fit_logistic(seen[list(FEATURES)].to_numpy(dtype=float), seen["good"].to_numpy(dtype=float)))
     elif len(seen):
         odds = F.lit(5.0 if seen["good"].iloc[0] == 1 else -5.0)
+    if (against := fit_toxic(found)) is not None:
+        odds = F.least(odds, against)
     return scored.select("key", "text_key", odds.alias("log_odds"))
 
 

@@ -167,6 +167,19 @@ def test_held_out_accuracy(spark):
     assert importance.gumbel_top_k(scores).where("kept").count() == k
 
 
+def test_toxic_documents_go(spark):
+    """Hidden toxic documents, with half of the shown toxic ones known by a label without a quality."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    shown = labels.where("doc_id % 5 <> 0").selectExpr("doc_id", "if(toxic = 1 and doc_id % 2 = 0, null, quality) AS quality", "toxic")
+    rows = importance.gumbel_top_k(importance.quality_scores(documents(spark, folder), shown))
+    rows = rows.join(labels.where("doc_id % 5 = 0").withColumnRenamed("doc_id", "key"), "key").toPandas()
+    kept = lambda part: float(part.kept.mean())
+    figures = kept(rows[rows.toxic == 1]), kept(rows[(rows.toxic == 1) & (rows.quality == 1)]), kept(rows[(rows.quality == 1) & (rows.toxic == 0)])
+    print("kept: toxic, toxic of quality 1, good:", figures)
+    assert figures[0] < 0.06 and figures[1] < 0.06 and figures[2] > 0.97
+
+
 def test_noise_changes_the_sample_near_the_threshold_only(spark):
     scores = spark.createDataFrame([(i, i, i / 100 - 5) for i in range(1000)], "key long, text_key long, log_odds double")
     one, two = (importance.gumbel_top_k(scores, seed=s, temperature=0.2).toPandas() for s in (1, 2))
