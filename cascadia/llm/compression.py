@@ -2,7 +2,8 @@
 
 Repetitive text compresses far better than prose, random strings far worse. A text is rejected
 when the ratio of its zstandard size to its own leaves the band of its length, or when too many
-of its fixed chunks leave the band of a chunk: the chunks find what a long text dilutes.
+of its fixed chunks leave the band of a chunk: the chunks find what a long text dilutes. What is
+left after the last full chunk is one more chunk, with a band by its length.
 """
 
 from __future__ import annotations
@@ -44,7 +45,15 @@ BANDS = (
 )
 CHUNK = 2048
 CHUNK_BAND = Band(None, 0.30, 0.78)
-#: Share of a text's full chunks that may lie outside the band.
+#: Limits of a last chunk by its length; a shorter one is judged with the bytes before it.
+TAIL_BANDS = (
+    Band(256, 0.45, 0.90),
+    Band(512, 0.40, 0.80),
+    Band(1024, 0.35, 0.74),
+    Band(CHUNK, 0.30, 0.70),
+)
+LEAST_TAIL = 128
+#: Share of a text's chunks, and of its full ones, that may lie outside the band.
 MAX_BAD_CHUNKS = 0.25
 
 FIELDS = {
@@ -79,6 +88,18 @@ def repeat_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def bad_tail(raw: bytes, compressor) -> bool:
+    """Whether the chunk after the last full one leaves its band, alone or with the bytes before it."""
+    rest = raw[len(raw) - len(raw) % CHUNK :]
+    ratio = len(compressor.compress(raw[-CHUNK:])) / CHUNK
+    if not CHUNK_BAND.low <= ratio <= CHUNK_BAND.high:
+        return True
+    if len(rest) < LEAST_TAIL:
+        return False
+    band = next(b for b in TAIL_BANDS if len(rest) < b.below)
+    return not band.low <= len(compressor.compress(rest)) / len(rest) <= band.high
+
+
 def measure(text: str | None, compressor) -> dict:
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
@@ -91,15 +112,19 @@ def measure(text: str | None, compressor) -> dict:
             seen.add(line)
     n, again = len(words), repeat_words(words)
     base_failed = n < MIN_WORDS or 100 * again > MAX_REPEAT_PERCENT * n
-    ratio, bad, chunks = 1.0, 0, 0
+    ratio, bad, chunks, full_good = 1.0, 0, 0, True
     if raw:
         ratio = len(compressor.compress(raw)) / len(raw)
         chunks = len(raw) // CHUNK
         for i in range(chunks):
             size = len(compressor.compress(raw[i * CHUNK : (i + 1) * CHUNK]))
             bad += not CHUNK_BAND.low <= size / CHUNK <= CHUNK_BAND.high
+        full_good = bad <= MAX_BAD_CHUNKS * chunks
+        if chunks and len(raw) % CHUNK:
+            chunks += 1
+            bad += bad_tail(raw, compressor)
     band = next(b for b in BANDS if b.below is None or len(raw) < b.below)
-    good = band.low <= ratio <= band.high and bad <= MAX_BAD_CHUNKS * chunks
+    good = band.low <= ratio <= band.high and full_good and bad <= MAX_BAD_CHUNKS * chunks
     return {
         "n_words": n,
         "word_chars": len(text or "") - (len(raw) - len(raw.translate(None, SPACES))),

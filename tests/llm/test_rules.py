@@ -6,6 +6,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+import zstandard
 
 from cascadia.llm import compression, secret_scan
 from tests.llm.conftest import prose
@@ -58,6 +59,22 @@ def test_bands(spark, make_docs):
     assert next(r for r in rows if r.doc_id == 5).n_bad_chunks > 0
 
 
+@pytest.mark.parametrize("n", [200, 400, 700, 1000, 1500, 2000])
+def test_bad_ends_are_found(spark, make_docs, n):
+    """Random words, or one word again and again, after a full chunk of prose."""
+    import random
+
+    rng = random.Random(n)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    heads = [prose(s, 600)[: compression.CHUNK] for s in range(5)]
+    ends = [prose(99, 600)[:n], " ".join("".join(rng.choices(signs, k=20)) for _ in range(100))[:n], ("again " * 400)[:n]]
+    rows = [(10 * i + k, head + end) for i, head in enumerate(heads) for k, end in enumerate(ends)]
+    good = {r.doc_id: compression.measure(r.text, zstandard.ZstdCompressor(level=compression.LEVEL)) for r in make_docs(*rows).collect()}
+    assert {k: m["n_bad_chunks"] == 0 for k, m in good.items()} == {k: k % 10 == 0 for k, _ in rows}
+    kept = {r.doc_id: r.kept for r in compression.quality_rules(make_docs(*rows)).collect()}
+    assert not any(kept[k] for k, _ in rows if k % 10) and all(kept[k] for k, _ in rows if k % 10 == 0)
+
+
 def test_good_documents_stay(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1")
