@@ -2,7 +2,9 @@
 
 A tokenizer trained on ordinary text needs few tokens for words and many for random strings.
 Strings of the alphabets of keys that get fewer than ``MAX_CHARS_PER_TOKEN`` characters from a
-token are taken for secrets, unless they are digests of a known length or identifiers.
+token are taken for secrets, unless they are digests of a known length or identifiers. Words
+joined to a secret by / - or _ would hide it in the average, so the parts between these signs
+are judged, too, and the stretch of them that the tokenizer covers worst.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 #: Strings that may be keys: letters, digits and the signs of Base64 and its URL form.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+MIN_CHARS = 20
+PARTS = re.compile(r"[^/_-]+")
 #: Characters a token covers: prose about 4, unknown words above 2, random strings about 1.5.
 MAX_CHARS_PER_TOKEN = 1.9
 #: Lengths of hexadecimal digests in common use (MD5 to SHA-512).
@@ -36,6 +40,10 @@ HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})")
 #: Identifiers: words and numbers joined by signs, each part letters and then digits or digits alone.
 IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]*|[A-Z]+|)[0-9]*(?:[-_/+](?:[A-Z]?[a-z]*|[A-Z]+)[0-9]*|(?<=[a-z])[A-Z][a-z]+[0-9]*)*=*")
+#: Letters of one case that are no word when the tokenizer covers them badly; repeats of few letters stay words.
+LETTERS = re.compile(rf"[a-z]{{{MIN_CHARS},}}|[A-Z]{{{MIN_CHARS},}}")
+MIN_LETTERS = 8
+UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 
 _HEX_RUN = re.compile(r"[0-9a-f]{32,}")
 
@@ -68,20 +76,73 @@ def is_random(value: str, encoder, limit: float = MAX_CHARS_PER_TOKEN) -> bool:
     """Whether the tokenizer covers ``value`` badly and it is no digest or identifier."""
     if HEX.fullmatch(value) and len(value) in DIGEST_LENGTHS:
         return False
-    if UUID.fullmatch(value) or IDENTIFIER.fullmatch(value):
+    if UUID.fullmatch(value):
         return False
-    if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+
+    def badly(part: str) -> bool:
+        return len(part) < limit * len(encoder.encode_ordinary(part))
+
+    if IDENTIFIER.fullmatch(value) and not any(len(set(w)) >= MIN_LETTERS and badly(w) for w in LETTERS.findall(value)):
         return False
-    return len(value) < limit * len(encoder.encode_ordinary(value))
+    return badly(value)
+
+
+def _outside(start: int, stop: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The pieces of a span that lie outside the sorted spans ``taken``."""
+    for a, b in taken:
+        if a < stop and start < b:
+            if start < a:
+                yield start, a
+            start = max(start, b)
+    if start < stop:
+        yield start, stop
+
+
+def _stretches(text: str, start: int, stop: int, encoder, limit: float) -> Iterator[tuple[int, int]]:
+    """The random stretches of whole parts in a run: the one covered worst, then those beside it."""
+    parts = []
+    for m in PARTS.finditer(text, start, stop):
+        digest = HEX.fullmatch(m.group()) and len(m.group()) in DIGEST_LENGTHS
+        tokens = 0 if digest else len(encoder.encode_ordinary(m.group()))
+        parts.append((m.start(), m.end(), float("-inf") if digest else limit * tokens - len(m.group())))
+    ranges = [(0, len(parts))]
+    while ranges:
+        lo, hi = ranges.pop()
+        best, first, total = (0.0, lo, lo), lo, 0.0
+        for i in range(lo, hi):
+            if total <= 0:
+                first, total = i, 0.0
+            total += parts[i][2]
+            if total > best[0]:
+                best = (total, first, i + 1)
+        _, i, j = best
+        if i == j:
+            continue
+        a, b = parts[i][0], parts[j - 1][1]
+        if b - a >= MIN_CHARS and is_random(text[a:b], encoder, limit):
+            yield a, b
+        ranges += [(lo, i), (j, hi)]
+
+
+def _random_spans(text: str, start: int, stop: int, encoder, limit: float) -> Iterator[tuple[int, int]]:
+    if stop - start < MIN_CHARS:
+        return
+    if is_random(text[start:stop], encoder, limit) and not UUID_INSIDE.search(text, start, stop):
+        yield start, stop
+        return
+    # An identifier of the UUID form is no part of a secret.
+    for a, b in _outside(start, stop, [m.span() for m in UUID_INSIDE.finditer(text, start, stop)]):
+        if b - a >= MIN_CHARS:
+            yield from _stretches(text, a, b, encoder, limit)
 
 
 def find_spans(text: str, encoder, limit: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, str]]:
-    """All spans of a text by start and kind; random strings that touch a base span are left to it."""
+    """All spans of a text by start and kind; random strings are looked for outside the base spans."""
     spans = base_spans(text)
     taken = sorted((a, b) for a, b, _ in spans)
     for m in CANDIDATE.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, b in taken) and is_random(m.group(), encoder, limit):
-            spans.append((m.start(), m.end(), "random"))
+        for start, stop in _outside(m.start(), m.end(), taken):
+            spans.extend((a, b, "random") for a, b in _random_spans(text, start, stop, encoder, limit))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

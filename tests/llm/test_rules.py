@@ -148,6 +148,36 @@ def test_ordinary_strings_are_not(value):
     assert secret_scan.find_spans(f"see {value} there", secret_scan.rank_encoder(RANKS)) == []
 
 
+def found(text):
+    return [text[a:b] for a, b, kind in secret_scan.find_spans(text, secret_scan.rank_encoder(RANKS)) if kind == "random"]
+
+
+@pytest.mark.parametrize("before", ["user-settings-production-backup-", "/services/production/", "some_long_identifier_name_"])
+@pytest.mark.parametrize("after", ["", "/backup/of/services", "-settings-of-users"])
+def test_joined_words_hide_no_secret(before, after):
+    for secret in ("Zx8kQ2vN7pLr4TwYb9Jd6H", "x7Kq9ZtR4vB2nM8pL3wY6cD1fJ5hS0aE"):
+        assert any(secret in f for f in found(f"see {before}{secret}{after} there"))
+    both = found(f"see {before}Zx8kQ2vN7pLr4TwYb9Jd6H/settings/of/services/x7Kq9ZtR4vB2nM8pL3wY6cD1{after}")
+    assert len(both) == 2 or len(both) == 1 and "Zx8k" in both[0] and "6cD1" in both[0]
+
+
+def test_letters_alone_are_found():
+    for secret in ("ZxkQvNpLrTwYbJdHsFgMcVqK", "zxkqvnplrtwybjdhsfgmcvqk", "ZXKQVNPLRTWYBJDHSFGMCVQK"):
+        assert found(f"see {secret} there") == [secret]
+
+
+def test_pieces_beside_a_base_span_are_judged():
+    digest, secret = "d41d8cd98f00b204e9800998ecf8427e", "Zx8kQ2vN7pLr4TwYb9Jd6H"
+    assert found(f"{secret}/{digest}")[0].startswith(secret)
+    assert found(f"settings/production/{digest}") == []
+
+
+def test_joined_words_are_no_secret():
+    for value in ORDINARY:
+        assert found(f"see /services/production/{value} and user-settings-{value}-backup") == []
+    assert found("-" * 40 + " " + "_" * 30 + " " + "/" * 25 + " " + "x" * 300) == []
+
+
 def test_redaction(spark, make_docs, odd_rows):
     docs = make_docs(*odd_rows, (30, f"a token={RANDOM[0]} b {RANDOM[1]} c"))
     out = secret_scan.redact_secrets(docs, RANKS)
