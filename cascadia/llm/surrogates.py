@@ -38,6 +38,15 @@ FIRST_NAMES = {
     ("greek", "f"): ("Μαρία", "Ελένη", "Άννα", "Σοφία"),
     ("greek", "m"): ("Γιώργος", "Νίκος", "Πέτρος", "Παύλος"),
 }
+# First names that no text is searched for, for draws after the names above turned out to be met.
+SPARE_NAMES = {
+    ("latin", "f"): ("Beatrix", "Cecilia", "Dorothy", "Edith", "Flora", "Greta", "Ingrid", "Judith", "Olivia", "Phoebe", "Rebecca", "Stella", "Teresa", "Ursula", "Violet", "Wilma", "Yvonne", "Zoe", "Margot", "Bridget"),
+    ("latin", "m"): ("Albert", "Bernard", "Conrad", "Edgar", "Felix", "Gustav", "Henry", "Jasper", "Leon", "Oscar", "Philip", "Ralph", "Stefan", "Theo", "Ulrich", "Victor", "Walter", "Arthur", "Benedict", "Vincent"),
+    ("cyrillic", "f"): ("Галина", "Людмила", "Светлана", "Надежда", "Юлия", "Зинаида", "Лариса", "Раиса"),
+    ("cyrillic", "m"): ("Борис", "Виктор", "Григорий", "Евгений", "Кирилл", "Михаил", "Олег", "Фёдор"),
+    ("greek", "f"): ("Δήμητρα", "Ευγενία", "Κατερίνα", "Χριστίνα"),
+    ("greek", "m"): ("Ανδρέας", "Δημήτρης", "Κώστας", "Στέφανος"),
+}
 ALPHABETS = {
     "latin": ("bcdfghklmnprstvz", "aeiou"),
     "cyrillic": ("бвгдзклмнпрст", "аеиоу"),
@@ -50,16 +59,17 @@ _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω](?:[^\W\d_]+|(?=[-'’]))(?:[-'’][^\W
 
 PATTERNS = {
     "email": re.compile(r"[\w.+%-]*\w@\w[\w-]*(?:\.[\w-]*\w)+"),
-    "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)"),
+    "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?!\w)"),
     "ip": re.compile(r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d)"),
     "phone": re.compile(r"(?<![\w.])(?:(?P<country>\+\d{1,3})[ .-]?)?(?P<national>\(\d{2,5}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,2}|\d{2,4}[ .-]\d{3,4}[ .-]\d{3,4})(?!\w)"),
     "phone_plus": re.compile(r"(?<![\w.])(?P<country>\+\d{1,3})[ .-]?(?P<national>\d(?:[ .-]?\d){6,11})(?!\w)"),
+    "phone_plain": re.compile(r"(?<![\w.-])(?P<national>\d{3}-\d{4}|\d{10})(?![\w-]|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    "number": re.compile(r"(?<![\w.])\d(?:\d{11,18}|\d{3}(?:[ -]\d{4}){2}[ -]\d{1,7})(?!\w)"),
+    "number": re.compile(r"(?<![\w.])\d(?:\d{11,18}|\d{3}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{3}[ -]\d{6}[ -]\d{5})(?!\w)"),
     "name": re.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(sorted(_TITLE, key=len, reverse=True))})\b\.?[ ]+)?(?P<name>{_NAME}(?:[ ]{_NAME}){{0,2}})"),
 }
 #: Tried in this order; a span belongs to the first kind that claims it.
-ORDER = ("email", "iban", "ip", "ssn", "number", "phone", "phone_plus", "name")
+ORDER = ("email", "iban", "ip", "ssn", "number", "phone", "phone_plus", "phone_plain", "name")
 # A name can only be where one of these words is.
 _KNOWN = "|".join(sorted({*_TITLE, *(n for names in FIRST_NAMES.values() for n in names)}, key=len, reverse=True))
 _NAME_HINT = re.compile(rf"(?<!\w)(?:{_KNOWN})(?!\w)")
@@ -137,8 +147,13 @@ def find_entities(text: str) -> list[Entity]:
             elif kind == "number":
                 claim(Entity(m.start(), m.end(), kind, _digits(m.group())))
             elif kind == "iban":
-                if iban_valid(m.group()):
-                    claim(Entity(m.start(), m.end(), kind, m.group()))
+                # Printed in groups of four, it may be followed by what looks like one more.
+                value = m.group()
+                while " " in value and not iban_valid(value.replace(" ", "")):
+                    value = value.rpartition(" ")[0]
+                norm = value.replace(" ", "")
+                if len(norm) >= 15 and iban_valid(norm):
+                    claim(Entity(m.start(), m.start() + len(value), kind, norm))
             else:
                 claim(Entity(m.start(), m.end(), kind, m.group().lower()))
     names = {e.norm: e.kind for e in found if e.kind == "surname" or e.kind.startswith("first")}
@@ -219,10 +234,14 @@ def draw(secret: bytes, kind: str, norm: str, attempt: int) -> str:
         return next(x for x in (out[:-1] + str(d) for d in range(10)) if luhn(x)) if luhn(norm) else out
     if kind.startswith("first_"):
         s, gender = script(norm), kind[-1]
-        names = FIRST_NAMES[s, gender] if gender in "fm" else FIRST_NAMES[s, "f"] + FIRST_NAMES[s, "m"]
-        name = names[stream.below(len(names))].casefold()
-        # The list is short: later attempts add a second name.
-        return name if attempt < 3 else name + "-" + names[stream.below(len(names))].casefold() + ("" if attempt < 6 else _like("na" * (attempt - 5), stream))
+        pool = FIRST_NAMES if attempt == 0 else SPARE_NAMES
+        names = pool[s, gender] if gender in "fm" else pool[s, "f"] + pool[s, "m"]
+        if attempt < 4:
+            return names[stream.below(len(names))].casefold()
+        # The lists are short: later attempts make up a name.
+        c, v = ALPHABETS[s]
+        out = "".join(c[stream.below(len(c))] + v[stream.below(len(v))] for _ in range(2 + (attempt - 4) // 2))
+        return out if gender == "f" else out + c[stream.below(len(c))]
     if kind == "surname":
         s = script(norm)
         c, v = ALPHABETS[s]
@@ -239,6 +258,9 @@ def dressed(kind: str, replacement: str, original: str) -> str:
     """``replacement`` in the writing of one occurrence: its separators, brackets and case."""
     if replacement.startswith("["):
         return replacement
+    if kind == "iban":
+        signs = iter(replacement)
+        return "".join(c if c == " " else next(signs) for c in original)
     if kind in ("phone", "number"):
         digits = iter(replacement)
         return "".join(next(digits) if c.isdecimal() else c for c in original)
@@ -274,10 +296,11 @@ def assign_surrogates(entities: DataFrame, secret: bytes) -> DataFrame:
         new = stored(_drawn(spark, open_, secret, attempt), "surrogates-drawn")
         pool = new if done is None else done.unionByName(new)
         first = pool.groupBy(group.alias("g"), F.col("surrogate").alias("s")).agg(F.min(F.struct("attempt", "kind", "norm")).alias("w"))
-        real = entities.select(group.alias("rg"), F.col("norm").alias("rs")).distinct()
-        # First names are few and drawn from the list that is also met in texts.
+        # A name of either kind may not be a name of the corpus.
+        family = F.regexp_replace("kind", "^(first_.|surname)$", "name")
+        real = entities.select(family.alias("rg"), F.col("norm").alias("rs")).distinct()
         clash = new.join(first, (group == F.col("g")) & (F.col("surrogate") == F.col("s"))).join(
-            real, (group == F.col("rg")) & (F.col("surrogate") == F.col("rs")) & ~F.col("kind").startswith("first"), "left"
+            real, (family == F.col("rg")) & (F.col("surrogate") == F.col("rs")), "left"
         )
         good = (F.col("w.norm") == F.col("norm")) & (F.col("w.kind") == F.col("kind")) & F.col("rs").isNull()
         judged = stored(clash.select("kind", "norm", "surrogate", "attempt", good.alias("good")), "surrogates-judged")

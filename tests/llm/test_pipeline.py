@@ -115,6 +115,36 @@ def test_many_first_names_stay_apart(spark):
     assert len(rows) == len(entities) == len({r.surrogate for r in rows})
 
 
+def test_no_name_stays_a_name(spark):
+    """With all listed names met, also by the registered key, none is drawn."""
+    from cascadia.llm.queries import SURROGATE_KEY
+
+    names = {n.casefold(): g for (_, g), listed in surrogates.FIRST_NAMES.items() for n in listed}
+    entities = spark.createDataFrame([*((f"first_{g}", n) for n, g in names.items()), ("surname", "beatrix")], surrogates.ENTITY)
+    for secret in (SECRET, SURROGATE_KEY):
+        drawn = {r.norm: r.surrogate for r in surrogates.assign_surrogates(entities, secret).collect()}
+        assert set(drawn) == {*names, "beatrix"} and len(set(drawn.values())) == len(drawn)
+        assert not set(drawn.values()) & set(drawn)
+
+
+def test_printed_formats(spark, make_docs):
+    text = "IBAN DE89 3704 0044 0532 0130 00, AT61 1904 3002 3457 3201 NEXT, card 3782 822463 10005, call 555-3138 or 7065553138. DE89370400440532013000"
+    found = [(e.kind, text[e.start : e.stop]) for e in surrogates.find_entities(text)]
+    assert found == [
+        ("iban", "DE89 3704 0044 0532 0130 00"),
+        ("iban", "AT61 1904 3002 3457 3201"),
+        ("number", "3782 822463 10005"),
+        ("phone", "555-3138"),
+        ("phone", "7065553138"),
+        ("iban", "DE89370400440532013000"),
+    ]
+    out = replaced(spark, make_docs, (1, text))[1].text
+    m = re.fullmatch(r"IBAN (DE\d\d(?: \d{4}){4} \d\d), (AT\d\d(?: \d{4}){4}) NEXT, card (\d{4} \d{6} \d{5}), call \d{3}-\d{4} or \d{10}\. (DE\d{20})", out)
+    one, two, card, again = (x.replace(" ", "") for x in m.groups())
+    assert one == again and surrogates.iban_valid(one) and surrogates.iban_valid(two) and surrogates.luhn(card)
+    assert not any(text[e.start : e.stop] in out for e in surrogates.find_entities(text))
+
+
 def test_nothing_of_the_table_is_left(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     before = {r.doc_id: r.text for r in docs.collect()}
