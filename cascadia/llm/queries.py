@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascadia.llm import bpe, compression, hnsw, importance, near_documents, near_lines, packing, secret_scan, surrogates, token_files
+from cascadia.llm import (
+    bpe,
+    compression,
+    hnsw,
+    importance,
+    merkle,
+    near_documents,
+    near_lines,
+    packing,
+    secret_scan,
+    surrogates,
+    token_files,
+)
 from cascadia.llm.common import documents, shared_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,6 +96,13 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.gumbel_top_k(scores).select(F.col("key").alias("doc_id"), "log_odds", "gumbel", "kept")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its possibly altered row folds to the root."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    altered = F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.audit(documents(spark, sf_dir), {"n_chars": altered})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hnsw": op1_hnsw,
     "op2_token_files": op2_token_files,
@@ -95,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_speculative_bpe": op8_speculative_bpe,
     "op9_surrogates": op9_surrogates,
     "op10_importance": op10_importance,
+    "op12_merkle": op12_merkle,
 }
 
 # SQL for the operators that it can express on the given tables. Words are split and lower-cased
@@ -107,6 +127,24 @@ def _words(text: str) -> str:
     return _WORDS.format(_LOWER.format(text))
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(h, b)] || range(8)::ubigint[], lambda v, k: xor(v >> 1, (v & 1) * 3988292384))"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::ubigint)"
+    return f"xor(list_reduce([4294967295::ubigint] || {codes}, lambda h, b: {bits}), 4294967295::ubigint)"
+
+
+def _leaf(n_chars: str) -> str:
+    columns = ("doc_id", "source", "lang", n_chars, "text")
+    parts = (f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')" for c in columns)
+    return f"sha256({' || '.join(parts)})"
+
+
+#: One level up from a list of digests, and from a digest beside its sibling.
+_RISE = "[sha256(a[2 * i + 1] || coalesce(a[2 * i + 2], '')) for i in range((len(a) + 1) // 2)]"
+_BESIDE = "sha256(case when p % 2 = 1 then coalesce(a[p], '') || h else h || coalesce(a[p + 2], '') end)"
+_SIBLING = "coalesce(case when p % 2 = 1 then a[p] else a[p + 2] end, '')"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_hnsw": """
       with recursive v as (
@@ -156,4 +194,32 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, coalesce((select n from n where n.doc_id = documents.doc_id), 0) as n_shingles,
                (select min(c) from r where r.doc_id = documents.doc_id) as component_id
         from documents)""",
+    "op12_merkle": f"""
+      with recursive l as (
+        select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as p from (
+          select doc_id, lang, {_leaf("n_chars")} as leaf,
+                 {_leaf(f"(n_chars + case when {_crc32('doc_id::varchar')} % 7 = 0 then 1 else 0 end)")} as altered
+          from documents)),
+      t as (
+        select lang, 0 as level, list(leaf order by p) as a from l group by lang
+        union all select lang, level + 1, {_RISE} from t where len(a) > 1),
+      s as (
+        select lang, a[1] as subroot, row_number() over (order by lang nulls first) - 1 as rank from t where len(a) = 1),
+      u as (
+        select 0 as level, list(subroot order by rank) as a from s
+        union all select level + 1, {_RISE} from u where len(a) > 1),
+      c as (
+        select doc_id, lang, leaf, 0 as level, p, altered as h, '' as proof from l
+        union all
+        select c.doc_id, c.lang, c.leaf, c.level + 1, p // 2, {_BESIDE}, proof || {_SIBLING}
+        from c join t on c.lang is not distinct from t.lang and c.level = t.level and len(a) > 1),
+      e as (
+        select doc_id, leaf, subroot, 0 as level, rank as p, h, proof from c
+        join s on c.lang is not distinct from s.lang
+        where c.level = (select max(level) from t where t.lang is not distinct from c.lang)
+        union all
+        select e.doc_id, e.leaf, e.subroot, e.level + 1, p // 2, {_BESIDE}, proof || {_SIBLING}
+        from e join u on e.level = u.level and len(a) > 1)
+      select doc_id, leaf, subroot, a[1] as root, sha256(proof) as proof_sha256, h as folded_root, h = a[1] as verified
+      from e, u where len(a) = 1 and e.level = u.level""",
 }
