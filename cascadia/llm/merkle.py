@@ -106,8 +106,12 @@ def _levels(rows: DataFrame, span: int, label: str) -> tuple[DataFrame, list[Dat
     stored level to those ``span`` levels above; a tree that has one node left is done.
     """
     extra = [c for c in rows.columns if c not in ("tree", "idx", "hash")]
+    # The size of a tree goes to each of its blocks, so that no tree is one key of the join.
+    block = f"idx div {1 << span}"
     sizes = rows.groupBy("tree").agg((F.max("idx") + 1).alias("size"))
-    level, out, done, stage = rows.join(sizes, "tree"), [], [], 0
+    sizes = sizes.withColumn("block", F.explode(F.expr(f"sequence(0L, (size - 1) div {1 << span})")))
+    level = rows.withColumn("block", F.expr(block)).join(sizes, ["tree", "block"])
+    out, done, stage = [], [], 0
     largest = None
     while largest is None or largest > 1:
         keep = extra if stage == 0 else []
@@ -118,7 +122,7 @@ def _levels(rows: DataFrame, span: int, label: str) -> tuple[DataFrame, list[Dat
         out.append(nodes.drop("tree"))
         above = linked.select("tree", F.col("block").alias("idx"), F.col("top").alias("hash"), "size")
         done.append(above.where("size = 1").select("tree", "hash"))
-        level, stage = above.where("size > 1"), stage + 1
+        level, stage = above.where("size > 1").withColumn("block", F.expr(block)), stage + 1
         largest = level.agg(F.max("size")).first()[0] or 0
     tops = done[0]
     for more in done[1:]:
@@ -129,7 +133,7 @@ def _levels(rows: DataFrame, span: int, label: str) -> tuple[DataFrame, list[Dat
 def _link(level: DataFrame, span: int, stage: int, keep: Sequence[str]) -> DataFrame:
     """One row a block of 2**span nodes: its entries with their steps, and the digest above them."""
     width = 1 << span
-    blocks = level.groupBy("tree", "size", F.expr(f"idx div {width}").alias("block")).agg(
+    blocks = level.groupBy("tree", "block", "size").agg(
         F.array_sort(F.collect_list(F.struct("idx", "hash", *keep))).alias("rows")
     )
     # A tree that fits in one block ends in its one node, others rise by the full span.

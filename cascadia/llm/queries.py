@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from cascadia.llm import (
     bpe,
     compression,
+    context_trees,
     hnsw,
     importance,
     merkle,
     near_documents,
     near_lines,
     packing,
+    prefix_trie,
     secret_scan,
     surrogates,
     token_files,
@@ -96,6 +98,11 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.gumbel_top_k(scores).select(F.col("key").alias("doc_id"), "log_odds", "gumbel", "kept")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether its possibly altered row folds to the root."""
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -103,6 +110,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(documents(spark, sf_dir), {"n_chars": altered})
 
 
+def op13_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and context-tree scores of every document; those of one remainder are held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return context_trees.score_documents(documents(spark, sf_dir), held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hnsw": op1_hnsw,
     "op2_token_files": op2_token_files,
@@ -114,7 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_speculative_bpe": op8_speculative_bpe,
     "op9_surrogates": op9_surrogates,
     "op10_importance": op10_importance,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle": op12_merkle,
+    "op13_context_trees": op13_context_trees,
 }
 
 # SQL for the operators that it can express on the given tables. Words are split and lower-cased
@@ -194,6 +209,33 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, coalesce((select n from n where n.doc_id = documents.doc_id), 0) as n_shingles,
                (select min(c) from r where r.doc_id = documents.doc_id) as component_id
         from documents)""",
+    "op11_prefix_trie": f"""
+      with t as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first,
+                 md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+        from conversations where conv_id is not null),
+      c as (select conv_id, conv_id - conv_id % 20 as base, {_crc32("conv_id::varchar")} % 4 as heads from t group by conv_id),
+      r as (
+        select c.conv_id, 0 as part, t.pos, {{'role': role, 'text': text}} as turn from c join t on t.conv_id = c.base and t.pos <= heads
+        union all
+        select c.conv_id, 1, t.pos, {{'role': role, 'text': text}} from c join t using (conv_id) where t.pos > heads),
+      l as (select conv_id, list(turn order by part, pos) as path from r group by conv_id),
+      p as (select conv_id, coalesce(path, []) as path from c left join l using (conv_id)),
+      m as (select conv_id, path[:d] as node, d as depth, d = len(path) as is_end from p, unnest(range(len(path) + 1)) u(d)),
+      n as (
+        select node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+               sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (is_end), '')) as ends_sha256,
+               (count(*) - 1) * case when depth = 0 then 0
+                 else len(regexp_extract_all(node[depth].text, '[^\\x20\\x09-\\x0D]+')) end as saved
+        from m group by node, depth),
+      k as (select node[:depth - 1] as parent, count(*) as n_children from n where depth > 0 group by 1),
+      w as (select n.*, coalesce(n_children, 0) as n_children from n left join k on n.node = k.parent),
+      s as (
+        select above, sum(saved)::bigint as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+        from (select node[:d] as above, saved, n_children from w, unnest(range(depth + 1)) u(d)) group by above)
+      select w.conv_id, w.depth, v.conv_id as parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+      from w join s on s.above = w.node left join n v on w.depth > 0 and v.node = w.node[:w.depth - 1]""",
     "op12_merkle": f"""
       with recursive l as (
         select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as p from (

@@ -14,11 +14,12 @@ COLUMNS = {
     "op8_speculative_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op9_surrogates": ["doc_id", "text", "n_replaced"],
     "op10_importance": ["doc_id", "log_odds", "gumbel", "kept"],
+    "op13_context_trees": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
 }
 
 
-def test_ten_queries():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(COLUMNS) == set(QUERIES) - set(ORACLE_SQL)
 
 
