@@ -253,14 +253,13 @@ def vector_rows():
     return rows
 
 
-@pytest.mark.parametrize("shard_rows", [100, hnsw.SHARD_ROWS])
-def test_near_vectors(spark, monkeypatch, shard_rows):
-    monkeypatch.setattr(hnsw.vector_links, "__defaults__", (shard_rows, 150))
+@pytest.mark.parametrize("limits", [(100 * 16 * 4, 150), (hnsw.SHARD_BYTES, 150), (hnsw.SHARD_BYTES, hnsw.LEAST_ROWS)])
+def test_near_vectors(spark, limits):
     rows = vector_rows()
     degree, part = brute_vectors(rows)
     # A repeated row and rows without a key change nothing.
     df = spark.createDataFrame([(i, v, "r", "i") for i, v in [*rows, rows[0], (None, rows[0][1])]], VECTORS)
-    got = hnsw.near_vectors(df).collect()
+    got = hnsw.near_vectors(df, shard_bytes=limits[0], least_rows=limits[1]).collect()
     assert len(got) == len(rows) + 2
     for r in got:
         if r.vec_id is None:
@@ -270,11 +269,50 @@ def test_near_vectors(spark, monkeypatch, shard_rows):
     assert hnsw.near_vectors(df.limit(0)).count() == 0
 
 
+def recall(vectors, threshold=0.9):
+    """Share of the links between different vectors that a graph over all of them finds."""
+    exact = vectors @ vectors.T >= threshold
+    np.fill_diagonal(exact, False)
+    graph = hnsw.Graph.unpacked(hnsw.Graph.build(vectors).packed(), vectors)
+    row, node, near = graph.neighbours(vectors, np.arange(len(vectors)), threshold)
+    assert exact[row, node].all() and len(np.unique(row * len(vectors) + node)) == len(row)
+    return len(row) / exact.sum()
+
+
 def test_recall_on_a_large_group_of_near_copies():
     rng = np.random.default_rng(9)
     centre = rng.normal(size=64)
     vectors = hnsw.unit(np.vstack([centre + 0.1 * rng.normal(size=(800, 64)), rng.normal(size=(3000, 64))])).astype(np.float32)
+    assert recall(vectors) >= 0.99
+
+
+def test_recall_with_few_links():
+    rng = np.random.default_rng(10)
+    vectors = rng.normal(size=(6000, 64))
+    vectors[:60] = vectors[60:120] + 0.25 * rng.normal(size=(60, 64))
+    assert recall(hnsw.unit(vectors).astype(np.float32)) >= 0.99
+
+
+def test_beams_widen_until_the_audit_passes(monkeypatch):
+    """A graph cut into pieces hides links from narrow beams, not from the audit."""
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(900, 32))
+    vectors[450:] = vectors[:450] + 0.1 * rng.normal(size=(450, 32))
+    vectors = hnsw.unit(vectors).astype(np.float32)
+    graph = hnsw.Graph.build(vectors)
+    links = graph.layers[0]
+    links[np.abs(links - np.arange(900)[:, None]) == 450] = -1
+    monkeypatch.setattr(hnsw, "FIRST_BEAM", 2)
+    row, node, _ = graph.neighbours(vectors, np.arange(900), 0.9)
     exact = vectors @ vectors.T >= 0.9
-    graph = hnsw.Graph.unpacked(hnsw.Graph.build(vectors).packed(), vectors)
-    found = graph.neighbours(vectors, 0.9)
-    assert sum(exact[i][x].sum() for i, x in enumerate(found)) >= 0.98 * exact.sum()
+    assert len(row) >= 0.95 * (exact.sum() - 900)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=60))
+def test_spanning_forest(links):
+    a, b = np.array(links, dtype=np.int64).T
+    x, y = hnsw.spanning_forest(a, b)
+    nodes = {n for link in links for n in link}
+    assert grouped(nodes, zip(a.tolist(), b.tolist())) == grouped(nodes, zip(x.tolist(), y.tolist()))
+    assert len(x) == len(nodes) - len(set(grouped(nodes, links).values()))
