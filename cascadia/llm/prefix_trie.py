@@ -70,7 +70,8 @@ def rebuilt_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         # Equal rows are interchangeable; this only spreads them over range slices.
         F.monotonically_increasing_id().alias("tie"),
     )
-    own = running_sums(turns, ["conv_id"], ["turn", "digest", "tie"], {"one": "pos"}, sliced=True)
+    # Cut, as the range sampling would read all texts twice.
+    own = running_sums(cut(turns), ["conv_id"], ["turn", "digest", "tie"], {"one": "pos"}, sliced=True)
     own = cut(own.select("conv_id", "pos", "digest", "words"))
     first = lambda c: c - c % GROUP
     heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEADS
