@@ -180,7 +180,7 @@ def _encoded(path: str, keep: list[str], text: str, finish) -> callable:
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         bpe, encoder = codec(path)
         for batch in batches:
-            ids = list(encoder.encode(t or "" for t in batch[text]))
+            ids = list(encoder.encode(batch[text]))
             yield {k: batch[k] for k in keep} | finish(bpe, ids)
 
     return rows
@@ -193,7 +193,7 @@ def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     other columns are left out.
     """
     schema = T.StructType([docs.schema[key], T.StructField("ids", T.BinaryType())])
-    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, lambda bpe, ids: {"ids": ids}))
+    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, lambda bpe, ids: {"ids": ids}), flat=[text])
 
 
 def bpe_decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -226,4 +226,4 @@ def bpe_round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str =
             "decoded_sha256": [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids],
         }
 
-    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, finish))
+    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, finish), flat=[text])

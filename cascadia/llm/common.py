@@ -54,10 +54,14 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def arrow_rows(
-    df: DataFrame, schema: T.StructType, rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]]
+    df: DataFrame,
+    schema: T.StructType,
+    rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
+    flat: Sequence[str] = (),
 ) -> DataFrame:
     """``mapInArrow`` over plain columns: ``rows`` turns dicts of lists into dicts of lists.
 
+    Columns named in ``flat`` stay Arrow arrays, which saves their values as Python objects.
     Sets the session's Arrow batches to ``BATCH_ROWS`` rows where they are larger: rows here
     hold whole texts, and a batch exists several times over in the executor and its worker.
     """
@@ -68,7 +72,9 @@ def arrow_rows(
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inputs = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns))) for b in batches)
+        inputs = (
+            {n: c if n in flat else c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches
+        )
         for out in rows(inputs):
             yield pa.RecordBatch.from_arrays(
                 [out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow],
@@ -100,11 +106,6 @@ def pa_schema(schema: T.StructType) -> pa.Schema:
 # several operators would else hold the stores of all.
 _STORES: dict[str, Callable[[], None]] = {}
 
-#: Words whose hash a worker keeps (about 150 bytes each).
-CACHE_WORDS = 400_000
-_WORD_HASH: dict[bytes, int] = {}
-
-
 def only_store(name: str, clear: Callable[[], None]) -> None:
     """Announce the store in use; ``clear`` empties it when another one is announced."""
     for other in [n for n in _STORES if n != name]:
@@ -112,30 +113,19 @@ def only_store(name: str, clear: Callable[[], None]) -> None:
     _STORES[name] = clear
 
 
-def word_hashes(split: Sequence[list[bytes]]) -> np.ndarray:
-    """64-bit hashes of all words, one after another."""
-    import xxhash
-
-    only_store("words", _WORD_HASH.clear)
-    if len(_WORD_HASH) > CACHE_WORDS:
-        _WORD_HASH.clear()
-    for words in split:
-        for w in set(words).difference(_WORD_HASH):
-            _WORD_HASH[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter((_WORD_HASH[w] for words in split for w in words), dtype=np.uint64, count=sum(map(len, split)))
-
-
-#: Bits of a filter that picks rows at a scan (8 MB).
-FILTER_BITS = 1 << 26
+#: Bits of a filter that picks rows at a scan: so many for each key, as powers of two within bounds
+#: (8 KB and 32 MB).
+KEY_BITS, LEAST_BITS, MOST_BITS = 16, 16, 28
 
 
 def key_filter(keys: DataFrame, key: str) -> np.ndarray:
-    """A bitmap of the digests of a binary or text column, of one size whatever their number.
+    """A bitmap of the digests of a binary or text column, sized by their number up to 32 MB.
 
     It leaves out nearly all rows that a later exact join would, before they are shuffled; a
     full one lets all pass, which costs time but changes nothing.
     """
-    bit = F.crc32(F.col(key).cast("binary")) % FILTER_BITS
+    size = 1 << min(MOST_BITS, max(LEAST_BITS, (KEY_BITS * keys.count()).bit_length()))
+    bit = F.crc32(F.col(key).cast("binary")) % size
     mask = F.expr("shiftleft(1L, cast(bit % 64 AS int))")
     words = (
         keys.select(bit.alias("bit"))
@@ -144,14 +134,14 @@ def key_filter(keys: DataFrame, key: str) -> np.ndarray:
         .agg(F.bit_or("mask").alias("mask"))
         .toPandas()
     )
-    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    out = np.zeros(size // 64, dtype=np.int64)
     out[words["word"].to_numpy(dtype=np.int64)] = words["mask"].to_numpy(dtype=np.int64)
     return out.view(np.uint64)
 
 
 def in_filter(bits: np.ndarray, keys: Sequence[bytes]) -> np.ndarray:
     """Which keys a filter lets pass."""
-    crc = np.fromiter(map(zlib.crc32, keys), dtype=np.uint64, count=len(keys)) % np.uint64(FILTER_BITS)
+    crc = np.fromiter(map(zlib.crc32, keys), dtype=np.uint64, count=len(keys)) % np.uint64(64 * len(bits))
     return (bits[(crc >> np.uint64(6)).astype(np.int64)] >> (crc & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 

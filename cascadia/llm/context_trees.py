@@ -47,6 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cascadia.llm import flat
 from cascadia.llm.common import arrow_rows, stored
 
 DEPTH = 5
@@ -55,11 +56,12 @@ BLOCK_BYTES, LEAST_BYTES = 48 << 20, 4 << 20
 #: Entries that a bucket holds on average, and grams of a group of subtrees.
 BUCKET_ENTRIES = 2_000_000
 #: Bytes that a task works off at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
-SPACE, END = 0x20, 0x0A
+SPACE, END = flat.SPACE, 0x0A
 #: A-Z to lower case, white space to one kind.
-_FOLD = bytes(SPACE if b == SPACE or 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+_FOLD = flat.FOLD.tobytes()
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _LOG2 = float(np.log(2.0))
 
 
@@ -90,35 +92,14 @@ def grams_of(data: np.ndarray, sizes: np.ndarray, depth: int) -> np.ndarray:
     return grams[real]
 
 
-_rng = np.random.default_rng(20_011)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
 def words_of(data: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, and each text's number of words."""
     letter = (data != SPACE) & (data != END)
     # Words may hold no white space, so an end byte is always one of ours.
     edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    ends = np.cumsum(sizes + depth)
-    counts = np.diff(np.searchsorted(start, ends), prepend=0)
-    if not len(start):
-        return np.empty(0, dtype=np.uint64), counts
-    # A sum over the word's bytes of a random number times a mixed power of the place in the word.
-    place = np.arange(len(data), dtype=np.uint64) - np.repeat(
-        np.concatenate([[0], start]).astype(np.uint64), np.diff(np.concatenate([[0], start, [len(data)]]))
-    )
-    value = _mix(_BYTE[data] + place * _STEP)
-    value[~letter] = 0
-    total = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
-    return _mix(total[stop] - total[start] + (stop - start).astype(np.uint64)), counts
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    counts = np.diff(np.searchsorted(start, np.cumsum(sizes + depth)), prepend=0)
+    return flat.span_hashes(np.append(data, np.zeros(flat.SPARE, dtype=np.uint8)), start, stop - start), counts
 
 
 def in_order(keys: np.ndarray, used: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -261,14 +242,14 @@ class _Counts:
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size, self.limit = 0, 1 << 21
+        self.size, self.limit = 0, 1 << 20
 
     def add(self, keys: np.ndarray, training: np.ndarray, used: int) -> None:
         self.parts.append(counted_once(keys, training, used))
         self.size += len(self.parts[-1][0])
         if self.size > self.limit:
             self.merge()
-            self.limit = max(1 << 21, 2 * self.size)
+            self.limit = self.size + (1 << 19)
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         if len(self.parts) != 1:
@@ -280,11 +261,12 @@ class _Counts:
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     if not parts:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    counts = np.concatenate([c for _, c in parts])
-    total = np.zeros(len(keys), dtype=np.int64)
-    np.add.at(total, place, counts)
-    return keys, total
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys)
+    keys, counts = keys[order], np.concatenate([c for _, c in parts])[order]
+    del order
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def _slices(batch: dict[str, list]) -> Iterator[slice]:
@@ -329,7 +311,7 @@ def _block_entries(depth: int):
 
 
 def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mix(keys + _STEP) % np.uint64(buckets)).astype(np.int64)
+    return (flat.mixed(keys + _STEP) % np.uint64(buckets)).astype(np.int64)
 
 
 def _dealt(buckets: int, *columns: str):

@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, stored, word_hashes
+from cascadia.llm import flat
+from cascadia.llm.common import arrow_rows, stored
 
 #: Buckets of single words and of word pairs, as powers of two.
 BITS = (20, 18)
@@ -48,7 +49,7 @@ TOXIC = 1.0
 LOST_WEIGHT = 4.0
 #: Scale of the Gumbel noise in log-odds.
 TEMPERATURE = 0.05
-GROUP_CHARS = 1_000_000
+GROUP_BYTES = 1_000_000
 
 FEATURES = ("weak_mean", "weak_log", "strong_log", "word_mean", "pair_mean", "pair_weak", "n_log")
 TOXIC_FEATURES = ("toxic_top", "toxic_log", "toxic_mean", "toxic_weak")
@@ -61,37 +62,26 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def ngrams(texts: flat.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of the words and of the pairs of neighbours of all texts, and whose they are.
 
     Words are split at ASCII white space, A-Z lower-cased; a null text has none.
     """
-    split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
-    count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    h = word_hashes(split)
-    owner = np.repeat(np.arange(len(split)), count)
+    h, count = flat.text_words(texts)
+    owner = np.repeat(np.arange(len(texts)), count)
     words = (_mixed(h) >> np.uint64(64 - BITS[0])).astype(np.int64)
     inner = np.flatnonzero(owner[1:] == owner[:-1])
     pairs = (_mixed(_mixed(h[inner]) + h[inner + 1]) >> np.uint64(64 - BITS[1])).astype(np.int64) + (1 << BITS[0])
     return words, owner, pairs, owner[inner]
 
 
-def starts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def starts(texts: flat.Texts) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the beginnings of all words, and whose they are; words as in ``ngrams``."""
-    split = [[w[:START_BYTES] for w in t.encode("utf-8", "surrogatepass").lower().split()] if t else [] for t in texts]
-    owner = np.repeat(np.arange(len(split)), np.fromiter(map(len, split), dtype=np.int64, count=len(split)))
-    return (_mixed(word_hashes(split)) >> np.uint64(64 - START_BITS)).astype(np.int64), owner
-
-
-def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= GROUP_CHARS:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    raw, offsets = flat.text_bytes(texts)
+    data = flat.folded(raw)
+    start, size, count = flat.words(data, offsets)
+    h = flat.span_hashes(data, start, np.minimum(size, START_BYTES))
+    return (_mixed(h) >> np.uint64(64 - START_BITS)).astype(np.int64), np.repeat(np.arange(len(texts)), count)
 
 
 def _counts(docs: DataFrame, target_keys: np.ndarray, toxic_keys: np.ndarray | None = None) -> np.ndarray:
@@ -115,15 +105,15 @@ def _counts(docs: DataFrame, target_keys: np.ndarray, toxic_keys: np.ndarray | N
             keys = np.array([-1 if k is None else k for k in batch["key"]], dtype=np.int64)
             keyed = np.array([k is not None for k in batch["key"]], dtype=bool)
             known = np.isin(keys, target_keys) & keyed
-            for a, b in _groups(batch["text"]):
-                words, w_owner, pairs, p_owner = ngrams(batch["text"][a:b])
-                good = known[a:b]
+            for part in flat.groups(batch["text"], GROUP_BYTES):
+                words, w_owner, pairs, p_owner = ngrams(batch["text"][part])
+                good = known[part]
                 for bucket, owner in ((words, w_owner), (pairs, p_owner)):
                     raw += np.bincount(bucket, minlength=len(raw))
                     target += np.bincount(bucket[good[owner]], minlength=len(raw))
                 if toxic_keys is not None:
-                    toxic = (np.isin(keys, toxic_keys) & keyed)[a:b]
-                    start, owner = starts(batch["text"][a:b])
+                    toxic = (np.isin(keys, toxic_keys) & keyed)[part]
+                    start, owner = starts(batch["text"][part])
                     raw[SIZE:size] += np.bincount(start, minlength=STARTS)
                     target[SIZE:size] += np.bincount(start[toxic[owner]], minlength=STARTS)
         if seen:
@@ -137,7 +127,7 @@ def _counts(docs: DataFrame, target_keys: np.ndarray, toxic_keys: np.ndarray | N
                 total[i] = total[i] + c if i in total else c
         yield parts(total)
 
-    summed = arrow_rows(arrow_rows(docs, schema, count).repartition(SLICES // 4, "slice"), schema, add)
+    summed = arrow_rows(arrow_rows(docs, schema, count, flat=["text"]).repartition(SLICES // 4, "slice"), schema, add)
     out = np.zeros((2, width * SLICES))
     for row in summed.toLocalIterator():
         out[:, row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.int64).reshape(2, width)
@@ -160,7 +150,7 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(texts: list[str | None], ratios: np.ndarray) -> np.ndarray:
+def features(texts: flat.Texts, ratios: np.ndarray) -> np.ndarray:
     """One row of ``FEATURES`` per text; a text without words gets zeros."""
     words, w_owner, pairs, p_owner = ngrams(texts)
     x, y = ratios[words].astype(np.float64), ratios[pairs].astype(np.float64)
@@ -185,7 +175,7 @@ def features(texts: list[str | None], ratios: np.ndarray) -> np.ndarray:
     )
 
 
-def toxic_features(texts: list[str | None], ratios: np.ndarray) -> np.ndarray:
+def toxic_features(texts: flat.Texts, ratios: np.ndarray) -> np.ndarray:
     """One row of ``TOXIC_FEATURES`` per text; a text without words gets zeros."""
     start, owner = starts(texts)
     x = ratios[start].astype(np.float64)
@@ -198,19 +188,21 @@ def toxic_features(texts: list[str | None], ratios: np.ndarray) -> np.ndarray:
 
 
 def _scored(docs: DataFrame, ratios: np.ndarray, toxic: np.ndarray, columns: list[str]) -> DataFrame:
-    """``columns`` of every row, with its features as doubles."""
+    """``columns`` of every row, with its features as doubles, stored."""
     names = [*FEATURES, *TOXIC_FEATURES]
     schema = T.StructType([*(docs.schema[c] for c in columns), *(T.StructField(f, T.DoubleType()) for f in names)])
     model = docs.sparkSession.sparkContext.broadcast((ratios, toxic))
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            texts = [batch["text"][a:b] for a, b in _groups(batch["text"])]
+            texts = [batch["text"][part] for part in flat.groups(batch["text"], GROUP_BYTES)]
             blocks = [np.hstack([features(t, model.value[0]), toxic_features(t, model.value[1])]) for t in texts]
             values = np.concatenate(blocks) if blocks else np.zeros((0, len(names)))
             yield {c: batch[c] for c in columns} | {f: values[:, i].tolist() for i, f in enumerate(names)}
 
-    return arrow_rows(docs, schema, rows)
+    out = stored(arrow_rows(docs, schema, rows, flat=["text"]), "quality-scores")
+    model.destroy()
+    return out
 
 
 def _design(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -320,7 +312,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     targets, toxics = (np.sort(train[train[n] == 1]["key"].to_numpy(dtype=np.int64)) for n in ("good", "toxic"))
     raw, target = _counts(source.select("key", "text"), targets, toxics)
     ratios = log_ratios(raw[:SIZE], target[:SIZE]), _log_ratio(raw[SIZE:], target[SIZE:]).astype(np.float32)
-    scored = stored(_scored(source, *ratios, ["key", "text_key"]), "quality-scores")
+    scored = _scored(source, *ratios, ["key", "text_key"])
 
     rest = sample[sample["side"] % 2 != 0]
     # A label of -1 is none.

@@ -18,18 +18,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, components, in_filter, key_filter, stored, word_hashes
+from cascadia.llm import flat
+from cascadia.llm.common import arrow_rows, components, in_filter, key_filter, stored
 
 #: Signature: with a similarity of 0.85 a position differs with a probability of 0.15, and
 #: more than 19 of 40 differ in one of 4 million pairs; the closer the pair, the rarer.
 POSITIONS, CHUNKS, MAX_ERRORS = 40, 10, 19
 WIDTH = POSITIONS // CHUNKS
-#: Shingles hashed at once.
-GROUP_SHINGLES = 1 << 19
+#: Bytes of text worked off at once.
+GROUP_BYTES = 1 << 21
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -46,15 +48,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: flat.Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the word shingles of all texts, one after another, and where each text begins.
 
     A-Z are lower-cased; shorter texts have one shingle, the whole sequence, and texts without
     a word none.
     """
-    split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
-    count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    hashes = word_hashes(split)
+    hashes, count = flat.text_words(texts)
     begin = np.cumsum(count) - count
     size = np.where(count >= words, count - words + 1, np.minimum(count, 1))
     start = np.cumsum(size) - size
@@ -93,18 +93,6 @@ def chunk_keys(sig: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
-def _groups(batch: dict, text: str) -> Iterator[tuple[int, int]]:
-    """Slices of a batch of about GROUP_SHINGLES words."""
-    first, size = 0, 0
-    for i, t in enumerate(batch[text]):
-        size += len(t or "") // 4
-        if size >= GROUP_SHINGLES:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(batch[text]):
-        yield first, len(batch[text])
-
-
 def _features(docs: DataFrame, words: int) -> DataFrame:
     """Per row: key, size of its shingle set, a digest of the set, its signature."""
     schema = T.StructType(
@@ -120,25 +108,26 @@ def _features(docs: DataFrame, words: int) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            for a, b in _groups(batch, "text"):
-                hashes, start = shingles(batch["text"][a:b], words)
+            for part in flat.groups(batch["text"], GROUP_BYTES):
+                hashes, start = shingles(batch["text"][part], words)
                 size = np.diff(start, append=len(hashes))
                 sets = [np.unique(x) for x in np.split(hashes, start[1:])]
                 sig = signatures(hashes, start, size)
                 yield {
-                    "key": batch["key"][a:b],
+                    "key": batch["key"][part],
                     "n_shingles": [len(s) for s in sets],
                     "set_key": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                     "sig": [s.tobytes() for s in sig],
                 }
 
-    return arrow_rows(docs, schema, rows)
+    return arrow_rows(docs, schema, rows, flat=["text"])
 
 
-def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+def _sets(docs: DataFrame, members: DataFrame, words: int) -> tuple[DataFrame, Broadcast]:
     """``(key, shingles)``: the shingle set of each of ``members`` (key), from the texts ``docs``.
 
-    Texts of other documents are left out at the scan by a filter of fixed size.
+    Texts of other documents are left out at the scan by a filter, which also comes back, to be
+    destroyed when the sets have been read.
     """
     schema = T.StructType([docs.schema["key"], T.StructField("shingles", T.ArrayType(T.LongType(), False))])
     bits = docs.sparkSession.sparkContext.broadcast(key_filter(members.select(F.col("key").cast("string")), "key"))
@@ -146,16 +135,17 @@ def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
             hit = np.flatnonzero(in_filter(bits.value, [str(k).encode() for k in batch["key"]])).tolist()
-            batch = {n: [batch[n][i] for i in hit] for n in ("key", "text")}
-            for a, b in _groups(batch, "text"):
-                hashes, start = shingles(batch["text"][a:b], words)
+            keys, texts = [batch["key"][i] for i in hit], batch["text"].take(pa.array(hit, pa.int64()))
+            for part in flat.groups(texts, GROUP_BYTES):
+                hashes, start = shingles(texts[part], words)
                 sets = [np.unique(x).view(np.int64) for x in np.split(hashes, start[1:])]
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 values = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
                 arrays = pa.ListArray.from_arrays(pa.array(offsets), values).cast(pa.list_(pa.field("element", pa.int64(), False)))
-                yield {"key": batch["key"][a:b], "shingles": arrays}
+                yield {"key": keys[part], "shingles": arrays}
 
-    return arrow_rows(docs, schema, rows).join(members, "key", "left_semi").dropDuplicates(["key"])
+    picked = arrow_rows(docs, schema, rows, flat=["text"])
+    return picked.join(members, "key", "left_semi").dropDuplicates(["key"]), bits
 
 
 def _filed(reps: DataFrame) -> DataFrame:
@@ -197,7 +187,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     """Pairs whose whole shingle sets reach the similarity."""
     pairs = stored(pairs, "near-pairs")
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = stored(_sets(texts, members, words), "near-sets")
+    found, bits = _sets(texts, members, words)
+    sets = stored(found, "near-sets")
+    bits.destroy()
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("shingles_a")), "a")
@@ -215,10 +207,10 @@ def _rare_pairs(rest: DataFrame, reps: DataFrame, texts: DataFrame, words: int,
     are similar but not enough each have rare shingles of their own, which come first, and so
     seldom meet, however many they are.
     """
-    each = stored(
-        _sets(texts, rest.select(F.col("rep").alias("key")), words).select(F.col("key").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")),
-        "near-shingles",
-    )
+    found, bits = _sets(texts, rest.select(F.col("rep").alias("key")), words)
+    each = found.select(F.col("key").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    each = stored(each, "near-shingles")
+    bits.destroy()
     often = each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
     # Shingles that no other document has come first; they can't meet and are only counted.
     order = Window.partitionBy("rep").orderBy("often", "shingle")
@@ -246,6 +238,8 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     have one text; with several, each row's text gets links under the common key. Keys are
     integers; other columns are ignored. ``percent`` must be 80 or more for the signature
     distance to hold (at 80, one of 80 thousand pairs of just that similarity exceeds it).
+    Shingles are told apart by 64-bit hashes of their words (see ``flat``). Long texts are worked
+    off whole; no rows give no rows.
     """
     if percent < 80:
         raise ValueError("the signature distance is made for a similarity of 80 percent or more")

@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, in_filter, key_filter, stored, word_hashes
+from cascadia.llm import flat
+from cascadia.llm.common import arrow_rows, in_filter, key_filter, stored
 
 #: From this length on a line may differ by one word; 8 words make that a similarity of 7/8.
 MIN_EDIT_WORDS = 8
@@ -78,10 +79,11 @@ def _ones(n: int, base: np.uint64) -> np.ndarray:
 class _Hashed:
     """Polynomial hashes of the words of many lines, all in one array."""
 
-    def __init__(self, lines: list[list[bytes]]):
-        self.n = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-        self.words = word_hashes(lines)
-        most = int(self.n.max()) + 2 if len(lines) else 2
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        """``words`` are the hashes of all words, ``counts`` says how many each line has."""
+        self.n = counts
+        self.words = words
+        most = int(self.n.max()) + 2 if len(counts) else 2
         self.power, self.inverse = (np.cumprod(_ones(most, base), dtype=np.uint64) for base in (_MIX, _INVERSE))
         self.start = np.cumsum(self.n) - self.n
         place = np.arange(len(self.words)) - np.repeat(self.start, self.n)
@@ -119,60 +121,103 @@ class _Hashed:
         return before + after * _INVERSE
 
 
+#: Bytes of text worked off at once.
+GROUP_BYTES = 1 << 20
+
+
+class _Lines:
+    """The lines with a word of a run of texts: whose, which, the hashes of their words, a digest."""
+
+    def __init__(self, texts: flat.Texts):
+        self.raw, self.offsets = flat.text_bytes(texts)
+        data = flat.folded(self.raw)
+        start, size, counts = flat.words(data, self.offsets)
+        words = flat.span_hashes(data, start, size)
+        self.breaks = np.flatnonzero(self.raw == 0x0A)
+        owner = np.repeat(np.arange(len(counts)), counts)
+        number = np.searchsorted(self.breaks, start) - np.searchsorted(self.breaks, self.offsets[:-1])[owner]
+        first = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(number, prepend=-1) != 0))
+        self.owner, self.number, self.at = owner[first], number[first].astype(np.int32), start[first]
+        n = np.diff(np.append(first, len(words)))
+        self.hashed = _Hashed(words, n)
+        self.digests = np.empty((len(n), 2), dtype=np.uint64)
+        if len(n):
+            self.digests[:, 0] = _mixed(self.hashed.whole() + n.astype(np.uint64))
+            placed = flat.mixed(words + self.hashed.place.astype(np.uint64) * _MIX)
+            self.digests[:, 1] = flat.mixed(np.add.reduceat(placed, self.hashed.start) + n.astype(np.uint64))
+
+    def __len__(self) -> int:
+        return len(self.owner)
+
+    def halves(self, min_words: int) -> pa.Array:
+        """The half keys of every line of so many words, null for the others."""
+        long = self.hashed.n >= min_words
+        some = _Hashed(self.hashed.words[np.repeat(long, self.hashed.n)], self.hashed.n[long])
+        keys = some.halves() if long.any() else np.empty((0, 4), dtype=np.int64)
+        places = np.concatenate([[0], np.cumsum(np.where(long, keys.shape[1], 0))]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(places), pa.array(keys.ravel()), mask=pa.array(~long))
+        return lists.cast(pa.list_(pa.field("element", pa.int64(), False)))
+
+    def text(self, i: int) -> str:
+        """Line ``i`` as it stands."""
+        k = int(np.searchsorted(self.breaks, self.at[i]))
+        begin, end = int(self.offsets[self.owner[i]]), int(self.offsets[self.owner[i] + 1])
+        if k:
+            begin = max(begin, int(self.breaks[k - 1]) + 1)
+        if k < len(self.breaks):
+            end = min(end, int(self.breaks[k]))
+        return self.raw[begin:end].tobytes().decode()
+
+
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     """One row per line with a word: its place, a digest of its words, and its half keys
     if it has ``min_words`` words."""
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
-        import xxhash
-
         for batch in batches:
-            for a in range(0, len(batch["doc"]), 500):
-                out: dict[str, list] = {f.name: [] for f in LINES}
-                words = []
-                for doc, tie, text in zip(*(batch[n][a : a + 500] for n in ("doc", "tie", "text"))):
-                    for i, line in enumerate((text or "").split("\n")):
-                        if parts := line_words(line):
-                            out["doc"].append(doc)
-                            out["tie"].append(tie)
-                            out["line"].append(i)
-                            out["h"].append(xxhash.xxh3_128_digest(b" ".join(parts)))
-                            words.append(parts)
-                long = [w for w in words if len(w) >= min_words]
-                halves = iter(_Hashed(long).halves().tolist()) if long else iter(())
-                out["halves"] = [next(halves) if len(w) >= min_words else None for w in words]
-                yield out
-
-    return arrow_rows(docs, LINES, rows)
+            for part in flat.groups(batch["text"], GROUP_BYTES):
+                lines = _Lines(batch["text"][part])
+                owner = pa.array(lines.owner + part.start)
+                yield {
+                    "doc": batch["doc"].take(owner),
+                    "tie": batch["tie"].take(owner),
+                    "line": pa.array(lines.number),
+                    "h": flat.binary(lines.digests),
+                    "halves": lines.halves(min_words),
+                }
+
+    return arrow_rows(docs, LINES, rows, flat=["doc", "tie", "text"])
 
 
 def _hits(docs: DataFrame, again: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(doc, tie, line, h, text)`` of the lines whose digest is in ``again`` or ``wanted``, and a
-    few more; with the text for those in ``wanted``.
+    few more; with the text for those in ``wanted``. The rows are stored.
 
-    Bitmaps of fixed size leave out nearly all other lines at the scan. The joins that follow
-    are exact, so full bitmaps would cost time but change nothing.
+    Bitmaps leave out nearly all other lines at the scan. The joins that follow are exact, so
+    full bitmaps would cost time but change nothing.
     """
     schema = T.StructType([*LINES.fields[:4], T.StructField("text", T.StringType())])
     bits = docs.sparkSession.sparkContext.broadcast((key_filter(again, "h"), key_filter(wanted, "h")))
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
-        import xxhash
-
         for batch in batches:
-            for a in range(0, len(batch["doc"]), 500):
-                found = []
-                for doc, tie, text in zip(*(batch[n][a : a + 500] for n in ("doc", "tie", "text"))):
-                    for i, line in enumerate((text or "").split("\n")):
-                        if parts := line_words(line):
-                            found.append((doc, tie, i, xxhash.xxh3_128_digest(b" ".join(parts)), line))
-                in_again, in_wanted = (in_filter(b, [f[3] for f in found]) for b in bits.value)
-                some = np.flatnonzero(in_again | in_wanted).tolist()
-                out = dict(zip(schema.names, zip(*(found[i] for i in some)))) or dict.fromkeys(schema.names, ())
-                out["text"] = [t if in_wanted[i] else None for i, t in zip(some, out["text"])]
-                yield {n: list(v) for n, v in out.items()}
+            for part in flat.groups(batch["text"], GROUP_BYTES):
+                lines = _Lines(batch["text"][part])
+                keys = [d.tobytes() for d in lines.digests]
+                in_again, in_wanted = (in_filter(b, keys) for b in bits.value)
+                some = np.flatnonzero(in_again | in_wanted)
+                owner = pa.array(lines.owner[some] + part.start)
+                yield {
+                    "doc": batch["doc"].take(owner),
+                    "tie": batch["tie"].take(owner),
+                    "line": pa.array(lines.number[some]),
+                    "h": flat.binary(lines.digests[some]),
+                    "text": [lines.text(i) if in_wanted[i] else None for i in some.tolist()],
+                }
 
-    return arrow_rows(docs, schema, rows)
+    out = stored(arrow_rows(docs, schema, rows, flat=["doc", "tie", "text"]), "lines-hits")
+    bits.destroy()
+    return out
 
 
 def _variants(texts: DataFrame) -> DataFrame:
@@ -188,7 +233,7 @@ def _variants(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for a in range(0, len(batch["sid"]), 2000):
                 sid = np.array(batch["sid"][a : a + 2000], dtype=np.int64)
-                lines = _Hashed([line_words(t) for t in batch["text"][a : a + 2000]])
+                lines = _Hashed(*flat.text_words(batch["text"][a : a + 2000]))
                 n = np.repeat(lines.n, lines.n).astype(np.uint64)
                 whole = _mixed(lines.whole() + lines.n.astype(np.uint64))
                 without = lines.without()
@@ -237,7 +282,7 @@ def near_lines(docs: DataFrame, min_words: int = MIN_EDIT_WORDS, key: str = "doc
     some = distinct.join(hopeful, "h", "left_semi").select("h", "doc", "tie", "line")
     some = stored(some.orderBy("doc", "tie", "line").withColumn("sid", F.monotonically_increasing_id()), "lines-numbered")
     again = distinct.where("NOT once").select("h", F.struct("doc", "tie", "line").alias("first"))
-    hits = stored(_hits(source, again, some), "lines-hits").withColumn("at", place)
+    hits = _hits(source, again, some).withColumn("at", place)
     wanted = some.select("h", "sid", place.alias("first"))
     texts = hits.where("text IS NOT NULL").join(wanted, "h").where(F.col("at").eqNullSafe(F.col("first")))
     texts = stored(texts.select("sid", "text").dropDuplicates(["sid"]), "lines-texts")

@@ -162,7 +162,7 @@ def pack_documents(
         sequence = TaskContext.get().partitionId() << 40
         block, held = [], 0
         for batch in batches:
-            for k, ids in zip(batch["k"], encoder.encode(t or "" for t in batch["t"])):
+            for k, ids in zip(batch["k"], encoder.encode(batch["t"])):
                 ids += tail
                 block.append((k, ids, *_places(as_ids(ids), ends_sentence)))
                 held += len(ids) // 4
@@ -178,4 +178,4 @@ def pack_documents(
         .repartitionByRange("k")
         .sortWithinPartitions("k", "t")
     )
-    return arrow_rows(ordered, schema, rows)
+    return arrow_rows(ordered, schema, rows, flat=["t"])

@@ -195,7 +195,7 @@ def write_token_files(
 
         def pairs(first: dict) -> Iterator[tuple[int | None, bytes]]:
             for batch in _chain(first, batches):
-                yield from zip(batch["k"], (ids + tail for ids in encoder.encode(t or "" for t in batch["t"])))
+                yield from zip(batch["k"], (ids + tail for ids in encoder.encode(batch["t"])))
 
         for first in batches:
             if first["k"]:
@@ -209,7 +209,7 @@ def write_token_files(
         .repartitionByRange("k")
         .sortWithinPartitions("k", "t")
     )
-    arrow_rows(ordered, MANIFEST, rows).write.parquet(f"{folder}/manifest")
+    arrow_rows(ordered, MANIFEST, rows, flat=["t"]).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 
