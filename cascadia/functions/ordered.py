@@ -8,7 +8,7 @@ per group and slice) carry values across slices. Both ways give the same values.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cascadia.session import cut
@@ -92,3 +92,30 @@ def numbered(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     """Add ``out`` = 1, 2, 3, ... in the global order of ``order``, without one global task."""
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
     return _running_sums_sliced(ones, [], list(order), {"_one": out}).drop("_one")
+
+
+def running_steps(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], least: str, step: str, out: str, start: Column
+) -> DataFrame:
+    """Add ``out``: a running value that each row raises to ``least`` (null: not at all), then by ``step``.
+
+    A row stands for the function m -> max(m, least) + step, and rows one after another for
+    m -> max(m + n, c), n being the sum of their steps. Such functions compose, so each range
+    slice is summed up as one (n, c), and slices are chained through these alone: no task sees
+    more than a slice or one row a slice.
+    """
+    keys, order = list(keys), list(order)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    before = (Window.unboundedPreceding, -1)
+    rows = _sliced(df, keys, order)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(*upto)
+    rows = rows.withColumn("_n", F.sum(step).over(inside))
+    # What a row's floor amounts to at the start of its slice.
+    rows = rows.withColumn("_c", F.max(F.col(least) - (F.col("_n") - F.col(step))).over(inside))
+    parts = rows.groupBy(*keys, "_slice").agg(F.sum(step).alias("_all"), F.max("_c").alias("_top"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*before)
+    parts = parts.withColumn("_n0", F.coalesce(F.sum("_all").over(earlier), F.lit(0)))
+    carried = parts.select(*keys, "_slice", "_n0", F.max(F.col("_top") - F.col("_n0")).over(earlier).alias("_c0"))
+    floor = F.greatest(start, F.col("_c0"), F.col("_c") - F.col("_n0"))
+    joined = rows.join(carried, [*keys, "_slice"])
+    return joined.withColumn(out, floor + F.col("_n0") + F.col("_n")).drop("_slice", "_n", "_c", "_n0", "_c0")

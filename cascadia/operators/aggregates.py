@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cascadia.functions.lists import PAGE_ROWS, ordered_pages, paged_list
-from cascadia.functions.ordered import numbered
+from cascadia.functions.ordered import numbered, running_steps
 from cascadia.functions.paths import config_dirs
 from cascadia.model import IN_PROGRESS, MAIL_FAILED, MAIL_OK, SCAN_STATUSES, UNKNOWN_STATUS
 
@@ -63,12 +63,23 @@ def run_counts(runs: DataFrame) -> DataFrame:
     return runs.groupBy("commit_id", "account_name", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def next_pr_id(runs: DataFrame, new: DataFrame, order: str) -> DataFrame:
-    """Number the rows without a PR on from the highest PR in use or given, in ``order``."""
+def next_pr_id(runs: DataFrame, new: DataFrame, order: str, sequential: bool = False) -> DataFrame:
+    """Number the rows without a PR on from the highest PR in use, in ``order``.
+
+    All numbers given count as in use, or, if ``sequential``, those given before the row: then
+    rows are numbered as if they came one by one.
+    """
     rest = [c for c in new.columns if c != "pr_id"]
-    used = runs.select(F.col("pr_id").cast("bigint").alias("pr_id")).unionByName(
-        new.select(F.col("pr_id").cast("bigint").alias("pr_id"))
-    )
+    pr_id = F.col("pr_id").cast("bigint")
+    used = runs.select(pr_id.alias("pr_id"))
+    if sequential:
+        top = used.agg(F.coalesce(F.max("pr_id"), F.lit(0)).alias("_top"))
+        one = F.when(pr_id.isNull(), 1).otherwise(0).cast("bigint")
+        steps = running_steps(
+            new.withColumns({"_given": pr_id, "_one": one}), [], [order], "_given", "_one", "_number", top.scalar()
+        )
+        return steps.select(*rest, F.coalesce("_given", "_number").cast("int").alias("pr_id"))
+    used = used.unionByName(new.select(pr_id.alias("pr_id")))
     top = used.agg(F.coalesce(F.max("pr_id"), F.lit(0)).alias("_top"))
     given = new.filter(F.col("pr_id").isNotNull())
     unset = numbered(new.filter(F.col("pr_id").isNull()).select(rest), [order], "_n")

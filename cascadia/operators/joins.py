@@ -233,6 +233,28 @@ def fill_dim_defaults(partial: DataFrame, seed: str = "0") -> DataFrame:
     )
 
 
+def _refs_so_far(partial: DataFrame, existing: DataFrame, default: dict[str, Column]) -> dict[str, Column]:
+    """The references that an unset one takes: those of existing runs, else of the rows before.
+
+    The first row has its own base reference, set or default, so that is what later rows find. A
+    head reference has no default, and rows before the first that is set stay without.
+    """
+    out = {}
+    for name in ("base_ref", "head_ref"):
+        known = F.lit(None).cast("string")
+        if name in existing.columns:
+            known = existing.agg(F.min(name).alias("known")).scalar()
+        if name == "base_ref":
+            first = partial.agg(F.min_by(name, "row_key").alias("first")).scalar()
+            out[name] = F.coalesce(known, first, default[name])
+        else:
+            given = partial.where(F.col(name).isNotNull())
+            first = given.agg(F.min(F.struct("row_key", name)).alias("first")).scalar()
+            later = F.when(F.col("row_key") > first.getField("row_key"), first.getField(name))
+            out[name] = F.coalesce(known, later, default[name])
+    return out
+
+
 def fill_defaults(
     partial: DataFrame,
     dim: DataFrame,
@@ -244,8 +266,10 @@ def fill_defaults(
     """Run rows with unset columns filled from the account table, then from fixed rules.
 
     ``partial`` has the run columns and ``row_key``. Where a random value would do, the
-    hash of seed and row key is used, so a retried task gives the same row. Unset PR
-    numbers are counted on from ``existing`` in row-key order.
+    hash of seed and row key is used, so a retried task gives the same row. With ``existing``
+    runs the rows are filled as if they were added to them one by one, in row-key order: an unset
+    PR number is one more than the highest so far, and unset references are those of the runs so
+    far, the least where they differ; ``base_ref`` and ``head_ref`` hold for rows before the first.
     """
     salt, key = F.lit(seed), F.col("row_key").cast("string")
 
@@ -265,6 +289,9 @@ def fill_defaults(
             )
         ],
     )
+    refs = {"base_ref": F.lit(base_ref), "head_ref": F.lit(head_ref).cast("string")}
+    if existing is not None:
+        refs = _refs_so_far(partial, existing, refs)
     rows = partial.join(known, "account_name", "left")
     # The account row is looked up before an unset name is made up.
     rows = rows.withColumn(
@@ -298,8 +325,8 @@ def fill_defaults(
             "cfg_deps": F.coalesce(F.col("cfg_deps"), empty_list()),
             "execution_id": F.coalesce("execution_id", F.concat(F.lit("run-"), tail("id", 7))),
             "commit_id": F.coalesce("commit_id", tail("commit", 32)),
-            "base_ref": F.coalesce("base_ref", F.lit(base_ref)),
-            "head_ref": F.coalesce("head_ref", F.lit(head_ref).cast("string")),
+            "base_ref": F.coalesce("base_ref", refs["base_ref"]),
+            "head_ref": F.coalesce("head_ref", refs["head_ref"]),
             "new_providers": F.coalesce(F.col("new_providers"), empty_list()),
             "new_resources": F.coalesce(F.col("new_resources"), empty_list()),
         }
@@ -345,7 +372,7 @@ def fill_defaults(
         }
     )
     if existing is not None:
-        rows = next_pr_id(existing, rows, "row_key")
+        rows = next_pr_id(existing, rows, "row_key", sequential=True)
     return rows.select("row_key", *RUN_COLUMNS)
 
 

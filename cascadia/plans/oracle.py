@@ -154,29 +154,25 @@ def _one_or_two(key: str, what: str) -> str:
 
 _ROW = "cast(o_orderkey as varchar)"
 
+def _numbered_on(order: str) -> str:
+    """PR numbers of rows added one by one: the unset ones so far, over the highest start among what
+    existed and each given number less the unset ones before it."""
+    unset = f"sum((given is null)::int) over (order by {order} rows unbounded preceding)"
+    return f"""select * exclude (unset), cast(coalesce(given, unset + greatest((select max(pr_id) from {{run_base}}),
+        max(given - unset) over (order by {order} rows unbounded preceding))) as int) as pr_id
+      from (select *, {unset} as unset from rows_given)"""
+
+
 _DEFAULTS = f"""
-  select row_key, account_name, coalesce(known_path, account_name) as account_path,
-    'run-'||{_hashed('k', 'id', 7)} as execution_id, commit_id,
-    cast(coalesce(pr_id, (select max(pr_id) from {{run_base}}) +
-      sum((pr_id is null)::int) over (order by row_key rows unbounded preceding)) as int) as pr_id,
-    base_ref, head_ref, dir as cfg_path,
-    case when given_status is not null then given_status
-         when least(n_voters, a) = a then 'succeeded' when least(n_voters, r) = r then 'failed' end as status,
-    coalesce(given_plan, 'terragrunt '||case when rb then 'destroy' else 'plan' end||' --terragrunt-working-dir '||dir) as plan_command,
-    'terragrunt '||case when rb then 'destroy' else 'apply' end||' --terragrunt-working-dir '||dir||' -auto-approve' as apply_command,
-    a as min_approval_count, r as min_rejection_count,
-    coalesce(known_plan, account_name||'-plan-role') as plan_role_arn,
-    coalesce(known_apply, account_name||'-deploy-role') as apply_role_arn,
-    array_to_string(list, '|') as voters, array_to_string(list[1:a], '|') as approval_voters,
-    array_to_string(list[1:r], '|') as rejection_voters
-  from (select *, coalesce(given_dir, coalesce(known_path, account_name)||'/'||{_hashed('k', 'dir', 7)}) as dir
+  with rows_given as (
+    select *, coalesce(given_dir, coalesce(known_path, account_name)||'/'||{_hashed('k', 'dir', 7)}) as dir
     from (select o_orderkey as row_key, {_ROW} as k, o_orderkey % 2 = 0 as rb,
       coalesce(given_name, 'account-'||{_hashed(_ROW, 'name', 3)}) as account_name,
       b.account_path as known_path, b.plan_role_arn as known_plan, b.apply_role_arn as known_apply,
-      cast(case when o_orderkey % 3 = 0 then o_orderkey + 7 end as int) as pr_id,
+      cast(case when o_orderkey % 3 = 0 then o_orderkey + 7 end as int) as given,
       case when o_orderkey % 4 = 0 then 'c'||{_ROW} else {_hashed(_ROW, 'commit', 32)} end as commit_id,
-      case when o_orderkey % 7 = 0 then 'trunk' else 'master' end as base_ref,
-      case when o_orderkey % 2 = 0 then 'feature' end as head_ref,
+      case when o_orderkey % 7 = 0 then 'other' else 'trunk' end as base_ref,
+      case when o_orderkey % 2 = 0 then 'feature' else (select min('feature-'||pr_id) from {{run_base}}) end as head_ref,
       case when o_orderkey % 6 = 0 then 'dir/'||{_ROW} end as given_dir,
       case when o_orderkey % 9 = 0 then 'waiting' end as given_status,
       case when o_orderkey % 11 = 0 then 'plan it' end as given_plan,
@@ -186,7 +182,19 @@ _DEFAULTS = f"""
       case when o_orderkey % 10 = 1 then [] else [o_orderpriority, o_orderstatus] end as list,
       case when o_orderkey % 10 = 1 then 0 else 2 end as n_voters
     from (select *, case when o_orderkey % 5 <> 0 then 'NATION_'||cast(o_custkey % 30 as varchar) end as given_name from {{orders}})
-    left join {{account_base}} b on b.account_name = given_name))"""
+    left join {{account_base}} b on b.account_name = given_name))
+  select row_key, account_name, coalesce(known_path, account_name) as account_path,
+    'run-'||{_hashed('k', 'id', 7)} as execution_id, commit_id, pr_id, base_ref, head_ref, dir as cfg_path,
+    case when given_status is not null then given_status
+         when least(n_voters, a) = a then 'succeeded' when least(n_voters, r) = r then 'failed' end as status,
+    coalesce(given_plan, 'terragrunt '||case when rb then 'destroy' else 'plan' end||' --terragrunt-working-dir '||dir) as plan_command,
+    'terragrunt '||case when rb then 'destroy' else 'apply' end||' --terragrunt-working-dir '||dir||' -auto-approve' as apply_command,
+    a as min_approval_count, r as min_rejection_count,
+    coalesce(known_plan, account_name||'-plan-role') as plan_role_arn,
+    coalesce(known_apply, account_name||'-deploy-role') as apply_role_arn,
+    array_to_string(list, '|') as voters, array_to_string(list[1:a], '|') as approval_voters,
+    array_to_string(list[1:r], '|') as rejection_voters
+  from ({_numbered_on('row_key')})"""
 
 # Wave of a run: the largest k for which it is reached; what runs now counts as 1.
 _WAVES = """
@@ -447,6 +455,9 @@ _SQL = {
       select o_orderkey, cast(coalesce(given, greatest((select max(pr_id) from {run_base}), max(given) over ()) +
              sum((given is null)::int) over (order by o_orderkey rows unbounded preceding)) as int) as pr_id
       from (select o_orderkey, case when o_orderstatus = 'F' then o_custkey end as given from {orders})""",
+    "next_pr_id_sequential": f"""
+      with rows_given as (select o_orderkey, case when o_orderstatus = 'F' then o_orderkey % 5000 * 3 end as given from {{orders}})
+      select o_orderkey, pr_id from ({_numbered_on('o_orderkey')})""",
     "delivery_failures": """
       select execution_id, failed, total, cast(case when failed > 0 then 500 else 200 end as int) as status_code,
              case when failed > 0 then failed||'/'||total||' emails failed to send' else 'All emails were successfully sent' end as message

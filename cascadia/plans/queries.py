@@ -331,7 +331,7 @@ def fill_defaults(t):
         (key % 2 == 0).alias("is_rollback"),
         given(3, key + 7, "int").alias("pr_id"),
         given(4, F.concat(F.lit("c"), key.cast("string")), "string").alias("commit_id"),
-        given(7, F.lit("trunk"), "string").alias("base_ref"),
+        given(7, F.lit("other"), "string").alias("base_ref"),
         given(2, F.lit("feature"), "string").alias("head_ref"),
         given(6, F.concat(F.lit("dir/"), key.cast("string")), "string").alias("cfg_path"),
         given(9, F.lit("waiting"), "string").alias("status"),
@@ -355,7 +355,8 @@ def fill_defaults(t):
             )
         ],
     )
-    return J.fill_defaults(partial, P.dim(t), existing=t["run_base"]).select(
+    runs = t["run_base"].select("pr_id", F.lit("trunk").alias("base_ref"), F.concat(F.lit("feature-"), "pr_id").alias("head_ref"))
+    return J.fill_defaults(partial, P.dim(t), existing=runs).select(
         "row_key",
         "account_name",
         "account_path",
@@ -535,6 +536,15 @@ def next_pr_id(t):
     return A.next_pr_id(t["run_base"], new, "o_orderkey")
 
 
+@query
+def next_pr_id_sequential(t):
+    new = t["orders"].select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 5000 * 3).cast("int").alias("pr_id"),
+    )
+    return A.next_pr_id(t["run_base"], new, "o_orderkey", sequential=True)
+
+
 @query
 def delivery_failures(t):
     return A.delivery_failures(t["delivery"])

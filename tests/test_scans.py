@@ -9,6 +9,7 @@ import urllib.parse
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cascadia.functions import text as X
 from cascadia.functions.lists import inline_lists, ordered_pages, paged_list
@@ -389,6 +390,51 @@ def test_numbers_given_are_not_given_again(spark):
     assert got == {1: 7, 2: 6, 3: 8}
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_rows_numbered_one_by_one(spark, partitions):
+    rng = random.Random(partitions)
+    rows = [(i, rng.choice([None, None, rng.randrange(1, 90)])) for i in range(400)]
+    expected, top = {}, 12
+    for i, given in rows:
+        expected[i] = top + 1 if given is None else given
+        top = max(top, expected[i])
+    shuffled = rng.sample(rows, len(rows))
+    new = spark.createDataFrame(shuffled, "id long, pr_id int").repartition(partitions)
+    runs = spark.createDataFrame([(12,), (None,), (3,)], "pr_id int")
+    got = A.next_pr_id(runs, new, "id", sequential=True)
+    assert {r.id: r.pr_id for r in got.collect()} == expected
+    none = A.next_pr_id(runs.limit(0), new.limit(0), "id", sequential=True)
+    assert none.columns == ["id", "pr_id"] and none.count() == 0
+    first = A.next_pr_id(runs.limit(0), new.where("id = 0").withColumn("pr_id", F.lit(None).cast("int")), "id", sequential=True)
+    assert [r.pr_id for r in first.collect()] == [1]
+
+
+def partial_runs(spark, make_runs, rows):
+    """Rows with ``row_key`` and the columns given, all others unset."""
+    schema = make_runs().schema
+    names = ["row_key", *schema.fieldNames()]
+    full = [tuple(r.get(n) for n in names) for r in rows]
+    return spark.createDataFrame(full, T.StructType([T.StructField("row_key", T.LongType()), *schema.fields]))
+
+
+def test_references_of_earlier_rows(spark, make_runs):
+    rows = [dict(row_key=1), dict(row_key=2, base_ref="x", head_ref="topic"), dict(row_key=3), dict(row_key=4, head_ref="late")]
+    partial = partial_runs(spark, make_runs, rows)
+    dim = spark.createDataFrame(
+        [("a", "a", 1, 1, "p", "q")],
+        "account_name string, account_path string, min_approval_count int, min_rejection_count int, plan_role_arn string, apply_role_arn string",
+    )
+
+    def refs(existing):
+        filled = J.fill_defaults(partial, dim, existing=existing)
+        return {r.row_key: (r.pr_id, r.base_ref, r.head_ref) for r in filled.collect()}
+
+    empty = make_runs().select("pr_id", "base_ref", "head_ref")
+    assert refs(empty) == {1: (1, "master", None), 2: (2, "x", "topic"), 3: (3, "master", "topic"), 4: (4, "master", "late")}
+    known = make_runs(dict(execution_id="r", pr_id=7, base_ref="trunk", head_ref="old"))
+    assert refs(known) == {1: (8, "trunk", "old"), 2: (9, "x", "topic"), 3: (10, "trunk", "old"), 4: (11, "trunk", "late")}
+
+
 def test_bad_run_documents_are_reported(spark):
     docs = {
         1: '{"execution_id":"r","status":"failed","is_rollback":false,"commit_id":"c","cfg_path":"p"}',
