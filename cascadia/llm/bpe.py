@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascadia.llm.common import arrow_rows
-from cascadia.llm.tokens import ChunkEncoder, as_ids, byte_alphabet, token_bytes, vocabulary
+from cascadia.llm.tokens import CHUNKS, ChunkEncoder, as_ids, byte_alphabet, token_bytes, vocabulary
 
 #: Fixed value: the pattern that splits text into words before the merges.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -193,7 +193,7 @@ def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     other columns are left out.
     """
     schema = T.StructType([docs.schema[key], T.StructField("ids", T.BinaryType())])
-    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, lambda bpe, ids: {"ids": ids}), flat=[text])
+    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, lambda bpe, ids: {"ids": ids}), flat=[text], store=CHUNKS)
 
 
 def bpe_decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -226,4 +226,4 @@ def bpe_round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str =
             "decoded_sha256": [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids],
         }
 
-    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, finish), flat=[text])
+    return arrow_rows(docs.select(key, text), schema, _encoded(path, [key], text, finish), flat=[text], store=CHUNKS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -58,10 +60,13 @@ def arrow_rows(
     schema: T.StructType,
     rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
     flat: Sequence[str] = (),
+    store: str | None = None,
 ) -> DataFrame:
     """``mapInArrow`` over plain columns: ``rows`` turns dicts of lists into dicts of lists.
 
     Columns named in ``flat`` stay Arrow arrays, which saves their values as Python objects.
+    ``store`` names the store that ``rows`` keeps between tasks; a worker drops all others first,
+    and what a task has freed goes back to the system when it ends.
     Sets the session's Arrow batches to ``BATCH_ROWS`` rows where they are larger: rows here
     hold whole texts, and a batch exists several times over in the executor and its worker.
     """
@@ -75,11 +80,15 @@ def arrow_rows(
         inputs = (
             {n: c if n in flat else c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches
         )
-        for out in rows(inputs):
-            yield pa.RecordBatch.from_arrays(
-                [out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow],
-                schema=arrow,
-            )
+        only_store(store)
+        try:
+            for out in rows(inputs):
+                yield pa.RecordBatch.from_arrays(
+                    [out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow],
+                    schema=arrow,
+                )
+        finally:
+            release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -102,15 +111,24 @@ def pa_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-# What a worker keeps between batches and tasks: one store at a time, as a worker that serves
-# several operators would else hold the stores of all.
+# What a worker keeps between tasks: one store at a time, as a worker that serves several
+# operators would else hold the stores of all.
 _STORES: dict[str, Callable[[], None]] = {}
 
-def only_store(name: str, clear: Callable[[], None]) -> None:
-    """Announce the store in use; ``clear`` empties it when another one is announced."""
-    for other in [n for n in _STORES if n != name]:
+
+def only_store(name: str | None, clear: Callable[[], None] | None = None) -> None:
+    """Empty all stores but ``name``, which ``clear`` empties when another one is in use."""
+    for other in [n for n in _STORES if n != name or clear not in (None, _STORES[n])]:
         _STORES.pop(other)()
-    _STORES[name] = clear
+    if name is not None and clear is not None:
+        _STORES[name] = clear
+
+
+def release_memory() -> None:
+    """Give memory back that Arrow and the C library hold for later use."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 #: Bits of a filter that picks rows at a scan: so many for each key, as powers of two within bounds
@@ -192,6 +210,11 @@ def _digest(pairs: DataFrame) -> tuple:
     return tuple(pairs.agg(F.count("*"), mixed).first())
 
 
+def packed(docs: DataFrame, **helpers: Column) -> DataFrame:
+    """``docs`` as one column ``row`` beside ``helpers``, whose names so clash with none of it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in helpers.items()])
+
+
 def utf8_key(text: Column) -> Column:
     """A key of 128 bits for a whole text; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascadia.llm import flat
-from cascadia.llm.common import arrow_rows, stored
+from cascadia.llm.common import arrow_rows, packed, stored
 
 #: Buckets of single words and of word pairs, as powers of two.
 BITS = (20, 18)
@@ -348,12 +348,8 @@ def resample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     Texts without words are scored like all others. Rows with one key and text stay or go
     together; null keys are allowed.
     """
-    kept = (
-        gumbel_top_k(quality_scores(docs, labels, key, text))
-        .where("kept")
-        .select(F.col("key").alias("_kept_key"), F.col("text_key").alias("_kept_text"))
-        .distinct()
-    )
-    marked = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    same = marked[key].cast("long").eqNullSafe(F.col("_kept_key")) & (F.col("_text_key") == F.col("_kept_text"))
-    return marked.join(kept, same, "left_semi").drop("_text_key")
+    found = gumbel_top_k(quality_scores(docs, labels, key, text)).where("kept")
+    kept = found.select(F.col("key").alias("kept_key"), F.col("text_key").alias("kept_text")).distinct()
+    rows = packed(docs, key=F.col(key).cast("long"), text_key=F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("text_key") == F.col("kept_text"))
+    return rows.join(kept, same, "left_semi").select("row.*")

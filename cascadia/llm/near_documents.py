@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascadia.llm import flat
-from cascadia.llm.common import arrow_rows, components, in_filter, key_filter, stored
+from cascadia.llm.common import arrow_rows, components, in_filter, key_filter, packed, stored
 
 #: Signature: with a similarity of 0.85 a position differs with a probability of 0.15, and
 #: more than 19 of 40 differ in one of 4 million pairs; the closer the pair, the rarer.
@@ -282,6 +282,7 @@ def drop_near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key:
     Rows that repeat key and text are one document and leave one row. Rows with a null key stay.
     """
     found = near_documents(docs, words, percent, key, text)
-    kept = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    one = docs.where(F.col(key).isNotNull()).join(kept, F.col(key).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([key, text])
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    kept = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("id")).distinct()
+    rows = packed(docs.where(F.col(key).isNotNull()), id=F.col(key).cast("long"), text=F.col(text))
+    one = rows.join(kept, "id", "left_semi").dropDuplicates(["id", "text"])
+    return one.select("row.*").unionByName(docs.where(F.col(key).isNull()))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascadia.llm import flat
-from cascadia.llm.common import arrow_rows, in_filter, key_filter, stored
+from cascadia.llm.common import arrow_rows, in_filter, key_filter, packed, stored
 
 #: From this length on a line may differ by one word; 8 words make that a similarity of 7/8.
 MIN_EDIT_WORDS = 8
@@ -332,17 +332,16 @@ def drop_near_lines(docs: DataFrame, min_words: int = MIN_EDIT_WORDS, key: str =
     with a word are left out; all others stay, also null and empty ones, and repeated rows.
     A column ``n_chars`` is set to the new length.
     """
-    names = docs.columns
     found = near_lines(docs, min_words, key, text)
-    lost = found.groupBy("doc", "tie").agg(F.collect_set("line").alias("_lost_lines")).withColumnsRenamed({"doc": "_lost_doc", "tie": "_lost_tie"})
-    joined = docs.withColumn("_tie", _tie(text)).join(
-        lost, F.col(key).cast("long").eqNullSafe(F.col("_lost_doc")) & (F.col("_tie") == F.col("_lost_tie")), "left"
-    )
-    kept = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("_lost_lines", i))
-    changed = joined.withColumn("_new", F.when(F.col("_lost_lines").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
-    changed = changed.where(F.col("_lost_lines").isNull() | F.col("_new").rlike(r"[^\x20\x09-\x0D]"))
-    out = {text: F.col("_new")}
-    if "n_chars" in names:
-        n = F.when(F.col("_lost_lines").isNull(), F.col("n_chars")).otherwise(F.length("_new"))
+    lost = found.groupBy(F.col("doc").alias("lost_doc"), F.col("tie").alias("lost_tie")).agg(F.collect_set("line").alias("lost"))
+    rows = packed(docs, doc=F.col(key).cast("long"), tie=_tie(text), text=F.col(text))
+    joined = rows.join(lost, F.col("doc").eqNullSafe(F.col("lost_doc")) & (F.col("tie") == F.col("lost_tie")), "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("lost", i))
+    whole = F.col("lost").isNull()
+    changed = joined.withColumn("new", F.when(whole, F.col("text")).otherwise(F.array_join(kept, "\n")))
+    changed = changed.where(whole | F.col("new").rlike(r"[^\x20\x09-\x0D]"))
+    out = {text: F.col("new")}
+    if "n_chars" in docs.columns:
+        n = F.when(whole, F.col("row.n_chars")).otherwise(F.length("new"))
         out["n_chars"] = n.cast(docs.schema["n_chars"].dataType)
-    return changed.select(*[out[c].alias(c) if c in out else F.col(c) for c in names])
+    return changed.select(*[out.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascadia.llm.common import arrow_rows
-from cascadia.llm.tokens import as_ids, library_encoder, token_bytes
+from cascadia.llm.tokens import CHUNKS, as_ids, library_encoder, token_bytes
 
 WINDOW = 2048
 #: Ids after which a task solves what it has gathered, at the next document's end.
@@ -178,4 +178,4 @@ def pack_documents(
         .repartitionByRange("k")
         .sortWithinPartitions("k", "t")
     )
-    return arrow_rows(ordered, schema, rows, flat=["t"])
+    return arrow_rows(ordered, schema, rows, flat=["t"], store=CHUNKS)

@@ -17,11 +17,13 @@ import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascadia.llm.common import arrow_rows, stored, utf8_key
+from cascadia.llm.common import arrow_rows, packed, stored, utf8_key
 
 # Titles by gender, and first names by script and gender. Names stand for
 # themselves when met in a text, and are drawn from as replacements.
@@ -320,27 +322,27 @@ def replace_personal_data(docs: DataFrame, secret: bytes, text: str = "text", co
     digest of the text, so keys may be null or repeated, and a text that many rows share is
     looked up once.
     """
-    names = docs.columns
-    some = docs.withColumn("_text_key", utf8_key(F.col(text)))
+    some = packed(docs, text_key=utf8_key(F.col(text)), text=F.col(text))
 
-    found_schema = T.StructType([T.StructField("_text_key", T.BinaryType()), *ENTITY])
+    found_schema = T.StructType([T.StructField("text_key", T.BinaryType()), *ENTITY])
 
     def detect(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            hits = [(k, kind, norm) for k, t in zip(b["_text_key"], b[text]) for kind, norm in {(e.kind, e.norm) for e in find_entities(t or "")}]
-            yield {"_text_key": [h[0] for h in hits], "kind": [h[1] for h in hits], "norm": [h[2] for h in hits]}
+            hits = [(k, kind, norm) for k, t in zip(b["text_key"], b["text"]) for kind, norm in {(e.kind, e.norm) for e in find_entities(t or "")}]
+            yield {"text_key": [h[0] for h in hits], "kind": [h[1] for h in hits], "norm": [h[2] for h in hits]}
 
-    found = stored(arrow_rows(some.select("_text_key", text), found_schema, detect).distinct(), "entities")
+    found = stored(arrow_rows(some.select("text_key", "text"), found_schema, detect).distinct(), "entities")
     table = assign_surrogates(found.select("kind", "norm").distinct(), secret)
     # The entities of one text, which its row holds anyway.
-    lists = found.join(table, ["kind", "norm"]).groupBy("_text_key").agg(F.collect_list(F.struct("kind", "norm", "surrogate")).alias("_surrogates"))
-    joined = some.join(lists, "_text_key", "left").drop("_text_key")
-    schema = T.StructType([*docs.schema, *([T.StructField(count, T.LongType())] if count else [])])
+    lists = found.join(table, ["kind", "norm"]).groupBy("text_key").agg(F.collect_list(F.struct("kind", "norm", "surrogate")).alias("surrogates"))
+    joined = some.join(lists, "text_key", "left").select("row", "surrogates")
+    out_schema = T.StructType([joined.schema["row"], T.StructField("n", T.LongType())])
+    place = docs.columns.index(text)
 
     def replace(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             texts, counts = [], []
-            for t, pairs in zip(b[text], b["_surrogates"]):
+            for t, pairs in zip(pc.struct_field(b["row"], place).to_pylist(), b["surrogates"]):
                 entities = find_entities(t) if pairs else []
                 by = {(p["kind"], p["norm"]): p["surrogate"] for p in pairs or ()}
                 out, at = [], 0
@@ -349,7 +351,9 @@ def replace_personal_data(docs: DataFrame, secret: bytes, text: str = "text", co
                     at = e.stop
                 texts.append("".join([*out, t[at:]]) if entities else t)
                 counts.append(len(entities))
-            b[text] = texts
-            yield {n: b[n] for n in names} | ({count: counts} if count else {})
+            fields = [pc.struct_field(b["row"], i) for i in range(b["row"].type.num_fields)]
+            fields[place] = pa.array(texts, b["row"].type[place].type)
+            yield {"row": pa.StructArray.from_arrays(fields, fields=list(b["row"].type)), "n": counts}
 
-    return arrow_rows(joined, schema, replace)
+    done = arrow_rows(joined, out_schema, replace, flat=["row"])
+    return done.select("row.*", *([F.col("n").alias(count)] if count else []))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascadia.llm.common import arrow_rows
-from cascadia.llm.tokens import as_ids, library_encoder, vocabulary
+from cascadia.llm.tokens import CHUNKS, as_ids, library_encoder, vocabulary
 
 MAGIC = b"CTOKENS1"
 #: Every so many ones of the high bits have their position stored.
@@ -209,7 +209,7 @@ def write_token_files(
         .repartitionByRange("k")
         .sortWithinPartitions("k", "t")
     )
-    arrow_rows(ordered, MANIFEST, rows, flat=["t"]).write.parquet(f"{folder}/manifest")
+    arrow_rows(ordered, MANIFEST, rows, flat=["t"], store=CHUNKS).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 

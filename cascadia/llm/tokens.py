@@ -29,6 +29,9 @@ CHUNKS_AT_ONCE = 20_000
 #: Bytes of text taken at once.
 GROUP_BYTES = 4 << 20
 
+#: Name of the store that a worker keeps of chunks.
+CHUNKS = "chunks"
+
 EncodeMany = Callable[[list[str]], list[list[int]]]
 EncodeChunks = Callable[[list[str]], list[bytes]]
 
@@ -138,7 +141,7 @@ class ChunkEncoder:
 
     def encode(self, texts: flat.Texts | Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text; a null text counts as empty."""
-        only_store(f"chunks {id(self)}", self.forget)
+        only_store(CHUNKS, self.forget)
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.large_string())
         for part in flat.groups(texts, GROUP_BYTES):

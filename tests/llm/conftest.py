@@ -13,6 +13,12 @@ def spark():
     return session
 
 
+#: Names that operators use themselves, or used once.
+HELPERS = (
+    "key tie line kept ids spans rep row doc new lost id text_key surrogates "
+    "_text_key _surrogates _lost_lines _lost_doc _tie _new _kept _kept_text"
+).split()
+
 DOCS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -20,8 +26,7 @@ DOCS = T.StructType(
         T.StructField("lang", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()),
-        # Names that operators use themselves.
-        *(T.StructField(n, T.StringType()) for n in ("key", "tie", "line", "kept", "ids", "spans", "rep")),
+        *(T.StructField(n, T.StringType()) for n in HELPERS),
     ]
 )
 
@@ -31,7 +36,8 @@ def make_docs(spark):
     """Documents from (doc_id, text) pairs, with extra columns whose names clash."""
 
     def build(*rows):
-        full = [(i, t, "en", "s", None if t is None else len(t), "k", None, "l", "x", None, "s", "r") for i, t in rows]
+        extra = [None if n in ("tie", "ids") else f"own {n}" for n in HELPERS]
+        full = [(i, t, "en", "s", None if t is None else len(t), *extra) for i, t in rows]
         return spark.createDataFrame(full, DOCS)
 
     return build

@@ -11,10 +11,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from cascadia.llm import importance, surrogates
+from cascadia.llm import importance, near_documents, near_lines, surrogates
 from cascadia.llm.common import documents
 from cascadia.llm.tokens import as_ids, library_tokenizer
-from tests.llm.conftest import prose
+from tests.llm.conftest import HELPERS, prose
 
 SECRET = b"test"
 SMALL = "/root/testdata/sf0.001"
@@ -275,3 +275,22 @@ def test_planted_copies_go(spark, make_docs):
     kept = corpus_pipeline.near_copies(spark, docs, SMALL)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
     assert math.isclose(corpus_pipeline.lines(spark, docs, SMALL).count(), 2)
+
+
+@pytest.mark.parametrize("stage", ["lines", "near", "resample", "surrogates"])
+def test_columns_named_like_helpers_stay(spark, make_docs, stage):
+    """Also those that the operators use inside keep their values."""
+    texts = [f"{prose(i, 30)}\n{prose(i % 3, 12)}\nwrite to jo.doe{i % 4}@mail.org" for i in range(12)]
+    docs = make_docs(*enumerate(texts), (50, None))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], "doc_id long, quality long, toxic long")
+    out = {
+        "lines": lambda: near_lines.drop_near_lines(docs),
+        "near": lambda: near_documents.drop_near_documents(docs),
+        "resample": lambda: importance.resample(docs, labels),
+        "surrogates": lambda: surrogates.replace_personal_data(docs, b"key"),
+    }[stage]()
+    assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+    rows = out.collect()
+    assert rows
+    for r in rows:
+        assert all(r[n] == (None if n in ("tie", "ids") else f"own {n}") for n in HELPERS)
