@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from cascadia import model as M
 from cascadia.functions.lists import inline_lists
 from cascadia.functions.paths import with_prefixes
+from cascadia.functions.placed import SALTS, Grown, along, dealt, reach, salted, stay
 from cascadia.functions.text import empty_list, leaf, stable_hash, target_flags
 from cascadia.model import BLOCKING, RUN_COLUMNS
 from cascadia.operators.joins import (
@@ -21,7 +23,7 @@ from cascadia.operators.joins import (
     stack_semi,
     with_known_deps,
 )
-from cascadia.session import Collected, cut
+from cascadia.session import cut
 
 _SCOPE = ["commit_id", "is_rollback"]
 
@@ -81,58 +83,148 @@ def impact_closure(
     """``commit_id, graph_id, cfg_path``: changed directories and all that depend on them.
 
     ``seeds`` is ``commit_id, graph_id, dir``. A changed directory that is no node is not
-    returned, yet its dependents are. Each round only extends what the last one found,
-    and anything seen before is dropped, so diamonds cost nothing and cycles end.
+    returned, yet its dependents are. Each round moves only what the last one found: what was
+    seen before lies by its key and stays there, so diamonds cost nothing and cycles end.
     """
     key = ["commit_id", "graph_id", "dir"]
-    frontier = cut(seeds.select(*key).distinct())
-    seen, result = Collected(), Collected()
-    seen.add(frontier)
+    up = edges.select(
+        "graph_id",
+        F.col("dep_path").alias("dir"),
+        F.col("graph_id").alias("to_graph_id"),
+        F.col("cfg_path").alias("to_dir"),
+    )
+    rounds = reach(seeds, up, key, ["graph_id", "dir"], max_rounds)
     # Whatever an edge leads to is a node, so only the seeds need the node check.
     known = nodes.select("graph_id", F.col("cfg_path").alias("dir"))
-    result.add(frontier.join(known, ["graph_id", "dir"], "left_semi").select(*key))
-    up = cut(edges.select("graph_id", F.col("dep_path").alias("dir"), "cfg_path").distinct())
-    rounds = 0
-    while not frontier.isEmpty():
-        if rounds == max_rounds:
-            raise RuntimeError(f"the closure did not end within {max_rounds} rounds")
-        found = frontier.join(up, ["graph_id", "dir"]).select(
-            "commit_id", "graph_id", F.col("cfg_path").alias("dir")
-        )
-        # One hash aggregate both removes repeats and drops what was seen before.
-        frontier = cut(
-            found.withColumn("_old", F.lit(False))
-            .unionByName(seen.frame.withColumn("_old", F.lit(True)))
-            .groupBy(*key)
-            .agg(F.bool_or("_old").alias("_old"))
-            .filter(~F.col("_old"))
-            .select(*key)
-        )
-        seen.add(frontier)
-        result.add(frontier)
-        rounds += 1
+    first = rounds[0] if rounds else seeds.select(*key).limit(0)
+    result = Grown()
+    for found in (first.join(known, ["graph_id", "dir"], "left_semi").select(*key), *rounds[1:]):
+        result.add(found)
     return result.frame.withColumnRenamed("dir", "cfg_path")
 
 
-def cyclic_dirs(edges: DataFrame) -> DataFrame:
-    """Directories on a dependency cycle, or on a path between two of them.
+def peel(items: DataFrame, members: DataFrame, needs: DataFrame, first: DataFrame, max_rounds: int | None = None) -> list[DataFrame]:
+    """Items in topological order, one frame of ``item`` a round.
 
-    Edges that lead out of or into nothing cyclic are peeled off until none is left to peel.
+    ``items`` has ``item`` for each that may come off; ``members`` is ``gate, item``; ``needs`` is
+    ``item, gate``: an item waits until its gates are empty. The first round takes off the items
+    that wait for nothing, and those of ``first``, which need not be among ``items``, leave their
+    gates after it. Open gates of an item and members of a gate are counted once; a round
+    subtracts what the last one took off, so each row is moved once, however many rounds follow.
     """
-    left = cut(edges.select("graph_id", "cfg_path", "dep_path").distinct())
-    n = left.count()
-    while n:
-        heads = left.select("graph_id", F.col("cfg_path").alias("dep_path")).distinct()
-        tails = left.select("graph_id", F.col("dep_path").alias("cfg_path")).distinct()
-        left = cut(
-            left.join(heads, ["graph_id", "dep_path"], "left_semi").join(
-                tails, ["graph_id", "cfg_path"], "left_semi"
-            )
-        )
-        before, n = n, left.count()
-        if n == before:
-            break
-    return left.select("graph_id", "cfg_path").distinct()
+    size = members.groupBy("gate").agg(F.count(F.lit(1)).alias("n"))
+    needs = needs.select("item", "gate").distinct().join(size.select("gate"), "gate", "left_semi")
+    needs = cut(needs)
+    # The waiting items of a gate are spread, and an empty gate goes to each share of them.
+    held = dealt(needs.withColumn("_salt", F.pmod(F.hash("item"), F.lit(SALTS))), ["gate", "_salt"])
+    members = dealt(members, ["item"])
+    gates, gate_log = stay(size.select("gate", F.col("n"), F.lit(False).alias("hit"))), Grown()
+    waits = needs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    counts, count_log = stay(waits.select("item", "n", F.lit(False).alias("hit"))), Grown()
+    items = dealt(items.select("item").distinct(), ["item"])
+    free = stay(items.join(counts, "item", "left_anti"))
+    first = dealt(first.select("item").distinct(), ["item"])
+    rounds, off = [], stay(free.unionByName(first).distinct())
+    while not off.isEmpty():
+        if len(rounds) == max_rounds:
+            raise RuntimeError(f"the waves did not end within {max_rounds} rounds")
+        rounds.append(free)
+        left = off.hint("shuffle_hash").join(members, "item").groupBy("gate").agg(F.count(F.lit(1)).alias("n"))
+        empty = _used_up(left, gates, gate_log, "gate")
+        copies = empty.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        opened = copies.hint("shuffle_hash").join(held, ["gate", "_salt"]).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+        ready = _used_up(opened, counts, count_log, "item")
+        free = off = stay(ready.hint("shuffle_hash").join(items, "item", "left_semi"))
+    return rounds
+
+
+def _used_up(delta: DataFrame, totals: DataFrame, log: Grown, key: str) -> DataFrame:
+    """Keys of ``delta`` whose total is now reached; ``delta`` joins the ``log``, the rest stays put."""
+    delta = stay(delta.select(key, (-F.col("n")).alias("n"), F.lit(False).alias("hit")))
+    touched = delta.select(key, F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("hit"))
+    log.add(delta)
+    rest = totals.unionByName(log.frame).unionByName(touched).groupBy(key)
+    rest = rest.agg(F.sum("n").alias("n"), F.bool_or("hit").alias("hit"))
+    return stay(rest.filter(F.col("hit") & (F.col("n") == 0)).select(key))
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """``node, component`` of every node on a cycle of the edges ``a -> b``; the greatest node names it.
+
+    Nodes that lead to no cycle, or that none leads to, are peeled off. Then every node takes the
+    greatest node that reaches it as its colour; those that reach back to the node they are
+    named after, within its colour, are its component. What is left goes round again.
+    """
+    edges = cut(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL").distinct())
+    for source, target in (("a", "b"), ("b", "a")):
+        needs = edges.select(F.col(source).alias("item"), F.col(target).alias("gate"))
+        nodes = edges.select(F.col("a").alias("item")).unionByName(edges.select(F.col("b").alias("item"))).distinct()
+        members = nodes.select(F.col("item").alias("gate"), "item")
+        rounds = peel(nodes, members, needs, nodes.limit(0))
+        if rounds:
+            gone = Grown()
+            for r in rounds:
+                gone.add(r)
+            edges = _without(edges, gone.frame.withColumnRenamed("item", "node"))
+    out = Grown()
+    while not edges.isEmpty():
+        found = _one_colouring(edges)
+        # A node alone is on a cycle only if it leads to itself.
+        several = found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
+        itself = edges.where("a = b").select(F.col("a").alias("node"))
+        out.add(cut(found.join(several, "component", "left_semi").unionByName(found.join(itself, "node", "left_semi")).distinct()))
+        edges = _without(edges, found.select("node"))
+    empty = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
+    return out.frame if out else empty
+
+
+def _without(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges between other nodes."""
+    gone = cut(nodes)
+    for end in ("a", "b"):
+        edges = edges.join(gone.withColumnRenamed("node", end), end, "left_anti")
+    return cut(edges.select("a", "b"))
+
+
+def _one_colouring(edges: DataFrame) -> DataFrame:
+    """The components that hold the greatest node that reaches them."""
+    down = salted(edges.select(F.col("a").alias("node"), F.col("b").alias("to")), ["node"])
+    nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    colours = Grown()
+    changed = stay(nodes.select("node", F.col("node").alias("colour")))
+    while not changed.isEmpty():
+        colours.add(changed)
+        sent = along(changed, down, ["node"], F.col("colour")).groupBy(F.col("to").alias("node")).agg(F.max("colour").alias("colour"))
+        known = colours.frame.select("node", "colour", F.lit(True).alias("old"))
+        best = sent.withColumn("old", F.lit(False)).unionByName(known).groupBy("node")
+        best = best.agg(F.max("colour").alias("colour"), F.max(F.when(F.col("old"), F.col("colour"))).alias("before"))
+        changed = stay(best.filter("colour > before").select("node", "colour"))
+    colour = stay(colours.frame.groupBy("node").agg(F.max("colour").alias("colour")))
+    ends = edges.join(colour.withColumnRenamed("node", "a"), "a").withColumnRenamed("colour", "colour_a")
+    same = ends.join(colour.withColumnRenamed("node", "b"), "b").where("colour = colour_a")
+    back = same.select(F.col("b").alias("node"), F.col("a").alias("to_node"))
+    roots = colour.where("node = colour").select("node", F.col("node").alias("component"))
+    # Edges of different colours are gone, so a node is reached from the root of its colour alone.
+    rounds, found = reach(roots, back, ["component", "node"], ["node"]), Grown()
+    for r in rounds:
+        found.add(r)
+    return cut(found.frame.select("node", "component"))
+
+
+def cycle_members(edges: DataFrame) -> DataFrame:
+    """``graph_id, cfg_path, cycle`` of the directories on a dependency cycle.
+
+    A directory that depends on a cycle or lies between two is on none. Those that reach each
+    other share a ``cycle``, the greatest of them.
+    """
+    node = lambda c: F.struct("graph_id", F.col(c).alias("cfg_path"))
+    found = strong_components(edges.select(node("cfg_path").alias("a"), node("dep_path").alias("b")))
+    return found.select("node.*", F.col("component.cfg_path").alias("cycle"))
+
+
+def cyclic_dirs(edges: DataFrame) -> DataFrame:
+    """Directories on a dependency cycle."""
+    return cycle_members(edges).select("graph_id", "cfg_path")
 
 
 def plan_scan_diff(plan_diff: DataFrame, dim: DataFrame) -> DataFrame:
@@ -249,16 +341,20 @@ def ready_frontier(
     )
 
 
-def deploy_waves(
-    runs: DataFrame, max_rounds: int | None = None, deps: DataFrame | None = None
-) -> DataFrame:
-    """``commit_id, execution_id, wave, blocked`` of every waiting run if all that start succeed.
+def _gate(kind: str, name: Column) -> Column:
+    """What runs wait for: a directory or an account of their commit, while it has pending runs."""
+    return F.struct(*_SCOPE, F.lit(kind).alias("kind"), name.alias("name"))
 
-    Wave 1 is the frontier now; what is running counts as done after wave 1. A run behind a
-    failure or on a cycle never starts. Each round keeps only pending runs and
-    dependencies that still block, so the work shrinks with the rounds.
-    """
-    columns = [*_SCOPE, "execution_id", "cfg_path", "account_name", "account_deps", "status"]
+
+class _Pending(NamedTuple):
+    """Pending runs, the gates they keep open, and the gates that waiting ones wait for."""
+
+    runs: DataFrame
+    members: DataFrame
+    needs: DataFrame
+
+
+def _pending(runs: DataFrame, deps: DataFrame | None) -> _Pending:
     blocking = runs.filter(F.col("status").isin(*BLOCKING))
     unknown = F.col("cfg_deps").isNull() if "cfg_deps" in runs.columns else F.lit(False)
     if deps is not None:
@@ -266,46 +362,90 @@ def deploy_waves(
         blocking = blocking.join(held, "execution_id", "left")
         unknown = unknown & F.col("_held").isNull()
     pending = cut(
-        blocking.select(*columns, (F.col("account_deps").isNull() | unknown).alias("_stuck"))
-    )
-    edges = run_deps(blocking.filter(F.col("status") == "waiting"), deps)
-    done = Collected()
-    wave = 0
-    while True:
-        dirs = pending.select(*_SCOPE, F.col("cfg_path").alias("dep_path")).distinct()
-        edges = cut(edges.join(dirs, [*_SCOPE, "dep_path"], "left_semi"))
-        by_account = blocked_account_lists(pending).withColumn("_account", F.lit(True))
-        by_dir = edges.select("execution_id").distinct().withColumn("_dir", F.lit(True))
-        marked = cut(
-            pending.join(by_account, [*_SCOPE, "account_deps"], "left")
-            .join(by_dir, "execution_id", "left")
-            .withColumn(
-                "_ready",
-                (F.col("status") == "waiting")
-                & ~F.col("_stuck")
-                & F.col("_account").isNull()
-                & F.col("_dir").isNull(),
-            )
-            .select(*columns, "_stuck", "_ready")
+        blocking.select(
+            *_SCOPE, F.col("execution_id").alias("item"), "cfg_path", "account_name", "account_deps", "status",
+            (F.col("account_deps").isNull() | unknown).alias("stuck"),
         )
-        wave += 1
-        ready = marked.filter("_ready")
-        leaves = F.col("_ready")
-        if wave == 1:
-            leaves = leaves | (F.col("status") == "running")
-        if marked.filter(leaves).isEmpty():
-            break
-        if wave - 1 == max_rounds:
-            raise RuntimeError(f"the waves did not end within {max_rounds} rounds")
-        done.add(ready.select("commit_id", "execution_id", F.lit(wave).alias("wave")))
-        pending = marked.filter(~leaves).select(*columns, "_stuck")
-        started_ids = ready.select("execution_id")
-        edges = edges.join(started_ids, "execution_id", "left_anti")
-    left = pending.filter(F.col("status") == "waiting").select(
-        "commit_id", "execution_id", F.lit(None).cast("int").alias("wave")
-    )
-    done.add(left)
-    return done.frame.withColumn("blocked", F.col("wave").isNull())
+    )
+    both = F.array(_gate("dir", F.col("cfg_path")), _gate("account", F.col("account_name")))
+    members = pending.select("item", F.explode(both).alias("gate")).where("gate.name IS NOT NULL")
+    waiting = blocking.filter(F.col("status") == "waiting")
+    by_dir = run_deps(waiting, deps).select(F.col("execution_id").alias("item"), _gate("dir", F.col("dep_path")).alias("gate"))
+    accounts = pending.filter(F.col("status") == "waiting").select(*_SCOPE, "item", F.explode("account_deps").alias("name"))
+    by_account = accounts.where("name IS NOT NULL").select("item", _gate("account", F.col("name")).alias("gate"))
+    return _Pending(pending, members, by_dir.unionByName(by_account))
+
+
+def deploy_waves(
+    runs: DataFrame, max_rounds: int | None = None, deps: DataFrame | None = None
+) -> DataFrame:
+    """``commit_id, execution_id, wave, blocked`` of every waiting run if all that start succeed.
+
+    Wave 1 is the frontier now; what is running counts as done after wave 1. A run behind a
+    failure or on a cycle never starts. Open dependencies are counted once, and a round
+    subtracts what the last wave releases (see :func:`peel`).
+    """
+    pending, members, needs = _pending(runs, deps)
+    able = pending.filter((F.col("status") == "waiting") & ~F.col("stuck"))
+    rounds = peel(able.select("item"), members, needs, pending.filter("status = 'running'").select("item"), max_rounds)
+    waves = Grown()
+    for number, started in enumerate(rounds, 1):
+        waves.add(started.select("item", F.lit(number).alias("wave")))
+    waiting = pending.filter("status = 'waiting'").select("commit_id", "item")
+    found = waiting.join(waves.frame, "item", "left") if rounds else waiting.withColumn("wave", F.lit(None).cast("int"))
+    return found.select("commit_id", F.col("item").alias("execution_id"), "wave", F.col("wave").isNull().alias("blocked"))
+
+
+def blocked_reasons(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame:
+    """Why waiting runs never start: ``commit_id, execution_id, on_cycle, behind_cycle, behind_failure, unknown``.
+
+    A run is on a cycle if it waits, over other waiting runs, for itself; behind one if it waits
+    for such a run without being one of the same cycle. It is behind a failure if it waits
+    for a failed or aborted run. ``unknown`` tells that it has no known dependency list, or waits
+    for one without.
+    """
+    pending, members, needs = _pending(runs, deps)
+    waves = deploy_waves(runs, deps=deps)
+    stays = waves.filter("blocked").select(F.col("execution_id").alias("item"))
+    broken = pending.filter("status IN ('failed', 'aborted')").select("item")
+    left = cut(stays.unionByName(broken))
+    members = cut(members.join(left, "item", "left_semi"))
+    needs = cut(needs.join(left, "item", "left_semi").join(members.select("gate").distinct(), "gate", "left_semi"))
+    # A run and a gate it keeps open, and a gate and a run that waits for it, as one graph.
+    run, gate = F.struct(F.col("item"), F.lit(None).cast(members.schema["gate"].dataType).alias("gate")), F.struct(F.lit(None).cast("string").alias("item"), "gate")
+    opens = members.select(run.alias("node"), gate.alias("to_node")).unionByName(needs.select(gate.alias("node"), run.alias("to_node")))
+    opens = cut(opens.distinct())
+    cycles = cut(strong_components(opens.select(F.col("node").alias("a"), F.col("to_node").alias("b"))))
+    at = F.struct(F.col("item"), F.lit(None).cast(members.schema["gate"].dataType).alias("gate")).alias("node")
+    seeds = {
+        "behind_failure": broken.select(at),
+        "unknown": pending.filter("stuck AND status = 'waiting'").select(at),
+    }
+    flagged = stays
+    for name, seed in seeds.items():
+        hit = Grown()
+        for r in reach(seed, opens, ["node"], ["node"]):
+            hit.add(r)
+        flagged = _flagged(flagged, hit, name)
+    # From each cycle on to what isn't on the same one.
+    start = cycles.select("node", F.col("component").alias("cycle"))
+    hit = Grown()
+    for r in reach(start, opens, ["cycle", "node"], ["node"]):
+        hit.add(r)
+    own = cycles.select("node", F.col("component").alias("cycle"))
+    flagged = flagged.join(own.select(F.col("node.item").alias("item")).where("item IS NOT NULL").distinct().withColumn("on_cycle", F.lit(True)), "item", "left")
+    behind = hit.frame.join(own, ["node", "cycle"], "left_anti") if hit else start.limit(0)
+    behind = behind.select(F.col("node.item").alias("item")).where("item IS NOT NULL").distinct().withColumn("behind_cycle", F.lit(True))
+    flagged = flagged.join(behind, "item", "left").join(pending.select("item", "commit_id"), "item")
+    flags = ["on_cycle", "behind_cycle", "behind_failure", "unknown"]
+    return flagged.select("commit_id", F.col("item").alias("execution_id"), *[F.coalesce(c, F.lit(False)).alias(c) for c in flags])
+
+
+def _flagged(items: DataFrame, hit: Grown, name: str) -> DataFrame:
+    if not hit:
+        return items.withColumn(name, F.lit(False))
+    found = hit.frame.select(F.col("node.item").alias("item")).where("item IS NOT NULL").distinct()
+    return items.join(found.withColumn(name, F.lit(True)), "item", "left")
 
 
 def rollback_stack(

@@ -70,6 +70,14 @@ def runs(t: Tables) -> DataFrame:
     )
 
 
+def looped_runs(t: Tables) -> DataFrame:
+    """Runs of which some wait for each other."""
+    back = t["back_edge"].select("cfg_path", F.array("dep_path").alias("_back"))
+    found = runs(t).join(back, "cfg_path", "left")
+    deps = F.concat("cfg_deps", F.coalesce("_back", empty_list()))
+    return found.withColumn("cfg_deps", deps).select(RUN_COLUMNS)
+
+
 def mixed_runs(t: Tables) -> DataFrame:
     """Runs of which some commits already have rollback rows."""
     return t["run_base"].withColumn(

@@ -221,6 +221,30 @@ _WAVES = """
   join (select execution_id, max(k) as k from reach group by 1) m on m.execution_id = p.execution_id
   where p.status = 'waiting'"""
 
+# Who waits for whom, over all runs between; back edges close cycles.
+_REASONS = """
+  with recursive pend as (select r.*, d.dep_name from {run_base} r
+      left join {account_dep} d on d.account_name = r.account_name where status <> 'succeeded'),
+  edge as (select cfg_key, dep_path from {cfg_edge} union select cfg_key, dep_path from {back_edge}),
+  dep as (
+    select w.execution_id, p.execution_id as on_id, p.status from pend w
+    join edge e on e.cfg_key = w.cfg_key join pend p on p.commit_id = w.commit_id and p.cfg_path = e.dep_path
+    where w.status = 'waiting'
+    union
+    select w.execution_id, p.execution_id, p.status from pend w
+    join pend p on p.commit_id = w.commit_id and p.account_name = w.dep_name where w.status = 'waiting'),
+  r as (select * from dep union select r.execution_id, d.on_id, d.status from r join dep d on d.execution_id = r.on_id),
+  looped as (select execution_id from r where execution_id = on_id),
+  flags as (
+    select execution_id, bool_or(execution_id = on_id) as on_cycle, bool_or(status in ('failed', 'aborted')) as behind_failure
+    from r group by 1),
+  behind as (
+    select distinct r.execution_id from r join looped l on l.execution_id = r.on_id
+    where not exists (select 1 from r b where b.execution_id = r.on_id and b.on_id = r.execution_id))
+  select commit_id, p.execution_id, on_cycle, b.execution_id is not null as behind_cycle, behind_failure
+  from pend p join flags f on f.execution_id = p.execution_id left join behind b on b.execution_id = p.execution_id
+  where p.status = 'waiting' and (on_cycle or behind_failure or b.execution_id is not null)"""
+
 _MARKED = r"""regexp_replace(regexp_replace(text, '(?m)^([^\S ]*) (\s*)([+\-~])', '\1\3\2 ', 'g'),
   '(?m)^([^\S ]*)~', '\1!', 'g')"""
 
@@ -514,6 +538,13 @@ _SQL = {
       left join deps d on d.commit_id = c.commit_id and d.cfg_path = c.cfg_path""",
     "ready_frontier": _READY,
     "deploy_waves": _WAVES,
+    "blocked_reasons": _REASONS,
+    "cycle_members": """
+      with recursive r as (
+        select graph_id, cfg_path as a, dep_path as b from {loop_edge}
+        union select r.graph_id, r.a, e.dep_path from r join {loop_edge} e on e.graph_id = r.graph_id and e.cfg_path = r.b)
+      select graph_id, a as cfg_path, max(b) as cycle from r
+      where exists (select 1 from r s where s.graph_id = r.graph_id and s.a = r.b and s.b = r.a) group by 1, 2""",
     "rollback_stack": f"""
       with created as (select * from ({_CREATED}) where commit_id in (select commit_id from {{run_base}} where status = 'failed')),
       deps as (select d.execution_id, string_agg(c.cfg_path, '|' order by encode(c.cfg_path)) as cfg_deps from created c

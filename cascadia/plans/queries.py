@@ -650,6 +650,16 @@ def deploy_waves(t):
     return G.deploy_waves(P.runs(t))
 
 
+@query
+def blocked_reasons(t):
+    return G.blocked_reasons(P.looped_runs(t)).drop("unknown")
+
+
+@query
+def cycle_members(t):
+    return G.cycle_members(t["loop_edge"])
+
+
 def _failed(t):
     return t["run_base"].filter(F.col("status") == "failed").select("commit_id").distinct()
 

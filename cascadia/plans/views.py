@@ -82,6 +82,17 @@ VIEWS = {
         select c.account_name, c.cfg_key, c.cfg_path, d.cfg_path as dep_path, 1 as pos
         from {cfg_node} c join {cfg_node} d on d.cfg_key = c.cfg_key - 50
         where cast(floor(c.cfg_key / 25) as bigint) % 3 = 0""",
+    # Graphs of 24 directories; dependencies lead on by a few steps and from the last ones back.
+    "loop_edge": """
+        select 'graph-'||cast(g as varchar(20)) as graph_id, 'dir/'||cast(p as varchar(20)) as cfg_path,
+               'dir/'||cast(case when p + 1 + p * 7 % 5 < 24 then p + 1 + p * 7 % 5 else (g + p) % 19 end as varchar(20)) as dep_path
+        from (select cast(floor(c_custkey / 24) as bigint) as g, c_custkey % 24 as p from {customer})
+        where (g + p) % 9 <> 8""",
+    # Dependencies of a directory on one that depends on it in turn.
+    "back_edge": """
+        select c.cfg_key, c.cfg_path, d.cfg_path as dep_path
+        from {cfg_node} c join {cfg_node} d on d.cfg_key = c.cfg_key + 50
+        where cast(floor(c.cfg_key / 25) as bigint) % 4 = 1""",
     "changed_file": """
         select l_suppkey as pr_id, l_orderkey, md5(cast(l_suppkey as varchar(20))) as commit_id, account_name,
                cfg_path||'/f'||cast(l_linenumber as varchar(20))||

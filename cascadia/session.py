@@ -38,24 +38,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
-class Collected:
-    """A union that grows by one frame per round and is stored anew every ``fold`` rounds.
-
-    Without that, a long chain of rounds would make an ever wider plan.
-    """
-
-    def __init__(self, fold: int = 16):
-        self.fold = fold
-        self.frame: DataFrame | None = None
-        self._parts = 0
-
-    def add(self, df: DataFrame) -> None:
-        self.frame = df if self.frame is None else self.frame.unionByName(df)
-        self._parts += 1
-        if self._parts == self.fold:
-            self.frame, self._parts = cut(self.frame), 1
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
 
