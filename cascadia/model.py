@@ -69,6 +69,7 @@ NO_PATH_MATCH = "No diff filepath was matched within pattern: "
 REQUEST_OK = "Request was successful"
 NOT_FOUND = "Not Found"
 LOCKED_TEXT = "Locked -- In Progress PR #"
+RUN_STATUS_TEXT = "Step Function Execution"
 UNLOCKED_TEXT = "Unlocked"
 VOTE_OK = "Vote was successfully submitted"
 BAD_ACTION = "action is not approve or reject"

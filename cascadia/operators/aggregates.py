@@ -122,13 +122,17 @@ def adjacency(nodes: DataFrame, edges: DataFrame, page_rows: int = PAGE_ROWS) ->
     )
 
 
-def waiting_commits(runs: DataFrame) -> DataFrame:
-    """Distinct waiting ``(commit_id, is_rollback)``; ``conflict`` if there is more than one."""
-    waiting = (
-        runs.filter(F.col("status") == "waiting").select("commit_id", "is_rollback").distinct()
-    )
-    n = waiting.agg(F.count(F.lit(1))).scalar()
-    return waiting.withColumn("conflict", n > 1)
+def waiting_commits(runs: DataFrame, repo: str | None = None) -> DataFrame:
+    """Distinct waiting ``(commit_id, is_rollback)``; ``conflict`` if there is more than one.
+
+    With ``repo``, a column of ``runs``, they are counted within each repository.
+    """
+    scope = [] if repo is None else [repo]
+    waiting = runs.filter(F.col("status") == "waiting").select(*scope, "commit_id", "is_rollback").distinct()
+    n = F.count(F.lit(1)).alias("n")
+    if repo is None:
+        return waiting.withColumn("conflict", waiting.agg(n).scalar() > 1)
+    return waiting.join(waiting.groupBy(repo).agg(n), repo).select(*waiting.columns, (F.col("n") > 1).alias("conflict"))
 
 
 def required_status_count(

@@ -66,8 +66,9 @@ def run_event_filter(
     )
 
 
-def commit_state(runs: DataFrame) -> DataFrame:
+def commit_state(runs: DataFrame, *more: str) -> DataFrame:
     return runs.select(
+        *more,
         "execution_id",
         "commit_id",
         F.when(F.col("status").isin(*BROKEN), "failure").otherwise("success").alias("state"),

@@ -435,13 +435,14 @@ def plan_fanout(prs: DataFrame, files: DataFrame, dim: DataFrame) -> DataFrame:
     """One plan job per open PR, account and added or modified configuration directory.
 
     PRs and files are keyed by ``repo, pr_id``; only the files of the given PRs are cut into
-    directories.
+    directories. Where accounts have a ``repo``, a file only meets those of its own.
     """
-    accounts = dim.select("account_name", "account_path", "plan_role_arn")
+    owner = ["repo"] if "repo" in dim.columns else []
+    accounts = dim.select("account_name", "account_path", "plan_role_arn", *owner)
     key = ["repo", "pr_id"]
     own = files.join(prs.select(*key).distinct(), key, "left_semi")
     dirs = config_dirs(own, key, OPEN_STATUSES)
-    jobs = under_accounts(dirs, accounts, F.col("dir")).select(
+    jobs = under_accounts(dirs, accounts, F.col("dir"), owner).select(
         *key,
         "account_name",
         F.col("dir").alias("cfg_path"),

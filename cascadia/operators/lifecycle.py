@@ -1,21 +1,23 @@
 """What events do to runs: status updates, failure cascade, rollback, locks, starts."""
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascadia.functions.lists import PAGE_ROWS
 from cascadia.model import (
     BROKEN,
     FILE_PATH_PATTERN,
     IN_PROGRESS,
     ROLLBACK_FAILED,
     RUN_COLUMNS,
+    RUN_STATUS_TEXT,
     STATES,
     UNLOCKED,
 )
 from cascadia.operators.filters import (
+    commit_state,
     signature_check,
     webhook_outcome,
     webhook_route,
@@ -151,8 +153,8 @@ def lock_values(last: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def step_outcome(step_events: DataFrame) -> DataFrame:
-    """``execution_id, path, status`` from a run's step events.
+def step_outcome(step_events: DataFrame, key: Sequence[str] = ("execution_id",)) -> DataFrame:
+    """``execution_id, path, status`` from a run's step events; ``key`` may add columns of the run.
 
     A run enters a state at most once, so its path is the first entry of each of the fixed
     states: six numbers per run, however often an event was delivered.
@@ -167,7 +169,7 @@ def step_outcome(step_events: DataFrame) -> DataFrame:
         return F.coalesce(F.bool_or(condition), F.lit(False))
 
     succeeded = F.col("type") == "TaskSucceeded"
-    facts = step_events.groupBy("execution_id").agg(
+    facts = step_events.groupBy(*key).agg(
         *first,
         seen(F.col("type") == "TaskFailed").alias("_task_failed"),
         seen(succeeded & (F.col("state") == "Request Approval") & (F.col("output") == '"reject"')).alias(
@@ -191,7 +193,7 @@ def step_outcome(step_events: DataFrame) -> DataFrame:
         )
     )
     return facts.select(
-        "execution_id",
+        *key,
         F.array_join(steps.getField("state"), " > ").alias("path"),
         F.when(F.col("_task_failed") | F.col("_rejected"), "failed")
         .when(F.col("_approved") & F.col("_applied"), "succeeded")
@@ -204,17 +206,39 @@ class Advance(NamedTuple):
     runs: DataFrame
     inputs: DataFrame
     errors: DataFrame
+    statuses: DataFrame
     long_deps: DataFrame
 
 
+def finished_statuses(finished: DataFrame) -> DataFrame:
+    """The commit status that each finished run sends: ``event_id, commit_id, context, state, description``."""
+    return commit_state(finished, "event_id").select(
+        "event_id",
+        "commit_id",
+        F.col("execution_id").alias("context"),
+        "state",
+        F.lit(RUN_STATUS_TEXT).alias("description"),
+    )
+
+
+def lock_release(runs: DataFrame) -> DataFrame:
+    """``repo, lock_value`` of the repositories in which nothing waits or runs any more: the lock goes.
+
+    Where something does, the flow goes on and the lock stays as it is.
+    """
+    busy = runs.groupBy("repo").agg(F.bool_or(F.col("status").isin(*IN_PROGRESS)).alias("busy"))
+    return busy.filter(~F.coalesce("busy", F.lit(False))).select("repo", F.lit(UNLOCKED).alias("lock_value"))
+
+
 def advance(
-    runs: DataFrame, finished: DataFrame, known_deps: DataFrame | None = None
+    runs: DataFrame, finished: DataFrame, known_deps: DataFrame | None = None, limit: int | None = None
 ) -> Advance:
-    """Everything finished runs lead to: status, abort, rollback rows, and what starts next.
+    """Everything finished runs lead to: status, abort, rollback rows, commit statuses, what starts next.
 
-    ``known_deps`` holds earlier dependency lists too long for a row; ``long_deps`` of the
-    result adds those of the new rollback rows. ``errors`` holds failed rollbacks and the
-    events whose ``error`` says that they could not be read.
+    Only the commits that an event names are worked on; all others pass through, but for runs that
+    may start. New rows have whole dependency lists, as each input is one document. With a
+    ``limit``, longer ones are NULL and in ``long_deps``, and ``known_deps`` holds earlier ones.
+    ``errors`` holds failed rollbacks and the events whose ``error`` says that they could not be read.
     """
     # Status, cascade and rollback all read the events, so they are stored once.
     error = F.col("error") if "error" in finished.columns else F.lit(None).cast("string")
@@ -226,12 +250,17 @@ def advance(
     # An event that lacks a field may not be guessed at: it changes nothing and is reported.
     unread = finished.filter(F.col("error").isNotNull()).select("execution_id", "commit_id", "error")
     finished = finished.filter(F.col("error").isNull())
-    after = rollback_on_failure(cut(run_status_apply(runs, finished)), finished, known_deps, PAGE_ROWS)
-    rows = cut(after.runs)
-    lists = cut(after.stack.long_deps(PAGE_ROWS))
-    deps = lists if known_deps is None else known_deps.unionByName(lists)
+    named = runs.join(finished.select("execution_id").distinct(), "execution_id", "left_semi").select("commit_id")
+    commits = cut(finished.select("commit_id").unionByName(named).distinct())
+    mine = cut(run_status_apply(runs.join(commits, "commit_id", "left_semi").select(runs.columns), finished))
+    after = rollback_on_failure(mine, finished, known_deps, limit)
+    rest = runs.join(commits, "commit_id", "left_anti").select(RUN_COLUMNS)
+    rows = rest.unionByName(cut(after.runs))
+    lists = cut(after.stack.long_deps(limit))
+    deps = known_deps if limit is None else lists if known_deps is None else known_deps.unionByName(lists)
     started = start_ready(rows, deps=deps)
-    return Advance(started.runs, started.inputs, after.errors.unionByName(unread), lists)
+    errors = after.errors.unionByName(unread)
+    return Advance(started.runs, started.inputs, errors, finished_statuses(finished), lists)
 
 
 class Started(NamedTuple):

@@ -492,6 +492,23 @@ _SQL = {
     "adjacency": """
       select n.account_name as graph_id, n.cfg_path, cast(0 as bigint) as page, coalesce(string_agg(dep_path, '|' order by pos), '') as deps
       from {cfg_node} n left join {cfg_edge} e on e.cfg_key = n.cfg_key group by 1, 2""",
+    "waiting_commits_by_repo": f"""
+      select repo, commit_id, is_rollback, count(*) over (partition by repo) > 1 as conflict from (
+        select distinct repo, commit_id, is_rollback from ({_REPO_RUN}) where status = 'waiting' and pr_id % 4 = 0)""",
+    "finished_statuses": f"""
+      select event_id, json_extract_string(doc, '$.commit_id') as commit_id, json_extract_string(doc, '$.execution_id') as context,
+             case when state in ('failed', 'aborted') then 'failure' else 'success' end as state, '{M.RUN_STATUS_TEXT}' as description
+      from (select *, case when output is null then lower(status) else json_extract_string(output, '$.status') end as state,
+              coalesce(output, input) as doc from {{run_event_doc}} where event_id in (select event_id from ({_FINISHED})))""",
+    "lock_release": f"""
+      select repo, 'none' as lock_value from ({_REPO_RUN}) group by 1
+      having not bool_or(pr_id % 5 = 0 and status in ('waiting', 'running'))""",
+    "plan_fanout_by_repo": f"""
+      select distinct repo, pr_id, b.account_name, {_CONFIG_DIR} as cfg_path, b.plan_role_arn as role_arn,
+             'Plan: '||{_CONFIG_DIR} as context
+      from {{pr_file}} f join {{orders}} on o_orderkey = pr_id and o_orderstatus = 'O'
+      join {{account_base}} b on starts_with(f.filename, b.account_path||'/') and o_custkey % 25 = b.account_key
+      where {_IS_CONFIG} and status in ('added','modified')""",
     "waiting_commits": f"""
       select commit_id, is_rollback, count(*) over () > 1 as conflict from (
         select distinct commit_id, mixed as is_rollback from ({_MIXED}) where status = 'waiting')""",

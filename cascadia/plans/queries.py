@@ -565,6 +565,12 @@ def waiting_commits(t):
     return A.waiting_commits(P.mixed_runs(t))
 
 
+@query
+def waiting_commits_by_repo(t):
+    runs = P.repo_runs(t).where(F.col("pr_id") % 4 == 0)
+    return A.waiting_commits(runs, "repo")
+
+
 @query
 def required_status_count(t):
     expected = t["orders"].select(
@@ -757,6 +763,29 @@ def merge_lock(t):
     return L.merge_lock(P.repo_runs(t), t["build"])
 
 
+@query
+def finished_statuses(t):
+    return L.finished_statuses(P.finished(t).where("error IS NULL"))
+
+
+@query
+def lock_release(t):
+    """Repositories of which nothing is left to do, on runs of which most have ended."""
+    ended = F.when(F.col("pr_id") % 5 == 0, F.col("status")).otherwise("succeeded")
+    return L.lock_release(P.repo_runs(t).withColumn("status", ended))
+
+
+@query
+def plan_fanout_by_repo(t):
+    """Plan jobs where an account belongs to one of the repositories that name it."""
+    open_prs = t["orders"].filter(F.col("o_orderstatus") == "O")
+    prs = open_prs.select(F.concat(F.lit("org/repo-"), F.col("o_custkey").cast("string")).alias("repo"), F.col("o_orderkey").alias("pr_id"))
+    dim = P.dim(t).join(t["nation"].select(F.col("n_name").alias("account_name"), "n_nationkey"), "account_name")
+    owners = t["customer"].select(F.col("c_custkey"), F.concat(F.lit("org/repo-"), F.col("c_custkey").cast("string")).alias("repo"))
+    owned = dim.join(owners, F.col("c_custkey") % 25 == F.col("n_nationkey")).drop("c_custkey", "n_nationkey")
+    return J.plan_fanout(prs, t["pr_file"], owned)
+
+
 @query
 def step_outcome(t):
     return L.step_outcome(t["step_event"])

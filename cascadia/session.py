@@ -13,6 +13,8 @@ _SKEW_SETTINGS = {
     # Sort-free joins where every build partition is measured to be small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # Keyed state of any number of values a key (votes of a run) lies in this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

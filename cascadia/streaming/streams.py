@@ -1,10 +1,11 @@
-"""Event streams: webhooks, finished runs, votes, stack builds.
+"""Event streams: webhooks, finished runs, votes, steps, stack builds.
 
-State that outlives a micro-batch is a table snapshot (:class:`BucketStore`), and every
-micro-batch runs the batch operators, so both forms give the same rows.
+Finished runs change a table in place (:class:`LiveTable`), votes and steps live in Spark's keyed
+state, and the other forms run the batch operators on each micro-batch.
 """
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,19 +13,13 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from cascadia.model import FILE_PATH_PATTERN, RUN_COLUMNS
 from cascadia.operators.filters import run_event_filter
-from cascadia.operators.lifecycle import advance, lock_values, webhook_jobs
-from cascadia.operators.votes import Tally, decisions, in_time, members_after
+from cascadia.operators.lifecycle import advance, lock_values, step_outcome, webhook_jobs
+from cascadia.operators.vote_requests import vote_outcome, vote_scan
+from cascadia.operators.votes import Tally
 from cascadia.session import cut
 from cascadia.sources.events import run_event_scan
-from cascadia.streaming.store import BucketStore
-
-# Vote state, both by run: the minima, counts and deciding vote, and who is on which list.
-VOTE_RUNS = (
-    "execution_id string, min_approval_count int, min_rejection_count int, n_approve bigint, "
-    "n_reject bigint, decided_by bigint, decision string"
-)
-VOTE_MEMBERS = "execution_id string, voter string, approve boolean, reject boolean"
-LONG_DEPS = "execution_id string, dep_path string"
+from cascadia.streaming.tables import LiveTable
+from cascadia.streaming.vote_state import counted_votes
 
 
 def _put(df: DataFrame, folder: str, batch_id: int) -> None:
@@ -50,81 +45,57 @@ def webhook_stream(
     return events.writeStream.foreachBatch(apply)
 
 
-def run_event_stream(
-    events: DataFrame, store: BucketStore, long_deps: BucketStore, out: str
-) -> DataStreamWriter:
+def run_event_stream(events: DataFrame, table: LiveTable, out: str) -> DataStreamWriter:
     """Apply finished-run events: status, abort, rollback, then start what became ready.
 
-    ``store`` holds the runs by ``commit_id``, so all a commit's rows are in one bucket;
-    ``long_deps`` the dependency lists too long for a row, by ``execution_id``. Start
-    inputs and failed rollbacks go to ``out``.
+    ``table`` holds the runs by ``commit_id``, so all a commit's rows are in one bucket. Start
+    inputs, commit statuses and failed rollbacks go to ``out``, by batch.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         finished = cut(run_event_scan(run_event_filter(batch)))
-        runs = cut(store.read(batch_id, store.touched(finished)))
-        unlisted = runs.filter(F.col("cfg_deps").isNull())
-        known = long_deps.read(batch_id, long_deps.touched(unlisted))
-        after = advance(runs, finished, known)
+        runs = cut(table.found_by(batch_id, finished))
+        after = advance(runs, finished)
+        rows = cut(after.runs.select(RUN_COLUMNS))
         _put(after.inputs, f"{out}/inputs", batch_id)
+        _put(after.statuses, f"{out}/statuses", batch_id)
         _put(after.errors, f"{out}/errors", batch_id)
-        if not after.long_deps.isEmpty():
-            old = long_deps.read(batch_id, long_deps.touched(after.long_deps))
-            long_deps.write(old.unionByName(after.long_deps), batch_id)
-        store.write(after.runs.select(RUN_COLUMNS), batch_id)
+        table.replace(rows)
 
     return events.writeStream.foreachBatch(apply)
 
 
 def vote_stream(
-    votes: DataFrame, run_store: BucketStore, member_store: BucketStore, out: str
+    votes: DataFrame, start: Tally, out: str, late: str = "1 day", keep: timedelta = timedelta(days=7)
+) -> DataStreamWriter:
+    """Decide runs as votes arrive; each vote comes out once, with its verdict (see ``counted_votes``)."""
+    return counted_votes(votes, start, late, keep).writeStream.format("parquet").option("path", out)
+
+
+def vote_request_stream(
+    requests: DataFrame, runs: DataFrame, secret: str, out: str
 ) -> DataStreamWriter:
-    """Decide runs as votes arrive; the stores hold :data:`VOTE_RUNS` and :data:`VOTE_MEMBERS`.
+    """Outcome of every vote request of each micro-batch, under ``out``; ``runs`` as ``vote_outcome`` takes them."""
 
-    Votes on a run decided earlier, or after the deciding vote of the same batch, come
-    out as not accepted and change nothing.
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        _put(vote_outcome(vote_scan(batch, secret), runs), f"{out}/outcomes", batch_id)
+
+    return requests.writeStream.foreachBatch(apply)
+
+
+def step_stream(steps: DataFrame, out: str, longest: str = "1 day") -> DataStreamWriter:
+    """Path and status of every run a micro-batch had steps of, under ``out``; the last batch holds.
+
+    ``steps`` has ``started``, when its run began. Steps may come in any order and again. A run
+    closes, and its state goes, when another has started ``longest`` after it.
     """
+    timed = steps.withColumn("started", F.col("started").cast("timestamp")).withWatermark("started", longest)
+    paths = step_outcome(timed, ["execution_id", "started"])
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        new = cut(batch)
-        touched = run_store.touched(new)
-        runs = cut(run_store.read(batch_id, touched))
-        members = cut(member_store.read(batch_id, touched))
-        undecided = runs.filter(F.col("decided_by").isNull())
-        on_open = cut(new.join(undecided.select("execution_id"), "execution_id", "left_semi"))
-        found = cut(decisions(Tally(undecided, members), on_open))
-        verdict = cut(in_time(found, on_open))
-        _put(found.drop("ts"), f"{out}/decisions", batch_id)
-        _put(
-            new.join(verdict, "vote_id", "left").select(
-                "vote_id", F.coalesce("accepted", F.lit(False)).alias("accepted")
-            ),
-            f"{out}/votes",
-            batch_id,
-        )
-        accepted = on_open.join(verdict.filter("accepted"), "vote_id", "left_semi")
-        members = cut(members_after(members, accepted))
-        counts = members.groupBy("execution_id").agg(
-            F.count_if("approve").alias("n_approve"), F.count_if("reject").alias("n_reject")
-        )
-        by = found.select("execution_id", F.col("vote_id").alias("_by"), "action")
-        after = (
-            runs.drop("n_approve", "n_reject")
-            .join(counts, "execution_id", "left")
-            .join(by, "execution_id", "left")
-            .withColumns(
-                {
-                    "n_approve": F.coalesce("n_approve", F.lit(0)),
-                    "n_reject": F.coalesce("n_reject", F.lit(0)),
-                    "decided_by": F.coalesce("decided_by", "_by"),
-                    "decision": F.coalesce("decision", "action"),
-                }
-            )
-        )
-        member_store.write(members, batch_id)
-        run_store.write(after, batch_id)
-
-    return votes.writeStream.foreachBatch(apply)
+        _put(batch, f"{out}/runs", batch_id)
+
+    return paths.writeStream.outputMode("update").foreachBatch(apply)
 
 
 def lock_stream(
