@@ -145,7 +145,7 @@ def _used_up(delta: DataFrame, totals: DataFrame, log: Grown, key: str) -> DataF
     log.add(delta)
     rest = totals.unionByName(log.frame).unionByName(touched).groupBy(key)
     rest = rest.agg(F.sum("n").alias("n"), F.bool_or("hit").alias("hit"))
-    return stay(rest.filter(F.col("hit") & (F.col("n") == 0)).select(key))
+    return rest.filter(F.col("hit") & (F.col("n") == 0)).select(key)
 
 
 def strong_components(edges: DataFrame) -> DataFrame:
@@ -346,7 +346,7 @@ def _gate(kind: str, name: Column) -> Column:
     return F.struct(*_SCOPE, F.lit(kind).alias("kind"), name.alias("name"))
 
 
-class _Pending(NamedTuple):
+class Pending(NamedTuple):
     """Pending runs, the gates they keep open, and the gates that waiting ones wait for."""
 
     runs: DataFrame
@@ -354,7 +354,8 @@ class _Pending(NamedTuple):
     needs: DataFrame
 
 
-def _pending(runs: DataFrame, deps: DataFrame | None) -> _Pending:
+def pending_runs(runs: DataFrame, deps: DataFrame | None = None) -> Pending:
+    """Pending runs (``item`` is the run's id) and the gates between them."""
     blocking = runs.filter(F.col("status").isin(*BLOCKING))
     unknown = F.col("cfg_deps").isNull() if "cfg_deps" in runs.columns else F.lit(False)
     if deps is not None:
@@ -373,7 +374,7 @@ def _pending(runs: DataFrame, deps: DataFrame | None) -> _Pending:
     by_dir = run_deps(waiting, deps).select(F.col("execution_id").alias("item"), _gate("dir", F.col("dep_path")).alias("gate"))
     accounts = pending.filter(F.col("status") == "waiting").select(*_SCOPE, "item", F.explode("account_deps").alias("name"))
     by_account = accounts.where("name IS NOT NULL").select("item", _gate("account", F.col("name")).alias("gate"))
-    return _Pending(pending, members, by_dir.unionByName(by_account))
+    return Pending(pending, members, by_dir.unionByName(by_account))
 
 
 def deploy_waves(
@@ -385,7 +386,7 @@ def deploy_waves(
     failure or on a cycle never starts. Open dependencies are counted once, and a round
     subtracts what the last wave releases (see :func:`peel`).
     """
-    pending, members, needs = _pending(runs, deps)
+    pending, members, needs = pending_runs(runs, deps)
     able = pending.filter((F.col("status") == "waiting") & ~F.col("stuck"))
     rounds = peel(able.select("item"), members, needs, pending.filter("status = 'running'").select("item"), max_rounds)
     waves = Grown()
@@ -404,7 +405,7 @@ def blocked_reasons(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame
     for a failed or aborted run. ``unknown`` tells that it has no known dependency list, or waits
     for one without.
     """
-    pending, members, needs = _pending(runs, deps)
+    pending, members, needs = pending_runs(runs, deps)
     waves = deploy_waves(runs, deps=deps)
     stays = waves.filter("blocked").select(F.col("execution_id").alias("item"))
     broken = pending.filter("status IN ('failed', 'aborted')").select("item")

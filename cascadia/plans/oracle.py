@@ -322,10 +322,8 @@ _SQL = {
       from {run_base} r left join {cfg_edge} e on e.cfg_key = r.cfg_key
       group by r.execution_id, r.cfg_path, r.pr_id, r.cfg_key""",
     "stack_append": f"""
-      select commit_id, account_name, count(*) filter (where not is_new) as n_old, count(*) filter (where is_new) as n_new
-      from (select commit_id, account_name, false as is_new from {{run_base}}
-            union all select commit_id, graph_id, true from ({_CLOSURE}))
-      group by 1, 2""",
+      select commit_id, account_name, cfg_path, status, false as is_new from {{run_base}}
+      union all select commit_id, graph_id, cfg_path, 'waiting', true from ({_CLOSURE})""",
     "keyed_update": """
       select r.execution_id, coalesce(u.status, r.status) as status, coalesce(u.cfg_path, r.cfg_path) as cfg_path
       from {run_base} r left join (select execution_id, max(lower(status)) as status, max(cfg_path) as cfg_path

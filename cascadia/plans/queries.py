@@ -151,9 +151,7 @@ def stack_append(t):
     after = D.stack_append(
         old.withColumn("is_new", F.lit(False)), stack.runs.withColumn("is_new", F.lit(True))
     )
-    return after.groupBy("commit_id", "account_name").agg(
-        F.count_if(~F.col("is_new")).alias("n_old"), F.count_if("is_new").alias("n_new")
-    )
+    return after.select("commit_id", "account_name", "cfg_path", "status", "is_new")
 
 
 @query

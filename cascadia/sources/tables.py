@@ -1,9 +1,10 @@
 """Account and run tables: scans, upsert, append, keyed update, checks."""
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascadia.functions.text import brace_list, csv_list
@@ -78,35 +79,56 @@ def stack_append(runs: DataFrame, new_runs: DataFrame) -> DataFrame:
     return runs.unionByName(new_runs.select(runs.columns))
 
 
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}-appends"
+
+
+def read_stack(spark: SparkSession, path: str, buckets: Sequence[int] | None = None) -> DataFrame:
+    """Runs of all finished appends, of the given buckets; those of an append that died don't show."""
+    rows = spark.read.parquet(path)
+    if buckets is not None:
+        rows = rows.where(F.col("bucket").isin(list(buckets)))
+    done = spark.read.schema("commit_id string, append_id string").parquet(_manifest(path))
+    return rows.join(done, ["commit_id", "append_id"], "left_semi").drop("append_id", "bucket")
+
+
 def write_stack(new_runs: DataFrame, path: str, buckets: int = 64) -> DataFrame:
-    """Append new runs to the run table in one job: all accounts of a commit, or none.
+    """Append new runs to the run table: readers see all accounts of a commit, or none.
 
     Files are laid out by a hash of the commit, not by the commit itself, so a commit
-    with very many runs is still one directory among few and small commits share files.
-    A broken rule stops the write before any row lands. Runs the table has already are not
-    written again, so a repeated write adds nothing; the rows written are returned.
+    with very many runs is still one directory among few and small commits share files. Rows
+    carry the id of their append, and one small file, written last, names the commits that are
+    whole (:func:`read_stack`). A broken rule stops the write before any row lands. Runs that the
+    commits' buckets have already are not written again, so a repeated write adds nothing; the
+    rows written are returned.
     """
     # Checked, compared and written: computed once.
-    new_runs = cut(new_runs)
+    new_runs = cut(new_runs.where(F.col("commit_id").isNotNull()))
     broken = constraint_check(
         new_runs, "execution_id", ("min_approval_count", "min_rejection_count")
     )
     if not broken.isEmpty():
         raise ValueError("the new rows break a table rule; see constraint_check")
     spark = new_runs.sparkSession
+    bucket = F.pmod(F.xxhash64("commit_id"), F.lit(buckets)).cast("int")
+    touched = [r.b for r in new_runs.select(bucket.alias("b")).distinct().collect()]
     try:
-        known = spark.read.parquet(path).select("execution_id")
+        known = read_stack(spark, path, touched).select("execution_id")
     except AnalysisException:  # the first write
         known = None
     if known is not None:
         new_runs = cut(new_runs.join(known, "execution_id", "left_anti"))
+    append_id = uuid.uuid4().hex
     (
-        new_runs.withColumn("bucket", F.pmod(F.xxhash64("commit_id"), F.lit(buckets)))
+        new_runs.withColumns({"bucket": bucket, "append_id": F.lit(append_id)})
         .hint("rebalance", "bucket")
         .write.mode("append")
         .partitionBy("bucket")
         .parquet(path)
     )
+    # One file appears at once, so the commits of an append appear together.
+    done = new_runs.select("commit_id").distinct().withColumn("append_id", F.lit(append_id))
+    done.coalesce(1).write.mode("append").parquet(_manifest(path))
     return new_runs
 
 

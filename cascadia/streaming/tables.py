@@ -3,7 +3,7 @@
 Rows lie in Parquet partitions by a hash of their key, and a micro-batch overwrites the partitions
 its events fall into. Before it does, it keeps what it found there under its batch id. A batch
 that runs again starts from that and so writes the same once more, wherever the first attempt
-ended. The next batch drops it.
+ended. The next batch drops it. Rows without a key belong to no bucket and are not kept.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +31,22 @@ class LiveTable:
             .parquet(self.path)
         )
 
+    def replace_found(self, rows: DataFrame, found: DataFrame) -> None:
+        """Write ``rows`` in place of ``found``; a bucket of which nothing is left keeps a row without a key."""
+        left = rows.select(self.bucket().alias("b")).distinct()
+        emptied = found.select(self.bucket().alias("bucket")).distinct().join(left, F.col("bucket") == F.col("b"), "left_anti")
+        blank = emptied.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema], "bucket")
+        (
+            rows.select(self.schema.fieldNames())
+            .withColumn("bucket", self.bucket())
+            .unionByName(blank.select(*self.schema.fieldNames(), "bucket"))
+            .hint("rebalance", "bucket")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("bucket")
+            .parquet(self.path)
+        )
+
     def read(self) -> DataFrame:
         return self._scan().drop("bucket")
 
@@ -47,7 +63,7 @@ class LiveTable:
 
     def _scan(self) -> DataFrame:
         schema = T.StructType([*self.schema, T.StructField("bucket", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self.spark.read.schema(schema).parquet(self.path).where(F.col(self.key).isNotNull())
 
     def _jvm_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -350,7 +350,29 @@ def test_append_is_all_or_nothing(spark, make_runs, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/runs").count() == 2
     more = make_runs(dict(execution_id="r2"), dict(execution_id="r5"))
     assert ids_of(D.write_stack(more, f"{tmp_path}/runs")) == ["r5"]
-    assert ids_of(spark.read.parquet(f"{tmp_path}/runs")) == ["r1", "r2", "r5"]
+    assert ids_of(D.read_stack(spark, f"{tmp_path}/runs")) == ["r1", "r2", "r5"]
+
+
+def test_an_append_that_died_does_not_show(spark, make_runs, tmp_path, monkeypatch):
+    path = f"{tmp_path}/runs"
+    D.write_stack(make_runs(dict(execution_id="r1", commit_id="c1")), path)
+    new = make_runs(*[dict(execution_id=f"s{i}", commit_id="c2", account_name=f"a{i}") for i in range(9)])
+    manifest = D._manifest
+
+    def dies(folder):
+        raise RuntimeError("lost")
+
+    # The rows are written, the marker isn't.
+    calls = iter([manifest, dies])
+    monkeypatch.setattr(D, "_manifest", lambda folder: next(calls)(folder))
+    with pytest.raises(RuntimeError):
+        D.write_stack(new, path)
+    monkeypatch.setattr(D, "_manifest", manifest)
+    assert spark.read.parquet(path).count() == 10
+    assert ids_of(D.read_stack(spark, path)) == ["r1"]
+    assert D.write_stack(new, path).count() == 9
+    assert D.write_stack(new, path).count() == 0
+    assert ids_of(D.read_stack(spark, path)) == ["r1", *[f"s{i}" for i in range(9)]]
 
 
 def test_toggle(spark):
