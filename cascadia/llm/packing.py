@@ -43,6 +43,8 @@ def cut_windows(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -
     stream, no two further apart than ``window``; ``penalty`` has the cost of cutting there.
     """
     n = len(places)
+    if n > 1 and int(np.diff(places).max()) > window:
+        raise ValueError("two allowed cuts lie further apart than the window")
     exact: dict[int, list[int]] = {}
     for size in (1 << p for p in range(window.bit_length()) if 1 << p < window):
         at = np.searchsorted(places, places - size)
@@ -80,15 +82,16 @@ def _sentence_ends(path: str) -> np.ndarray:
     return np.array([b"\n" in t or t.rstrip(b"\"')").endswith((b".", b"!", b"?")) for t in token_bytes(path)])
 
 
-def _places(ids: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _places(ids: np.ndarray, ends_sentence: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Allowed cuts of one document, its start left out and its end included."""
     n = len(ids)
     cuts = np.flatnonzero(ends_sentence[ids]) + 1
     cuts = np.unique(np.append(cuts, n))
     gaps = np.diff(cuts, prepend=0)
-    wide = np.flatnonzero(gaps > INNER_STEP)
+    step = min(INNER_STEP, window)
+    wide = np.flatnonzero(gaps > step)
     if len(wide):
-        inner = np.concatenate([np.arange(cuts[i] - gaps[i] + INNER_STEP, cuts[i], INNER_STEP) for i in wide])
+        inner = np.concatenate([np.arange(cuts[i] - gaps[i] + step, cuts[i], step) for i in wide])
         places = np.concatenate([cuts, inner])
         cost = np.concatenate([np.full(len(cuts), SENTENCE_CUT), np.full(len(inner), INNER_CUT)])
         order = np.argsort(places, kind="stable")
@@ -164,7 +167,7 @@ def pack_documents(
         for batch in batches:
             for k, ids in zip(batch["k"], encoder.encode(batch["t"])):
                 ids += tail
-                block.append((k, ids, *_places(as_ids(ids), ends_sentence)))
+                block.append((k, ids, *_places(as_ids(ids), ends_sentence, window)))
                 held += len(ids) // 4
                 if held >= block_ids:
                     out, sequence = solve(block, sequence)

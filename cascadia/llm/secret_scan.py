@@ -29,8 +29,10 @@ BASE = {
 KINDS = ("assign", "access", "hex", "random")
 
 #: Strings that may be keys: letters, digits and the signs of Base64 and its URL form.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-MIN_CHARS = 20
+MIN_CHARS = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{MIN_CHARS},}}={{0,2}}")
+#: Letters of one case are judged from this length on: shorter ones are mostly words.
+LETTER_CHARS = 20
 PARTS = re.compile(r"[^/_-]+")
 #: Characters a token covers: prose about 4, unknown words above 2, random strings about 1.5.
 MAX_CHARS_PER_TOKEN = 1.9
@@ -41,7 +43,7 @@ UUID = re.compile(r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]
 #: Identifiers: words and numbers joined by signs, each part letters and then digits or digits alone.
 IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]*|[A-Z]+|)[0-9]*(?:[-_/+](?:[A-Z]?[a-z]*|[A-Z]+)[0-9]*|(?<=[a-z])[A-Z][a-z]+[0-9]*)*=*")
 #: Letters of one case that are no word when the tokenizer covers them badly; repeats of few letters stay words.
-LETTERS = re.compile(rf"[a-z]{{{MIN_CHARS},}}|[A-Z]{{{MIN_CHARS},}}")
+LETTERS = re.compile(rf"[a-z]{{{LETTER_CHARS},}}|[A-Z]{{{LETTER_CHARS},}}")
 MIN_LETTERS = 8
 UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 

@@ -58,6 +58,10 @@ ALPHABETS = {
 _GENDER = {name.casefold(): g for (_, g), names in FIRST_NAMES.items() for name in names}
 _TITLE = {t: g for g, titles in TITLES.items() for t in titles}
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω](?:[^\W\d_]+|(?=[-'’]))(?:[-'’][^\W\d_]+)*"
+#: A title, with its full stop, as one word of a run of capitalised words.
+_TITLED = rf"(?:{'|'.join(sorted(_TITLE, key=len, reverse=True))})(?:\.(?=[ ])|(?!\w))"
+#: Words that a name has at most, after its title.
+NAME_WORDS = 3
 
 PATTERNS = {
     "email": re.compile(r"[\w.+%-]*\w@\w[\w-]*(?:\.[\w-]*\w)+"),
@@ -68,7 +72,7 @@ PATTERNS = {
     "phone_plain": re.compile(r"(?<![\w.-])(?P<national>\d{3}-\d{4}|\d{10})(?![\w-]|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "number": re.compile(r"(?<![\w.])\d(?:\d{11,18}|\d{3}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{3}[ -]\d{6}[ -]\d{5})(?!\w)"),
-    "name": re.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(sorted(_TITLE, key=len, reverse=True))})\b\.?[ ]+)?(?P<name>{_NAME}(?:[ ]{_NAME}){{0,2}})"),
+    "name": re.compile(rf"(?<!\w)(?:{_TITLED}|{_NAME})(?:[ ](?:{_TITLED}|{_NAME}))*"),
 }
 #: Tried in this order; a span belongs to the first kind that claims it.
 ORDER = ("email", "iban", "ip", "ssn", "number", "phone", "phone_plus", "phone_plain", "name")
@@ -104,18 +108,25 @@ def iban_valid(text: str) -> bool:
 
 
 def _name_words(m: re.Match) -> Iterator[Entity]:
-    """The words of a name. With a title all count; without, a known first name must come first."""
-    words = [(m.start("name") + w.start(), w.group()) for w in re.finditer(r"[^ ]+", m.group("name"))]
-    title = m.group("title")
-    gender = _TITLE.get(title, "n") if title else None
-    known = _GENDER.get(words[0][1].casefold())
-    if title is None and known is None:
-        return
-    for i, (at, word) in enumerate(words):
-        first = i == 0 and known is not None
-        if first or i < len(words) and (title or i):
+    """The words of all names in a run of capitalised words.
+
+    A name begins after a title, wherever that stands in the run, or with a known first name; it
+    has up to ``NAME_WORDS`` words and ends before the next title.
+    """
+    gender, left, begins = None, 0, False
+    for w in re.finditer(r"[^ ]+", m.group()):
+        at, word = m.start() + w.start(), w.group()
+        if (title := word.removesuffix(".")) in _TITLE:
+            gender, left, begins = _TITLE[title], NAME_WORDS, True
+            continue
+        known = _GENDER.get(word.casefold())
+        if left == 0 and known is not None:
+            gender, left, begins = None, NAME_WORDS, True
+        if left:
+            first = begins and known is not None
             kind = f"first_{known if gender in (None, 'n') else gender}" if first else "surname"
             yield Entity(at, at + len(word), kind, word.casefold())
+            left, begins = left - 1, False
 
 
 def find_entities(text: str) -> list[Entity]:

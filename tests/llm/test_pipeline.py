@@ -58,6 +58,23 @@ def test_entities():
     ]
 
 
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("Dear Mr Moss,", {"Moss"}),
+        ("Ask Mr John Moss today", {"John", "Moss"}),
+        ("Contact Dr. Ahmed Hassan today.", {"Ahmed", "Hassan"}),
+        ("Yesterday John Moss called.", {"John", "Moss"}),
+        ("When Mary Ann Lee left", {"Mary", "Ann", "Lee"}),
+        ("Then Frau Dr. Weber and Mr. Paul Young met. Yesterday Rain fell", {"Weber", "Paul", "Young"}),
+        ("see Mr. Ahmed Hassan", {"Ahmed", "Hassan"}),
+        ("The New York Times of Monday", set()),
+    ],
+)
+def test_names_after_capitalised_words(text, names):
+    assert {text[e.start : e.stop] for e in surrogates.find_entities(text)} == names
+
+
 def test_replacements(spark, make_docs):
     rows = replaced(spark, make_docs, (1, TEXT), (2, "Call (706) 555-3138, ask Ms Harper."), (3, "no data here"), (4, None), (5, ""), (None, TEXT))
     out = rows[1].text

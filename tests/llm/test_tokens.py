@@ -177,3 +177,15 @@ def test_every_token_is_its_own_encoding():
     codec = bpe.SpeculativeBpe(PATH)
     table = token_bytes(PATH)
     assert all(codec.merge(table[i]) == [i] for i in range(0, 50256, 37))
+
+
+@pytest.mark.parametrize("window", [2, 7, 32, 64, 100])
+def test_small_windows(window):
+    """Places of a long sentence are never further apart than the window."""
+    ids = np.full(1000, 5, dtype=np.uint32)
+    ends = np.zeros(100, dtype=bool)
+    places, penalty = packing._places(ids, ends, window)
+    cuts = packing.cut_windows(np.append(0, places), np.append(0, penalty), window)
+    assert cuts[-1] == 1000 and np.diff(np.append(0, cuts)).max() <= window
+    with pytest.raises(ValueError):
+        packing.cut_windows(np.array([0, 64, 128]), np.zeros(3), 32)
