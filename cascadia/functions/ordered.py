@@ -1,7 +1,7 @@
 """Order-dependent values that survive hot groups.
 
-A window puts a whole group into one task. Where the caller has counted a group too large
-for that, it asks for slices: the rows are range-partitioned by ``keys + order``, so a
+A window puts a whole group into one task. Where a group has no bound, the caller asks for
+slices: the rows are range-partitioned by ``keys + order``, so a
 hot group spans many slices, windows run per slice, and per-slice summaries (one row
 per group and slice) carry values across slices. Both ways give the same values.
 """
@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from cascadia.session import cut
 
-# Rows of one group that a single task may still sort.
-HOT_ROWS = 2_000_000
-
-
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     # The slice number depends on sampled range bounds, so it is stored before it is used twice.
     ranged = df.repartitionByRange(*keys, *order)

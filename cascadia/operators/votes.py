@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cascadia.functions.lists import inline_lists
-from cascadia.functions.ordered import HOT_ROWS, previous_value, running_sums
+from cascadia.functions.ordered import previous_value, running_sums
 
 _LISTS = ["approval_voters", "rejection_voters"]
 _LIMITS = ["min_approval_count", "min_rejection_count"]
@@ -109,24 +109,15 @@ def members_after(members: DataFrame, votes: DataFrame) -> DataFrame:
     return kept.select(sides.columns).unionByName(sides)
 
 
-def _largest(votes: DataFrame) -> tuple[int, int]:
-    """Most votes of one voter on one run, and of one run: one pass, combined before the shuffle."""
-    pairs = votes.groupBy("execution_id", "voter").agg(F.count(F.lit(1)).alias("n"))
-    runs = pairs.groupBy("execution_id").agg(F.max("n").alias("pair"), F.sum("n").alias("run"))
-    pair, run = runs.agg(F.max("pair"), F.max("run")).first()
-    return pair or 0, run or 0
-
-
-def _after_each(start: Tally, votes: DataFrame, hot_rows: int) -> DataFrame:
-    """Votes with the sizes of both sides right after each."""
-    most_of_pair, most_of_run = _largest(votes)
+def _after_each(start: Tally, votes: DataFrame) -> DataFrame:
+    """Votes with the sizes of both sides right after each, in range slices whatever their number."""
     sided = previous_value(
         votes.select("execution_id", "voter", "action", *_ORDER),
         ["execution_id", "voter"],
         _ORDER,
         "action",
         "_before",
-        sliced=most_of_pair > hot_rows,
+        sliced=True,
     )
     moved = sided.join(start.members, ["execution_id", "voter"], "left")
 
@@ -146,7 +137,7 @@ def _after_each(start: Tally, votes: DataFrame, hot_rows: int) -> DataFrame:
         ["execution_id"],
         _ORDER,
         {"_a": "_approve", "_r": "_reject"},
-        sliced=most_of_run > hot_rows,
+        sliced=True,
     )
     return summed.join(start.runs, "execution_id").select(
         "execution_id",
@@ -158,13 +149,13 @@ def _after_each(start: Tally, votes: DataFrame, hot_rows: int) -> DataFrame:
     )
 
 
-def decisions(start: Tally, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def decisions(start: Tally, votes: DataFrame) -> DataFrame:
     """As :func:`vote_decision`, from a long-form starting point, with the vote's ``ts``."""
     met = (F.col("n_approve") == F.col("min_approval_count")) | (
         F.col("n_reject") == F.col("min_rejection_count")
     )
     return (
-        _after_each(start, votes, hot_rows)
+        _after_each(start, votes)
         .filter(met)
         .groupBy("execution_id")
         .agg(
@@ -176,13 +167,13 @@ def decisions(start: Tally, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataF
     )
 
 
-def vote_decision(runs: DataFrame, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def vote_decision(runs: DataFrame, votes: DataFrame) -> DataFrame:
     """The deciding vote per run: the first after which a side has exactly its minimum.
 
     The decision is that vote's action, whichever side met its minimum. A voter's last
     vote replaces the earlier one; the run's voter lists are where counting starts.
     """
-    return decisions(tally_of(runs), votes, hot_rows).drop("ts")
+    return decisions(tally_of(runs), votes).drop("ts")
 
 
 def in_time(decided: DataFrame, votes: DataFrame) -> DataFrame:
@@ -194,12 +185,12 @@ def in_time(decided: DataFrame, votes: DataFrame) -> DataFrame:
     )
 
 
-def late_votes(runs: DataFrame, votes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def late_votes(runs: DataFrame, votes: DataFrame) -> DataFrame:
     """``vote_id, accepted``: votes up to the deciding one are accepted, later ones are not.
 
     Nor are votes on a run that ``runs`` doesn't have.
     """
-    decided = in_time(decisions(tally_of(runs), votes, hot_rows), votes)
+    decided = in_time(decisions(tally_of(runs), votes), votes)
     known = votes.join(runs.select("execution_id"), "execution_id", "left_semi").select(
         "vote_id", F.lit(True).alias("_known")
     )
