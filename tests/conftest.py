@@ -25,7 +25,7 @@ def make_runs(spark):
     plain = dict(
         is_rollback=False,
         pr_id=1,
-        commit_id="test-commit",
+        commit_id="c0ffee",
         base_ref="master",
         head_ref="feature",
         status="waiting",

@@ -90,9 +90,9 @@ def test_frontier(make_runs, name):
 
 
 def test_frontier_strict(make_runs):
-    one = make_runs(run("run-foo", "dev/foo"), run("run-bar", "dev/bar", status="running"))
-    assert ids(ready_frontier(one, strict=True)) == ["run-foo"]
-    two = make_runs(run("run-foo", "a", commit_id="c1"), run("run-bar", "b", commit_id="c2"))
+    one = make_runs(run("r-first", "live/app"), run("r-second", "live/net", status="running"))
+    assert ids(ready_frontier(one, strict=True)) == ["r-first"]
+    two = make_runs(run("r-first", "a", commit_id="c1"), run("r-second", "b", commit_id="c2"))
     with pytest.raises(Exception, match="(?i)subquery"):
         ready_frontier(two, strict=True).collect()
 
@@ -122,7 +122,7 @@ def test_rollback_order_with_long_lists(spark, make_runs):
         )
 
     finished = spark.createDataFrame(
-        [(1, 1, "bad", "failed", False, "test-commit")],
+        [(1, 1, "bad", "failed", False, "c0ffee")],
         "event_id int, ts int, execution_id string, status string, is_rollback boolean, commit_id string",
     )
     known = spark.createDataFrame([("top", "base")], "execution_id string, dep_path string")
@@ -138,7 +138,7 @@ def test_rollback_order_with_long_lists(spark, make_runs):
 def test_unread_events_change_nothing(spark, make_runs):
     runs = make_runs(run("a", "a", status="running", new_resources=["r.a"]))
     finished = spark.createDataFrame(
-        [(1, 1, "a", "failed", None, "test-commit", "missing: is_rollback")],
+        [(1, 1, "a", "failed", None, "c0ffee", "missing: is_rollback")],
         "event_id int, ts int, execution_id string, status string, is_rollback boolean, commit_id string, error string",
     )
     done = advance(runs, finished)
@@ -216,13 +216,17 @@ def closure(spark, nodes, edges, dirs):
     return sorted(r.cfg_path for r in impact_closure(nodes, edges, seeds).collect())
 
 
-FIVE = [("bar", "baz"), ("bar", "global"), ("baz", "global"), ("foo", "bar"), ("foo", "zoo"), ("zoo", "global")]
+#: What runs on what in a small service: two ways from the reports to the disk, one to the queue.
+SERVICE = [
+    ("web", "api"), ("api", "db"), ("api", "queue"), ("jobs", "queue"), ("jobs", "db"), ("report", "jobs"), ("db", "disk"),
+]
 
 
 def test_closure_reaches_all(spark):
-    nodes, edges = graph(spark, FIVE)
-    assert closure(spark, nodes, edges, ["global"]) == ["bar", "baz", "foo", "global", "zoo"]
-    assert closure(spark, nodes, edges, ["foo"]) == ["foo"]
+    nodes, edges = graph(spark, SERVICE)
+    assert closure(spark, nodes, edges, ["disk"]) == ["api", "db", "disk", "jobs", "report", "web"]
+    assert closure(spark, nodes, edges, ["queue", "web"]) == ["api", "jobs", "queue", "report", "web"]
+    assert closure(spark, nodes, edges, ["report"]) == ["report"]
 
 
 def test_closure_ends_on_a_cycle(spark):
@@ -239,8 +243,8 @@ def test_closure_of_a_dir_outside_the_graph(spark):
 
 
 def test_closure_is_idempotent(spark):
-    nodes, edges = graph(spark, FIVE)
-    once = closure(spark, nodes, edges, ["zoo"])
+    nodes, edges = graph(spark, SERVICE)
+    once = closure(spark, nodes, edges, ["jobs"])
     assert closure(spark, nodes, edges, once) == once
 
 
@@ -250,13 +254,13 @@ def test_unknown_scan_type():
 
 
 def test_deploy_stack_lists_only_changed_dependencies(spark):
-    nodes, edges = graph(spark, FIVE)
+    nodes, edges = graph(spark, SERVICE)
     diff = spark.createDataFrame(
-        [("commit", "g", d) for d in ("bar", "foo", "baz")],
+        [("commit", "g", d) for d in ("report", "jobs", "db", "web")],
         "commit_id string, graph_id string, cfg_path string",
     )
     providers = spark.createDataFrame(
-        [("g", "bar", ["p1"])], "graph_id string, cfg_path string, new_providers array<string>"
+        [("g", "jobs", ["p1"])], "graph_id string, cfg_path string, new_providers array<string>"
     )
     dim = spark.createDataFrame(
         [("g", "live/g", [], 1, 1, ["v"], "pa", "aa")],
@@ -268,22 +272,22 @@ def test_deploy_stack_lists_only_changed_dependencies(spark):
     )
     stack = deploy_stack(nodes, edges, diff, providers, dim, commits)
     rows = {r.cfg_path: r for r in stack.table().collect()}
-    assert {k: r.cfg_deps for k, r in rows.items()} == {"bar": ["baz"], "foo": ["bar"], "baz": []}
-    assert rows["bar"].new_providers == ["p1"] and rows["foo"].new_providers == []
-    assert rows["foo"].execution_id.startswith("run-3-comm-g-foo-")
-    assert len(rows["foo"].execution_id) == len("run-3-comm-g-foo-") + 12
-    assert rows["foo"].plan_command == (
-        "terragrunt plan --terragrunt-working-dir foo --terragrunt-iam-role pa -no-color"
+    assert {k: r.cfg_deps for k, r in rows.items()} == {"report": ["jobs"], "jobs": ["db"], "db": [], "web": []}
+    assert {k for k, r in rows.items() if r.new_providers == ["p1"]} == {"jobs"}
+    start = "run-3-comm-g-report-"
+    assert rows["report"].execution_id.startswith(start) and len(rows["report"].execution_id) == len(start) + 12
+    assert rows["web"].plan_command == (
+        "terragrunt plan --terragrunt-working-dir web --terragrunt-iam-role pa -no-color"
     )
     # A list over the limit is NULL in the row and whole in long form.
-    assert {r.cfg_path for r in stack.table(limit=0).filter("cfg_deps is null").collect()} == {"bar", "foo"}
+    assert {r.cfg_path for r in stack.table(limit=0).filter("cfg_deps is null").collect()} == {"jobs", "report"}
     assert stack.long_deps(limit=0).count() == 2
     assert stack.long_deps().count() == 0
 
 
 def failing(spark, *rows):
     return spark.createDataFrame(
-        rows or [("e1", 1, "run-foo", "failed", False, "test-commit")],
+        rows or [("e1", 1, "r-first", "failed", False, "c0ffee")],
         "event_id string, ts int, execution_id string, status string, is_rollback boolean, commit_id string",
     )
 
@@ -291,34 +295,34 @@ def failing(spark, *rows):
 def test_status_update_takes_the_last_event(spark, make_runs):
     events = failing(
         spark,
-        ("e1", 2, "run-foo", "succeeded", False, "test-commit"),
-        ("e2", 1, "run-foo", "failed", False, "test-commit"),
+        ("e1", 2, "r-first", "succeeded", False, "c0ffee"),
+        ("e2", 1, "r-first", "failed", False, "c0ffee"),
     )
-    runs = make_runs(run("run-foo", "a", status="running"), run("run-bar", "b"))
+    runs = make_runs(run("r-first", "a", status="running"), run("r-second", "b"))
     after = {r.execution_id: r.status for r in run_status_apply(runs, events).collect()}
-    assert after == {"run-foo": "succeeded", "run-bar": "waiting"}
+    assert after == {"r-first": "succeeded", "r-second": "waiting"}
 
 
 def test_cascade(spark, make_runs):
     runs = make_runs(
-        run("run-foo", "a", status="failed"),
-        run("run-bar", "b"),
-        run("run-baz", "c", status="running"),
+        run("r-first", "a", status="failed"),
+        run("r-second", "b"),
+        run("r-third", "c", status="running"),
         run("run-done", "d", status="succeeded"),
         run("run-back", "e", is_rollback=True),
         run("run-else", "f", commit_id="other"),
     )
     after = failure_cascade(runs, failing(spark))
     assert {r.execution_id: r.status for r in after.runs.collect()} == {
-        "run-foo": "failed",
-        "run-bar": "aborted",
-        "run-baz": "aborted",
+        "r-first": "failed",
+        "r-second": "aborted",
+        "r-third": "aborted",
         "run-done": "succeeded",
         "run-back": "waiting",
         "run-else": "waiting",
     }
     assert after.errors.count() == 0
-    back = failing(spark, ("e1", 1, "run-back", "failed", True, "test-commit"))
+    back = failing(spark, ("e1", 1, "run-back", "failed", True, "c0ffee"))
     after = failure_cascade(runs, back)
     assert ids(after.errors) == ["run-back"]
     assert ids(after.runs.filter("status = 'aborted'")) == []
@@ -326,41 +330,41 @@ def test_cascade(spark, make_runs):
 
 def test_rollback(spark, make_runs):
     runs = make_runs(
-        run("run-foo", "dev/foo", ["dev/bar"], "failed", new_resources=[]),
-        run("run-bar", "dev/bar", [], "succeeded", new_resources=["a.x", "b.y"]),
-        run("run-baz", "dev/baz", ["dev/bar"], "succeeded", new_resources=["c.z"]),
+        run("r-first", "live/app", ["live/net"], "failed", new_resources=[]),
+        run("r-second", "live/net", [], "succeeded", new_resources=["a.x", "b.y"]),
+        run("r-third", "live/dns", ["live/net"], "succeeded", new_resources=["c.z"]),
     )
     rows = {r.cfg_path: r for r in rollback_stack(runs, runs.filter("status = 'failed'")).table().collect()}
-    assert set(rows) == {"dev/bar", "dev/baz"}
-    assert rows["dev/bar"].cfg_deps == ["dev/baz"] and rows["dev/baz"].cfg_deps == []
-    assert rows["dev/bar"].plan_command == (
-        "terragrunt plan --terragrunt-working-dir dev/bar --terragrunt-iam-role plan-arn"
+    assert set(rows) == {"live/net", "live/dns"}
+    assert rows["live/net"].cfg_deps == ["live/dns"] and rows["live/dns"].cfg_deps == []
+    assert rows["live/net"].plan_command == (
+        "terragrunt plan --terragrunt-working-dir live/net --terragrunt-iam-role plan-arn"
         " -target a.x -target b.y -no-color -destroy"
     )
-    assert rows["dev/bar"].apply_command == (
-        "terragrunt destroy --terragrunt-working-dir dev/bar --terragrunt-iam-role apply-arn"
+    assert rows["live/net"].apply_command == (
+        "terragrunt destroy --terragrunt-working-dir live/net --terragrunt-iam-role apply-arn"
         " -target a.x -target b.y -no-color -auto-approve"
     )
-    assert rows["dev/bar"].is_rollback and rows["dev/bar"].status == "waiting"
+    assert rows["live/net"].is_rollback and rows["live/net"].status == "waiting"
 
 
 def test_rollback_only_once(spark, make_runs):
     runs = make_runs(
-        run("run-foo", "a", [], "failed", new_resources=["r.r"]),
+        run("r-first", "a", [], "failed", new_resources=["r.r"]),
         run("old", "a", [], "succeeded", is_rollback=True, new_resources=["r.r"]),
     )
     assert rollback_on_failure(runs, failing(spark)).runs.count() == 2
 
 
 def test_start_ready(make_runs):
-    runs = make_runs(run("run-foo", "a"), run("run-bar", "b", ["a"]))
+    runs = make_runs(run("r-first", "a"), run("r-second", "b", ["a"]))
     started = start_ready(runs)
     row = started.inputs.collect()[0]
-    assert row.execution_id == "run-foo" and '"status":"running"' in row.input_json
+    assert row.execution_id == "r-first" and '"status":"running"' in row.input_json
     assert '"plan_command":null' in row.input_json
     assert {r.execution_id: r.status for r in started.runs.collect()} == {
-        "run-foo": "running",
-        "run-bar": "waiting",
+        "r-first": "running",
+        "r-second": "waiting",
     }
 
 
@@ -388,7 +392,7 @@ def test_any_number_of_dependents(spark, make_runs):
     paths = [f"d{i:05d}" for i in range(n)]
     row = rollback_stack(runs, runs.filter("status = 'failed'")).table().filter("cfg_path = 'base'").first()
     assert sorted(row.cfg_deps) == paths
-    after = rollback_on_failure(runs, failing(spark, ("e1", 1, "run-0", "failed", False, "test-commit"))).runs
+    after = rollback_on_failure(runs, failing(spark, ("e1", 1, "run-0", "failed", False, "c0ffee"))).runs
     assert [sorted(r.cfg_deps) for r in after.filter("is_rollback AND cfg_path = 'base'").collect()] == [paths]
 
 

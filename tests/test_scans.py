@@ -244,16 +244,16 @@ def test_new_resources(spark, make_runs):
 
 
 def test_logs(spark):
-    text = (
-        'digraph {\n\t"/src/bar" ;\n\t"/src/bar" -> "/src/baz";\n\t"/src/bar" -> "/src/global";\n'
-        '\t"/src/baz" ;\n\t"/src/baz" -> "/src/global";\n\t"/src/global" ;\n}\n'
-    )
+    parts = {"web": ["api", "cdn"], "api": ["db"], "cdn": [], "db": []}
+    lines = [f'\t"/src/{name}" ;' for name in parts]
+    lines += [f'\t"/src/{name}" -> "/src/{dep}";' for name, deps in parts.items() for dep in deps]
+    text = "digraph {\n" + "\n".join(lines) + "\n}\n"
     logs = spark.createDataFrame([("g", "/src", text)], "graph_id string, root string, text string")
     nodes, edges = S.dependency_nodes(logs), S.dependency_edges(logs)
     adjacency = {r.cfg_path: r.deps for r in A.adjacency(nodes, edges).collect()}
-    assert adjacency == {"bar": ["baz", "global"], "baz": ["global"], "global": []}
+    assert adjacency == parts
     paged = sorted(tuple(r.deps) for r in A.adjacency(nodes, edges, page_rows=1).collect())
-    assert paged == [(), ("baz",), ("global",), ("global",)]
+    assert paged == [(), (), ("api",), ("cdn",), ("db",)]
 
     providers = (
         "Providers required by configuration:\n.\n├── provider[registry/aws] ~> 3.0\n"
