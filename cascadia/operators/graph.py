@@ -414,6 +414,11 @@ def ready_frontier(
     long form. ``strict`` insists on a single waiting commit.
     """
     scope = single_commit_scope(runs, strict=True) if strict else runs
+    # Four steps read these rows, of which nothing else counts, so the runs are made once.
+    narrow = [*_SCOPE, "execution_id", "status", "cfg_path", "account_name", "account_deps"]
+    if "cfg_deps" in runs.columns:
+        narrow.append("cfg_deps")
+    scope = kept(scope.filter(F.col("status").isin(*BLOCKING)).select(narrow))
     waiting = scope.filter((F.col("status") == "waiting") & F.col("account_deps").isNotNull())
     return (
         with_known_deps(waiting, deps)

@@ -24,7 +24,7 @@ from cascadia.operators.filters import (
 )
 from cascadia.operators.graph import Stack, ready_frontier, rollback_stack
 from cascadia.operators.joins import plan_fanout
-from cascadia.session import cut, kept
+from cascadia.session import cut, kept, measured
 from cascadia.sources.events import webhook_scan
 from cascadia.sources.tables import keyed_update
 
@@ -270,11 +270,18 @@ class Started(NamedTuple):
 
 def start_ready(runs: DataFrame, strict: bool = False, deps: DataFrame | None = None) -> Started:
     """The ready runs as JSON inputs, and the runs with those set to running."""
-    ready = ready_frontier(runs, strict, deps).select(
+    ready = kept(ready_frontier(runs, strict, deps).select(
         "execution_id", F.lit("running").alias("status")
-    )
+    ))
     after = keyed_update(runs, ready)
-    begun = runs.drop("status").join(ready, "execution_id")
+    # Whole rows are moved only if they wait, or have a ready run's id without waiting, which is rare.
+    waits = F.col("status").eqNullSafe("waiting")
+    shared = ready.select("execution_id").join(runs.filter(~waits).select("execution_id"), "execution_id", "left_semi")
+    shared = measured(shared.distinct())
+    begun = runs.filter(waits)
+    if not shared.isEmpty():
+        begun = begun.unionByName(runs.filter(~waits).join(shared, "execution_id", "left_semi").select(runs.columns))
+    begun = begun.drop("status").join(ready, "execution_id")
     if deps is not None:
         # An input is one document and holds its run's whole list.
         long = deps.join(ready, "execution_id", "left_semi").groupBy("execution_id").agg(
