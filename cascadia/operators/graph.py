@@ -1,16 +1,18 @@
 """Graph operators: impact closure, deploy stacks, ready frontier, waves, rollback stacks."""
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cascadia import model as M
 from cascadia.functions.lists import inline_lists
 from cascadia.functions.ordered import numbered
+from cascadia.functions.parts import PART, solved, split, strong_parts
 from cascadia.functions.paths import with_prefixes
 from cascadia.functions.placed import SALTS, Grown, along, dealt, named, reach, salted, stay
 from cascadia.functions.text import empty_list, leaf, stable_hash, target_flags
@@ -272,12 +274,39 @@ def _one_colouring(edges: DataFrame) -> DataFrame:
     return cut(found.frame.select("node", "component"))
 
 
-def cycle_members(edges: DataFrame) -> DataFrame:
+def cycle_members(edges: DataFrame, part: int = PART) -> DataFrame:
     """``graph_id, cfg_path, cycle`` of the directories on a dependency cycle.
 
     A directory that depends on a cycle or lies between two is on none. Those that reach each
-    other share a ``cycle``, the greatest of them.
+    other share a ``cycle``, the greatest of them. A graph of up to ``part`` edges is solved in one
+    task, larger ones in rounds.
     """
+    edges = kept(edges.select("graph_id", "cfg_path", "dep_path").distinct())
+    large = edges.groupBy("graph_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > part)
+    small, rest = split(edges, ["graph_id"], large)
+    path = edges.schema["cfg_path"].dataType
+    schema = StructType([edges.schema["graph_id"], StructField("cfg_path", path), StructField("cycle", path)])
+    found = solved(small, ["graph_id"], schema, _cycles_of_graph)
+    return found if rest is None else found.unionByName(_cycles_in_rounds(rest))
+
+
+def _cycles_of_graph(rows: list[tuple]) -> Iterator[tuple]:
+    names: dict = {}
+    ends = [(names.setdefault(a, len(names)), names.setdefault(b, len(names))) for _, a, b in rows]
+    out = [[] for _ in names]
+    for a, b in ends:
+        out[a].append(b)
+    members = defaultdict(list)
+    for name, component in zip(names, strong_parts(out)):
+        members[component].append(name)
+    for some in members.values():
+        # A node alone is on a cycle only if it leads to itself.
+        if len(some) > 1 or names[some[0]] in out[names[some[0]]]:
+            greatest = max(some, key=lambda name: (name is not None, name))
+            yield from ((rows[0][0], name, greatest) for name in some)
+
+
+def _cycles_in_rounds(edges: DataFrame) -> DataFrame:
     node = lambda c: F.struct("graph_id", F.col(c).alias("cfg_path"))
     found = strong_components(edges.select(node("cfg_path").alias("a"), node("dep_path").alias("b")))
     return found.select("node.*", F.col("component.cfg_path").alias("cycle"))
