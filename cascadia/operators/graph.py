@@ -1,13 +1,13 @@
 """Graph operators: impact closure, deploy stacks, ready frontier, waves, rollback stacks."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from cascadia import model as M
 from cascadia.functions.lists import inline_lists
@@ -16,7 +16,7 @@ from cascadia.functions.parts import PART, solved, split, strong_parts
 from cascadia.functions.paths import with_prefixes
 from cascadia.functions.placed import SALTS, Grown, along, dealt, named, reach, salted, stay
 from cascadia.functions.text import empty_list, leaf, stable_hash, target_flags
-from cascadia.model import BLOCKING, RUN_COLUMNS
+from cascadia.model import BLOCKING, BROKEN, RUN_COLUMNS
 from cascadia.operators.joins import (
     blocked_account_lists,
     cfg_blocked,
@@ -27,7 +27,7 @@ from cascadia.operators.joins import (
     stack_semi,
     with_known_deps,
 )
-from cascadia.session import cut, kept
+from cascadia.session import cut, kept, measured
 
 _SCOPE = ["commit_id", "is_rollback"]
 
@@ -518,14 +518,118 @@ def _waves(known: Pending, max_rounds: int | None = None) -> DataFrame:
     return found.select("commit_id", F.col("item").alias("execution_id"), "wave", F.col("wave").isNull().alias("blocked"))
 
 
-def blocked_reasons(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame:
+_FLAGS = ["on_cycle", "behind_cycle", "behind_failure", "unknown"]
+
+
+def blocked_reasons(runs: DataFrame, deps: DataFrame | None = None, part: int = PART) -> DataFrame:
     """Why waiting runs never start: ``commit_id, execution_id, on_cycle, behind_cycle, behind_failure, unknown``.
 
     A run is on a cycle if it waits, over other waiting runs, for itself; behind one if it waits
     for such a run without being one of the same cycle. It is behind a failure if it waits
     for a failed or aborted run. ``unknown`` tells that it has no known dependency list, or waits
-    for one without.
+    for one without. Runs wait within their commit alone, so a commit of up to ``part`` runs and
+    dependencies is solved in one task. Larger ones are solved in rounds, as are those of a run without
+    an id or with an id that stands for different runs.
     """
+    narrow = [*_SCOPE, "execution_id", "status", "cfg_path", "account_name", "account_deps"]
+    listed = "cfg_deps" in runs.columns
+    blocking = kept(runs.filter(F.col("status").isin(*BLOCKING)).select(*narrow, *(["cfg_deps"] if listed else [])))
+    waits = F.col("status") == "waiting"
+    unknown, seen = F.col("cfg_deps").isNull() if listed else F.lit(False), blocking
+    if deps is not None:
+        seen = blocking.join(deps.select("execution_id", F.lit(True).alias("_held")).distinct(), "execution_id", "left")
+        unknown = unknown & F.col("_held").isNull()
+    rows = seen.select(
+        *narrow[:-1],
+        F.when(waits, F.col("account_deps")).alias("accounts"),
+        (F.when(waits, F.col("cfg_deps")) if listed else F.lit(None).cast("array<string>")).alias("dirs"),
+        (F.col("account_deps").isNull() | unknown).alias("stuck"),
+    )
+    same = F.xxhash64(*_SCOPE, "status", "stuck")
+    ids = rows.groupBy("execution_id").agg(F.min(same).alias("low"), F.max(same).alias("high"))
+    unsound = measured(ids.filter("low <> high OR execution_id IS NULL").select(F.col("execution_id").alias("_id")))
+    odd = rows.join(unsound, F.col("execution_id").eqNullSafe(F.col("_id")), "left_semi").select(_SCOPE)
+    if deps is not None:
+        # The entries of long lists, as rows without a status.
+        own = rows.filter(waits).select(*_SCOPE, "execution_id").distinct()
+        long = deps.select("execution_id", "dep_path").join(own, "execution_id")
+        none = {c: F.lit(None).cast(rows.schema[c].dataType) for c in ("status", "cfg_path", "account_name", "accounts", "stuck")}
+        long = long.withColumns(none).withColumn("dirs", F.array("dep_path")).select(rows.columns)
+        rows = kept(rows.unionByName(long))
+    entries = F.lit(1) + F.greatest(F.size("accounts"), F.lit(0)) + F.greatest(F.size("dirs"), F.lit(0))
+    large = rows.groupBy(*_SCOPE).agg(F.sum(entries).alias("n")).filter(F.col("n") > part).select(_SCOPE)
+    odd = kept(odd.unionByName(large))
+    small, rest = split(rows, _SCOPE, odd)
+    schema = StructType([rows.schema["commit_id"], rows.schema["execution_id"], *[StructField(c, BooleanType()) for c in _FLAGS]])
+    found = solved(small, _SCOPE, schema, _reasons_of_commit)
+    return found if rest is None else found.unionByName(_reasons_in_rounds(split(blocking, _SCOPE, odd)[1], deps))
+
+
+def _reasons_of_commit(rows: list[tuple]) -> Iterator[tuple]:
+    copies, state, stuck = Counter(), {}, set()
+    keeps, needs = defaultdict(set), defaultdict(set)
+    for _, _, item, status, directory, account, accounts, dirs, unknown in rows:
+        needs[item].update(("dir", d) for d in dirs or () if d is not None)
+        needs[item].update(("account", a) for a in accounts or () if a is not None)
+        if status is None:
+            continue
+        copies[item] += 1
+        state[item] = status
+        keeps[item].update(g for g in (("dir", directory), ("account", account)) if g[1] is not None)
+        if unknown:
+            stuck.add(item)
+    members, waiters = Counter(g for i in state for g in keeps[i]), defaultdict(list)
+    for i in state:
+        needs[i] = {g for g in needs[i] if g in members}
+        for g in needs[i]:
+            waiters[g].append(i)
+    waiting = [i for i in state if state[i] == "waiting"]
+    left = {i: len(needs[i]) for i in waiting if i not in stuck}
+    off = {i for i in state if state[i] == "running" or left.get(i) == 0}
+    todo = list(off)
+    while todo:
+        for g in keeps[todo.pop()]:
+            members[g] -= 1
+            if members[g] == 0:
+                for i in waiters[g]:
+                    if i in left:
+                        left[i] -= 1
+                        if left[i] == 0:
+                            off.add(i)
+                            todo.append(i)
+    stays = [i for i in waiting if i not in off]
+    if not stays:
+        return
+    broken = [i for i in state if state[i] in BROKEN]
+    nodes = {i: n for n, i in enumerate([*stays, *broken])}
+    gates = {g: n for n, g in enumerate({g for i in nodes for g in keeps[i]}, len(nodes))}
+    out = [[] for _ in range(len(nodes) + len(gates))]
+    for i, n in nodes.items():
+        out[n] = [gates[g] for g in keeps[i]]
+        for g in needs[i]:
+            if g in gates:
+                out[gates[g]].append(n)
+    part = strong_parts(out)
+    together = defaultdict(list)
+    for n, p in enumerate(part):
+        together[p].append(n)
+    failed, unlisted = {part[nodes[i]] for i in broken}, {part[nodes[i]] for i in stays if i in stuck}
+    behind = set()
+    # From those that none leads to on.
+    for p in sorted(together, reverse=True):
+        for to in {part[t] for n in together[p] for t in out[n]} - {p}:
+            if len(together[p]) > 1 or p in behind:
+                behind.add(to)
+            for flag in (failed, unlisted):
+                if p in flag:
+                    flag.add(to)
+    for i in stays:
+        p = part[nodes[i]]
+        # A run that comes several times meets itself, as in the joins of the rounds.
+        yield from [(rows[0][0], i, len(together[p]) > 1, p in behind, p in failed, p in unlisted)] * copies[i] ** 2
+
+
+def _reasons_in_rounds(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame:
     known = pending_runs(runs, deps)
     pending, members, needs = known
     waves = _waves(known)
@@ -553,16 +657,17 @@ def blocked_reasons(runs: DataFrame, deps: DataFrame | None = None) -> DataFrame
         for r in reach(seed.join(runs_at, "item").select(F.col("id").alias("node")), opens, ["node"], ["node"]):
             hit.add(r)
         flagged = _flagged(flagged, hit.frame if hit else None, runs_at, name)
-    # From each cycle on to what isn't on the same one.
+    # From each cycle on to what isn't on the same one: from where its edges leave it.
     own = cycles.select("node", F.col("component").alias("cycle"))
+    leads = opens.join(own, "node").join(own.select(F.col("node").alias("to_node"), F.col("cycle").alias("to_cycle")), "to_node", "left")
+    leaves = leads.filter("to_cycle IS NULL OR to_cycle <> cycle").select(F.col("to_node").alias("node"))
     hit = Grown()
-    for r in reach(own, opens, ["cycle", "node"], ["node"]):
+    for r in reach(leaves, opens, ["node"], ["node"]):
         hit.add(r)
     flagged = _flagged(flagged, own, runs_at, "on_cycle")
-    flagged = _flagged(flagged, hit.frame.join(own, ["node", "cycle"], "left_anti") if hit else None, runs_at, "behind_cycle")
+    flagged = _flagged(flagged, hit.frame if hit else None, runs_at, "behind_cycle")
     flagged = flagged.join(pending.select("item", "commit_id"), "item")
-    flags = ["on_cycle", "behind_cycle", "behind_failure", "unknown"]
-    return flagged.select("commit_id", F.col("item").alias("execution_id"), *[F.coalesce(c, F.lit(False)).alias(c) for c in flags])
+    return flagged.select("commit_id", F.col("item").alias("execution_id"), *[F.coalesce(c, F.lit(False)).alias(c) for c in _FLAGS])
 
 
 def _flagged(items: DataFrame, hit: DataFrame | None, runs_at: DataFrame, name: str) -> DataFrame:
