@@ -68,7 +68,9 @@ class Stack:
         lists = inline_lists(self.edges, keys, value, "cfg_deps", order, limit)
         none = F.array().cast(lists.schema["cfg_deps"].dataType)
         # The lists join the narrow rows; the long texts are made after the shuffle.
-        joined = self.rows.join(lists, keys, "left").withColumn(
+        # Numbers shrink so well in a shuffle that a part of little size may not fit into a hash table: merged.
+        rows = self.rows if self.paths is None else self.rows.hint("merge")
+        joined = rows.join(lists, keys, "left").withColumn(
             "cfg_deps", F.when(F.col("n").isNull(), none).otherwise(F.col("cfg_deps"))
         )
         return self.widen(joined).select(RUN_COLUMNS)
@@ -251,13 +253,13 @@ def _without(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _one_colouring(edges: DataFrame) -> DataFrame:
     """The components that hold the greatest node that reaches them."""
-    down = salted(edges.select(F.col("a").alias("node"), F.col("b").alias("to")), ["node"])
+    down = salted(edges.select(F.col("a").alias("node"), F.col("b").alias("to")), ["node"], 1)
     nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     colours = Grown()
     changed = stay(nodes.select("node", F.col("node").alias("colour")))
     while not changed.isEmpty():
         colours.add(changed)
-        sent = along(changed, down, ["node"], F.col("colour")).groupBy(F.col("to").alias("node")).agg(F.max("colour").alias("colour"))
+        sent = along(changed, down, ["node"], F.col("colour"), 1).groupBy(F.col("to").alias("node")).agg(F.max("colour").alias("colour"))
         known = colours.frame.select("node", "colour", F.lit(True).alias("old"))
         best = sent.withColumn("old", F.lit(False)).unionByName(known).groupBy("node")
         best = best.agg(F.max("colour").alias("colour"), F.max(F.when(F.col("old"), F.col("colour"))).alias("before"))
@@ -416,15 +418,16 @@ def deploy_stack(
     # Numbered in the order of the lists: those of one directory follow each other.
     paths = kept(numbered(needs.select("node", "dep", "pos", "dep_path"), ["node", "pos", "dep_path"], "at"))
     # What depends on a changed directory is in the closure itself, so no edge has to be looked up there.
-    found = diff.rows.withColumnRenamed("node", "dep").join(paths.select("dep", "node", "at"), "dep")
+    found = diff.rows.withColumnRenamed("node", "dep").hint("merge").join(paths.select("dep", "node", "at"), "dep")
 
     def from_numbers(rows: DataFrame) -> DataFrame:
         info = shown.join(known, place, "left")
         if "cfg_deps" in rows.columns:
             pair = F.array_sort(F.collect_list(F.struct("at", "dep_path")))
-            info = info.join(paths.groupBy("node").agg(F.min("at").alias("_first"), pair.getField("dep_path").alias("_paths")), "node", "left")
-        # As in the closure, the rows go on by commit and the commits' texts shrink.
-        out = rows.hint("merge").join(diff.commits.join(head, "commit_id"), "commit").join(info, "node")
+            info = info.hint("merge").join(paths.groupBy("node").agg(F.min("at").alias("_first"), pair.getField("dep_path").alias("_paths")), "node", "left")
+        # As in the closure, the rows go on by commit and the commits' texts shrink: so well that a part
+        # that is measured to be small may not fit into a hash table, so this is merged as well.
+        out = rows.hint("merge").join(diff.commits.join(head, "commit_id"), "commit").hint("merge").join(info, "node")
         if "cfg_deps" in rows.columns:
             path = lambda n: F.get("_paths", (n - F.col("_first")).cast("int"))
             out = out.withColumn("cfg_deps", F.transform("cfg_deps", path))

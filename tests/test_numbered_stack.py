@@ -1,7 +1,11 @@
 """A deploy stack of a closure stays in numbers, and is the same as that of its texts."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
+from cascadia.functions import placed
 from cascadia.operators import graph as G
 
 DIM = (
@@ -56,3 +60,36 @@ def test_lists_keep_their_order(parts):
 def test_rows_and_dependencies_are_numbers(parts):
     kinds = {kind for df in (parts[0].rows, parts[0].edges) for _, kind in df.dtypes}
     assert kinds == {"bigint"}
+
+
+def test_no_row_of_the_stack_is_hashed(spark, parts):
+    # A part of the rows that is measured to be small need not fit into a hash table.
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        for df in (parts[0].table(), parts[0].runs):
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert re.findall(r"ShuffledHashJoin \[(?:node|dep|commit)#.*", plan) == []
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+
+
+def test_rounds_hash_no_frontier(spark):
+    edges = placed.salted(spark.createDataFrame([(1, 2), (2, 1)], "node long, to_node long"), ["node"])
+    first = placed.sorted_by(spark.createDataFrame([(7, 1), (7, 2)], "label long, node long"), ["label", "node"])
+    seen = placed.Grown(order=["label", "node"])
+    seen.add(first)
+    found = placed.along(first, edges, ["node"], F.col("label")).select("label", F.col("to_node").alias("node"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        new = placed.unseen(found, seen, ["label", "node"])
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Frontier and found rows are sorted and moved; edges and what was seen are neither.
+    assert "ShuffledHashJoin" not in plan and plan.count("Sort [") == 2 and plan.count("Exchange hash") == 2
+    assert new.collect() == []
